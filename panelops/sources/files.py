@@ -79,6 +79,20 @@ def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def by_dataset(inventory: DataFrame) -> DataFrame:
+    """The inventory with the part files of a folder taken as one file named after the folder.
+
+    Every part repeats the header line, which is counted once.
+    """
+    folder = F.element_at(F.split("path", "/"), -2)
+    parts = inventory.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("path"), folder.alias("name"))
+    return parts.agg(
+        (F.sum("bytes") - (F.count_if(F.col("n_lines") > 0) - 1) * (F.max(F.octet_length("header")) + 1)).alias("bytes"),
+        (F.sum("n_lines") - F.count_if(F.col("n_lines") > 0) + 1).alias("n_lines"),
+        F.max("header").alias("header"),
+    )
+
+
 def catalogue(inventory: DataFrame) -> DataFrame:
     """bytes, MB, lines with header, separator and columns of every file of `file_inventory`."""
     sep = separator(F.col("header"))
