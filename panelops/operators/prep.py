@@ -95,35 +95,37 @@ class Preparation:
             out[c] = F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c)))
         return df.withColumns(out)
 
+    def _indexed(self, df: DataFrame) -> DataFrame:
+        """`_i_<column>`: place among the kept levels; every other level shares the place after them.
+
+        The dictionaries are hash maps as long as the one-hot vector is wide.
+        """
+        for c in self.categorical:
+            if self.levels[c]:
+                df = StringIndexerModel.from_labels(
+                    self.levels[c], inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep"
+                ).transform(df)
+        return df
+
     def codes(self, df: DataFrame, prefix: str = "_code_") -> DataFrame:
         """Integer code per category: 0 for the dropped or an unknown level, else its position."""
         out = {}
         for c in self.categorical:
-            # A dictionary held in the plan: as long as the one-hot vector is wide.
-            pairs = [F.lit(x) for i, level in enumerate(self.levels[c], 1) for x in (level, i)]
-            out[prefix + c] = (
-                F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(c)), F.lit(0)) if pairs else F.lit(0)
-            )
-        return df.withColumns(out)
+            place = F.col(f"_i_{c}") if self.levels[c] else F.lit(0)
+            out[prefix + c] = F.when(place < len(self.levels[c]), place + 1).otherwise(0).cast("int")
+        return self._indexed(df).withColumns(out).drop(*[f"_i_{c}" for c in self.categorical])
 
     def assemble(self, df: DataFrame, output: str = "features") -> DataFrame:
         """Feature vector; the dropped first level and unknown levels are zero vectors."""
-        out = self.fill(df)
+        out = self._indexed(self.fill(df))
         used = [c for c in self.categorical if self.levels[c]]
-        parts = list(self.numeric)
+        index, hot = [f"_i_{c}" for c in used], [f"_h_{c}" for c in used]
         if used:
-            index, hot = [f"_i_{c}" for c in used], [f"_h_{c}" for c in used]
-            # Only the kept levels are labels: everything else falls into the `keep` bucket, the
-            # last index, which the encoder drops.
-            labels = [self.levels[c] for c in used]
-            out = StringIndexerModel.from_arrays_of_labels(
-                labels, inputCols=used, outputCols=index, handleInvalid="keep"
-            ).transform(out)
+            # The encoder drops the last index, the one of all other levels.
             encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True)
-            out = encoder.fit(out).transform(out).drop(*index)
-            parts += hot
-        vector = VectorAssembler(inputCols=parts, outputCol=output).transform(out)
-        return vector.drop(*[p for p in parts if p.startswith("_h_")])
+            out = encoder.fit(out).transform(out)
+        vector = VectorAssembler(inputCols=[*self.numeric, *hot], outputCol=output).transform(out)
+        return vector.drop(*index, *hot)
 
 
 def fit_preparation(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelops.operators import evaluate, extra_trees, knn, models, prep, views
 from panelops.operators.lags import lag_names
 from panelops.spec import PanelSpec, Scenario
-from panelops.staging import stage
+from panelops.staging import spread, stage
 
 ALL_MODELS = ("mean", "linear", "ridge", "tree", "forest", "extra_trees", "knn")
 SCENARIO_MODELS = ("mean", "ridge", "forest")
@@ -29,8 +29,8 @@ class SplitData:
         self.numeric, self.categorical, self.target, self.time = list(numeric), list(categorical), target, time
         cols = list(dict.fromkeys([time, *numeric, *categorical, target, "split"]))
         staged = stage(split.filter("split is not null").select(*cols))
-        self.train = staged.filter("split = 'train'")
-        self.test = staged.filter("split = 'test'")
+        self.train = spread(staged.filter("split = 'train'"))
+        self.test = spread(staged.filter("split = 'test'"))
         self._prepared: dict[bool, tuple[prep.Preparation, DataFrame, DataFrame]] = {}
 
     def prepared(self, scale: bool) -> tuple[prep.Preparation, DataFrame, DataFrame]:

@@ -1,0 +1,280 @@
+"""Registered queries: preparation, fits, evaluation, selection."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelops.operators.association import ols_line
+from panelops.operators import evaluate, knn, models, prep, views
+from panelops.plans import modelling
+from panelops.plans.query_panel import EXPOSURE, TARGET, TIME, lagged_panel, panel, split_rows
+from panelops.plans.query_sources import t
+from panelops.plans.registry import query, rounded
+from panelops.plans.sql_text import LAGGED_PANEL, PANEL, PREDICTIONS, SPLIT, LAG_COLUMNS, r, split_of, union, with_
+from panelops.sources import sinks
+from panelops.spec import BILLING
+from panelops.staging import scratch_path, stage
+
+NUMERIC, CATEGORICAL = modelling.features(BILLING)
+
+
+def _sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    rows = split_rows(spark, sf)
+    return rows.filter("split = 'train'"), rows.filter("split = 'test'")
+
+
+# --- preparation --------------------------------------------------------------------------
+
+# Blocks are null in part, so they show imputation; train months are the first 64 of the panel.
+_HOLED = PANEL + "," + split_of("panel", "panel")
+
+
+@query("impute_median", with_(_HOLED, """
+, m AS (SELECT quantile_cont(e1_kwh, 0.5) AS a, quantile_cont(e2_kwh, 0.5) AS b FROM split_rows WHERE split = 'train')
+SELECT fecha, region, comuna, tipo_clientes, tarifa, coalesce(e1_kwh, a) AS e1_kwh, coalesce(e2_kwh, b) AS e2_kwh FROM split_rows, m"""))
+def impute_median(spark, sf):
+    rows = views.temporal_split(panel(spark, sf), TIME)
+    filled = prep.impute_median(rows.filter("split = 'train'"), rows, ["e1_kwh", "e2_kwh"])
+    return filled.select(TIME, *BILLING.keys, "e1_kwh", "e2_kwh")
+
+
+def _holed_categories(rows: DataFrame) -> DataFrame:
+    """Categories go missing where a block is null."""
+    return rows.withColumns({
+        "tarifa": F.when(F.col("e1_kwh").isNotNull(), F.col("tarifa")),
+        "comuna": F.when(F.col("e2_kwh").isNotNull(), F.col("comuna")),
+    })
+
+
+@query("impute_mode", with_(_HOLED + """,
+holed AS (SELECT fecha, region, split, CASE WHEN e1_kwh IS NOT NULL THEN tarifa END AS tarifa,
+                 CASE WHEN e2_kwh IS NOT NULL THEN comuna END AS comuna FROM split_rows)""", """
+SELECT fecha, region,
+  coalesce(tarifa, (SELECT tarifa FROM holed WHERE split = 'train' AND tarifa IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS tarifa,
+  coalesce(comuna, (SELECT comuna FROM holed WHERE split = 'train' AND comuna IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS comuna
+FROM holed"""))
+def impute_mode(spark, sf):
+    rows = _holed_categories(views.temporal_split(panel(spark, sf), TIME))
+    return prep.impute_mode(rows.filter("split = 'train'"), rows, ["tarifa", "comuna"]).select(
+        TIME, "region", "tarifa", "comuna"
+    )
+
+
+@query("standardise", with_(SPLIT, f"""
+, s AS (SELECT {", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in NUMERIC)} FROM train)
+SELECT fecha, split, comuna, tarifa, {", ".join(r(f"({c} - {c}_m) / {c}_s", c) for c in NUMERIC)} FROM split_rows, s"""))
+def standardise(spark, sf):
+    rows = split_rows(spark, sf)
+    return rounded(prep.standardise(rows.filter("split = 'train'"), rows, NUMERIC).select(
+        TIME, "split", "comuna", "tarifa", *NUMERIC
+    ))
+
+
+@query("one_hot", with_(SPLIT, union([
+    f"""SELECT '{c}' AS "column", {c} AS level, count(*) AS n, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS position
+        FROM train GROUP BY {c}""" for c in CATEGORICAL])))
+def one_hot(spark, sf):
+    return prep.one_hot_levels(_sides(spark, sf)[0], CATEGORICAL)
+
+
+@query("one_hot_codes", with_(SPLIT + "".join(
+    f", lv_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS p FROM (SELECT DISTINCT {c} FROM train))" for c in CATEGORICAL), f"""
+SELECT t.fecha, {", ".join(f"t.{c}" for c in CATEGORICAL)},
+       {", ".join(f"CAST(coalesce(lv_{c}.p, 0) AS INTEGER) AS code_{c}" for c in CATEGORICAL)}
+FROM test t {" ".join(f"LEFT JOIN lv_{c} ON t.{c} = lv_{c}.{c}" for c in CATEGORICAL)}"""))
+def one_hot_codes(spark, sf):
+    train, test = _sides(spark, sf)
+    p = prep.fit_preparation(train, NUMERIC, CATEGORICAL, scale=False)
+    return p.codes(test, prefix="code_").select(TIME, *CATEGORICAL, *[f"code_{c}" for c in CATEGORICAL])
+
+
+# --- baselines and metrics ----------------------------------------------------------------
+
+
+def _baselines(spark, sf) -> DataFrame:
+    train, test = _sides(spark, sf)
+    return reduce(DataFrame.unionByName, [
+        models.baseline_mean(train, test, TARGET, [TIME]),
+        models.ols_univariate(train, test, EXPOSURE, TARGET, [TIME]),
+        models.baseline_group_mean(train, test, TARGET, [*BILLING.keys, BILLING.month], [TIME]),
+    ])
+
+
+_METRICS = f"""n, {r("mae", "mae")}, {r("mse", "mse", 4)}, {r("rmse", "rmse")}, {r("r2", "r2")}, {r("mape", "mape")}"""
+
+
+def _shown(metrics: DataFrame) -> DataFrame:
+    digits = {"mse": 4}
+    cols = [F.round(c, digits.get(c, 6)).alias(c) if c in ("mae", "mse", "rmse", "r2", "mape") else F.col(c) for c in metrics.columns]
+    return metrics.select(*cols)
+
+
+@query("baseline_mean", with_(PREDICTIONS, f"SELECT fecha, y, {r('yhat', 'yhat')} FROM predictions WHERE model = 'mean'"))
+def baseline_mean(spark, sf):
+    train, test = _sides(spark, sf)
+    return rounded(models.baseline_mean(train, test, TARGET, [TIME]).drop("model"))
+
+
+@query("baseline_group_mean", with_(PREDICTIONS, f"SELECT fecha, y, {r('yhat', 'yhat')} FROM predictions WHERE model = 'group_mean'"))
+def baseline_group_mean(spark, sf):
+    train, test = _sides(spark, sf)
+    return rounded(models.baseline_group_mean(train, test, TARGET, [*BILLING.keys, BILLING.month], [TIME]).drop("model"))
+
+
+@query("ols_univariate", with_(PREDICTIONS, f"""
+SELECT count(*) AS n, {r("any_value(a)", "slope")}, {r("any_value(b)", "intercept")},
+       {r("1 - avg((y - yhat) * (y - yhat)) / var_pop(y)", "r2")} FROM predictions, line WHERE model = 'ols'"""))
+def ols_univariate(spark, sf):
+    train, test = _sides(spark, sf)
+    fitted = evaluate.regression_metrics(models.ols_univariate(train, test, EXPOSURE, TARGET))
+    line = ols_line(train, EXPOSURE, TARGET)
+    return rounded(fitted.select("n", line["slope"].alias("slope"), line["intercept"].alias("intercept"), "r2"))
+
+
+@query("regression_metrics", with_(PREDICTIONS, f"SELECT model, {_METRICS} FROM metrics"))
+def regression_metrics(spark, sf):
+    return _shown(evaluate.regression_metrics(_baselines(spark, sf)))
+
+
+@query("leaderboard", with_(PREDICTIONS, f"""
+SELECT model, {_METRICS}, CAST(row_number() OVER (ORDER BY r2 DESC, rmse, mae, model) AS INTEGER) AS position FROM metrics"""))
+def leaderboard(spark, sf):
+    return _shown(evaluate.leaderboard(evaluate.regression_metrics(_baselines(spark, sf))))
+
+
+@query("select_model", with_(PREDICTIONS, f"""
+, tied AS (SELECT * FROM metrics WHERE model <> 'mean' AND r2 >= (SELECT max(r2) FROM metrics WHERE model <> 'mean') - 0.001)
+SELECT model, {_METRICS}, (SELECT count(*) FROM tied) AS n_tied FROM tied ORDER BY mae, rmse, model LIMIT 1"""))
+def select_model(spark, sf):
+    return _shown(evaluate.select_model(evaluate.regression_metrics(_baselines(spark, sf))))
+
+
+@query("residual_summary", with_(PREDICTIONS, f"""
+SELECT model, {r("avg(y - yhat)", "mean", 4)}, {r("quantile_cont(y - yhat, 0.5)", "median", 4)}, {r("stddev_pop(y - yhat)", "std", 4)},
+       {r("quantile_cont(abs(y - yhat), 0.9)", "p90_abs", 4)} FROM predictions GROUP BY model"""))
+def residual_summary(spark, sf):
+    return rounded(evaluate.residual_summary(_baselines(spark, sf)), 4)
+
+
+@query("residual_histogram", with_(PREDICTIONS + """,
+xs AS (SELECT sign(y - yhat) * ln(1 + abs(y - yhat)) AS x FROM predictions WHERE model = 'ols'),
+span AS (SELECT min(x) AS lo, (max(x) - min(x)) / 80.0 AS width FROM xs)""", """
+SELECT CAST(least(floor((x - lo) / width) + 1, 80) AS INTEGER) AS bin, count(*) AS n FROM xs, span GROUP BY 1"""))
+def residual_histogram(spark, sf):
+    train, test = _sides(spark, sf)
+    return evaluate.residual_histogram(models.ols_univariate(train, test, EXPOSURE, TARGET)).select("bin", "n")
+
+
+@query("pred_sample")
+def pred_sample(spark, sf):
+    train, test = _sides(spark, sf)
+    return evaluate.prediction_sample(models.ols_univariate(train, test, EXPOSURE, TARGET, [TIME]))
+
+
+# --- fitted models ------------------------------------------------------------------------
+
+
+def _fitted(spark, sf, *names: str) -> DataFrame:
+    """Predictions of the named models on the test months."""
+    return modelling.compare(split_rows(spark, sf), BILLING, names)
+
+
+def _fit_query(name: str, model: str) -> None:
+    @query(name)
+    def run(spark, sf):
+        return evaluate.regression_metrics(_fitted(spark, sf, model))
+
+
+for _name, _model in (
+    ("fit_linear", "linear"), ("fit_ridge", "ridge"), ("fit_tree", "tree"), ("fit_forest", "forest"),
+    ("fit_extra_trees", "extra_trees"),
+):
+    _fit_query(_name, _model)
+
+
+_Z = " + ".join(f"((t.{c} - n.{c}) / s_{c}) * ((t.{c} - n.{c}) / s_{c})" for c in NUMERIC)
+_COSTS = " + ".join(
+    f"CASE WHEN t.code_{c} = n.code_{c} THEN 0.0 WHEN t.code_{c} > 0 AND n.code_{c} > 0 THEN 2.0 ELSE 1.0 END::DOUBLE" for c in CATEGORICAL
+)
+
+
+def _coded(side: str) -> str:
+    return f"""(SELECT t.*, row_number() OVER () AS id, {", ".join(f"coalesce(lv_{c}.p, 0) AS code_{c}" for c in CATEGORICAL)}
+  FROM {side} t {" ".join(f"LEFT JOIN lv_{c} ON t.{c} = lv_{c}.{c}" for c in CATEGORICAL)})"""
+
+
+@query("knn_regress", with_(SPLIT + "".join(
+    f", lv_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS p FROM (SELECT DISTINCT {c} FROM train))" for c in CATEGORICAL) + f""",
+s AS (SELECT {", ".join(f"stddev_pop({c}) AS s_{c}" for c in NUMERIC)} FROM train),
+near AS (SELECT t.id, any_value(t.fecha) AS fecha, any_value(t.energia_kwh) AS y,
+                min(ROW({_Z} + {_COSTS}, n.fecha, n.region, n.comuna, n.tipo_clientes, n.tarifa, n.clientes_facturados, n.energia_kwh), 5) AS k
+         FROM {_coded("test")} t CROSS JOIN {_coded("train")} n CROSS JOIN s GROUP BY t.id)""", f"""
+SELECT fecha, CAST(y AS DOUBLE) AS y, {r("list_avg(list_transform(k, lambda x: x[8]))", "yhat", 4)} FROM near"""))
+def knn_regress(spark, sf):
+    return rounded(_fitted(spark, sf, "knn").drop("model"), 4)
+
+
+@query("knn_embeddings", f"""
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+near AS (SELECT a.vec_id, any_value(a.label) AS y, min(ROW(list_distance(a.e, b.e), b.vec_id, b.label), 5) AS k
+         FROM v a JOIN v b ON a.vec_id <> b.vec_id GROUP BY a.vec_id)
+SELECT vec_id, CAST(y AS DOUBLE) AS y, {r("list_avg(list_transform(k, lambda x: x[3]))", "yhat")} FROM near""")
+def knn_embeddings(spark, sf):
+    return rounded(knn.knn_vectors(t(spark, sf, "embeddings"), "vec_id", "embedding", "label"))
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    data = modelling.SplitData(split_rows(spark, sf), NUMERIC, CATEGORICAL, TARGET, TIME)
+    _, weights = modelling.fit_predict(data, "tree")
+    data.release()
+    return evaluate.feature_importance(spark, weights)
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    found = evaluate.regression_metrics(_fitted(spark, sf, "mean", "linear", "ridge", "tree", "knn"))
+    return evaluate.leaderboard(found)
+
+
+# --- scenarios ----------------------------------------------------------------------------
+
+_FAIR = LAGGED_PANEL + ",\ncomplete AS (SELECT * FROM lagged_panel WHERE " + " AND ".join(
+    f"{n} IS NOT NULL" for _, _, n in LAG_COLUMNS) + """),
+base AS (SELECT * FROM panel WHERE fecha IN (SELECT fecha FROM complete)),
+fair_positive AS (SELECT * FROM base WHERE energia_kwh > 0 AND clientes_facturados > 0),""" + ",".join(
+    split_of(v, "base", f"split_{v}") for v in ("base", "fair_positive", "complete"))
+_VIEWS = {"A": "base", "B": "base", "C": "fair_positive", "D": "complete"}
+
+
+@query("scenario_counts", with_(_FAIR, union([
+    f"SELECT '{label}' AS scenario, split, count(DISTINCT fecha) AS n_months, count(*) AS n_rows FROM split_{v} GROUP BY split"
+    for label, v in _VIEWS.items()])))
+def scenario_counts(spark, sf):
+    return modelling.scenario_counts(panel(spark, sf), lagged_panel(spark, sf), BILLING)
+
+
+def _matrix(spark, sf, names=modelling.SCENARIO_MODELS, **kw) -> DataFrame:
+    return modelling.scenario_matrix(panel(spark, sf), lagged_panel(spark, sf), BILLING, names, **kw)
+
+
+@query("scenario_matrix")
+def scenario_matrix(spark, sf):
+    return _matrix(spark, sf)
+
+
+@query("scenario_delta")
+def scenario_delta(spark, sf):
+    return evaluate.scenario_delta(_matrix(spark, sf, ("mean", "ridge", "tree")), "A", "B")
+
+
+@query("run_metadata")
+def run_metadata(spark, sf):
+    """The run report written as JSON and read back."""
+    rows = stage(split_rows(spark, sf))
+    report = modelling.run_report(evaluate.regression_metrics(_baselines(spark, sf)), rows, TIME)
+    path = sinks.write_json(report, scratch_path(spark, "run"))
+    return spark.read.schema(report.schema).json(path)

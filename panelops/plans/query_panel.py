@@ -441,7 +441,7 @@ DOCUMENTED_LAGS = [lags.lag_name(s, k) for s in SAME_MONTH for k in lags.LAGS]
 
 @query("leakage_columns", with_(LAGGED_PANEL + ", leaky AS (SELECT l.*, total_generacion_mes FROM lagged_panel l JOIN aux USING (fecha))", union([
     f"""SELECT '{c}' AS "check", {"'ERROR'" if c == "total_generacion_mes" else "'OK'"} AS level,
-        {"count(total_generacion_mes)" if c == "total_generacion_mes" else "CAST(0 AS BIGINT)"} AS value FROM leaky""" for c in SAME_MONTH])))
+        {"count(total_generacion_mes)" if c == "total_generacion_mes" else "count(*) FILTER (WHERE false)"} AS value FROM leaky""" for c in SAME_MONTH])))
 def leakage_columns(spark, sf):
     # One same-month column is let in, so that the check has something to find.
     m = monthly(spark, sf)
@@ -454,7 +454,7 @@ _PRESENT = [n for _, _, n in LAG_COLUMNS]
 
 @query("lag_contract", with_(LAGGED_PANEL, union([
     f"""SELECT '{c}' AS "column", '{"ok" if c in _PRESENT else "missing"}' AS status,
-        {f"count({c})" if c in _PRESENT else "CAST(0 AS BIGINT)"} AS n_filled FROM lagged_panel""" for c in DOCUMENTED_LAGS])))
+        {f"count({c})" if c in _PRESENT else "count(*) FILTER (WHERE false)"} AS n_filled FROM lagged_panel""" for c in DOCUMENTED_LAGS])))
 def lag_contract(spark, sf):
     return profile.lag_contract(lagged_panel(spark, sf), DOCUMENTED_LAGS)
 

@@ -48,6 +48,15 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for work that is bound by computing, not by bytes.
+
+    Small staged tables tend to end in few partitions; large ones are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match; the right-hand key columns are dropped."""
     renamed = right.select(
