@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from panelops.operators.prep import Preparation
 
+EMIT_ROWS = 100_000
+
 
 @dataclass
 class Forest:
@@ -61,11 +63,25 @@ def _open_rows(forest: Forest, m: np.ndarray, level: int) -> Iterator[tuple[int,
             yield tree, rows, node[rows] - first
 
 
+def _gather(parts: Iterator[dict[str, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    """Joins many small tables of equal columns into frames of at most some EMIT_ROWS rows."""
+    held: list[dict[str, np.ndarray]] = []
+    rows = 0
+    for part in parts:
+        held.append(part)
+        rows += len(part["node"])
+        if rows >= EMIT_ROWS:
+            yield pd.DataFrame({c: np.concatenate([h[c] for h in held]) for c in part})
+            held, rows = [], 0
+    if held:
+        yield pd.DataFrame({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+
+
 def _ranges(data: DataFrame, held, cols: list[str], target: str, n_numeric: int, level: int) -> pd.DataFrame:
     """Rows, target sum and the range of the target and every number, per open node."""
     spans = [f"{s}{j}" for j in range(n_numeric + 1) for s in ("lo", "hi")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spans_of(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
         forest = held.value
         for batch in batches:
             m, y = batch[cols].to_numpy(float), batch[target].to_numpy(float)
@@ -73,14 +89,17 @@ def _ranges(data: DataFrame, held, cols: list[str], target: str, n_numeric: int,
                 order = np.argsort(pos, kind="stable")
                 nodes, start = np.unique(pos[order], return_index=True)
                 picked = rows[order]
-                out = {"tree": tree, "node": nodes}
-                out["n"] = np.add.reduceat(np.ones(len(picked)), start)
+                out = {"tree": np.full(len(nodes), tree), "node": nodes}
+                out["n"] = np.diff(start, append=len(picked)).astype(float)
                 out["s"] = np.add.reduceat(y[picked], start)
                 for j in range(n_numeric + 1):
                     v = m[picked, j] if j < n_numeric else y[picked]
                     out[f"lo{j}"] = np.minimum.reduceat(v, start)
                     out[f"hi{j}"] = np.maximum.reduceat(v, start)
-                yield pd.DataFrame(out)
+                yield out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _gather(spans_of(batches))
 
     schema = "tree int, node long, n double, s double, " + ", ".join(f"{c} double" for c in spans)
     parts = data.mapInPandas(run, schema)
@@ -93,7 +112,7 @@ def _ranges(data: DataFrame, held, cols: list[str], target: str, n_numeric: int,
 def _best_splits(data: DataFrame, held, held_cuts, cols: list[str], target: str, n_numeric: int, level: int, totals: DataFrame) -> pd.DataFrame:
     """The split with the largest fall in squared error per open node."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
         forest, cuts = held.value, held_cuts.value
         for batch in batches:
             m, y = batch[cols].to_numpy(float), batch[target].to_numpy(float)
@@ -101,22 +120,25 @@ def _best_splits(data: DataFrame, held, held_cuts, cols: list[str], target: str,
                 for j in range(len(cols)):
                     x = m[rows, j]
                     if j < n_numeric:
-                        cut = cuts[tree, pos, j]
-                        go = x > cut  # NaN marks a constant number: nothing goes right
+                        # A constant number has the cut NaN: nothing goes right.
+                        go, code, width = x > cuts[tree, pos, j], pos, 1
                     else:
-                        cut = x
-                        go = x > 0  # code 0 has no dummy
+                        # Code 0 has no dummy; any other code is a candidate of its own.
+                        width = int(m[:, j].max()) + 1
+                        go, code = x > 0, pos * width + x.astype(np.int64)
                     if not go.any():
                         continue
-                    width = int(m[:, j].max()) + 1 if j >= n_numeric else 1
-                    code = pos[go] * width + (cut[go].astype(np.int64) if j >= n_numeric else 0)
-                    found, inverse = np.unique(code, return_inverse=True)
-                    yield pd.DataFrame({
-                        "tree": tree, "node": found // width, "feature": j,
-                        "level": (found % width) if j >= n_numeric else 0,
-                        "n": np.bincount(inverse).astype(float),
-                        "s": np.bincount(inverse, weights=y[rows[go]]),
-                    })
+                    n = np.bincount(code[go])
+                    found = np.flatnonzero(n)
+                    yield {
+                        "tree": np.full(len(found), tree), "node": found // width,
+                        "feature": np.full(len(found), j), "level": found % width,
+                        "n": n[found].astype(float),
+                        "s": np.bincount(code[go], weights=y[rows[go]])[found],
+                    }
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _gather(candidates(batches))
 
     parts = data.mapInPandas(run, "tree int, node long, feature int, level long, n double, s double")
     sums = parts.groupBy("tree", "node", "feature", "level").agg(F.sum("n").alias("rn"), F.sum("s").alias("rs"))
