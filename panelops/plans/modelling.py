@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelops.operators import evaluate, extra_trees, knn, models, prep, views
 from panelops.operators.lags import lag_names
 from panelops.spec import PanelSpec, Scenario
-from panelops.staging import spread, stage
+from panelops.staging import spread, stage, stage_table
 
 ALL_MODELS = ("mean", "linear", "ridge", "tree", "forest", "extra_trees", "knn")
 SCENARIO_MODELS = ("mean", "ridge", "forest")
@@ -28,7 +28,7 @@ class SplitData:
     def __init__(self, split: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, time: str):
         self.numeric, self.categorical, self.target, self.time = list(numeric), list(categorical), target, time
         cols = list(dict.fromkeys([time, *numeric, *categorical, target, "split"]))
-        staged = stage(split.filter("split is not null").select(*cols))
+        staged = stage_table(split.filter("split is not null").select(*cols), "split")
         self.train = spread(staged.filter("split = 'train'"))
         self.test = spread(staged.filter("split = 'test'"))
         self._prepared: dict[bool, tuple[prep.Preparation, DataFrame, DataFrame]] = {}
@@ -86,9 +86,10 @@ def compare(
     """Predictions of all models on the test months: (model, month, y, yhat)."""
     numeric, categorical = features(spec)
     data = SplitData(split, numeric, categorical, spec.target, spec.time)
-    found = stage(reduce(DataFrame.unionByName, [fit_predict(data, n, trees, depth)[0] for n in names]))
+    found = [fit_predict(data, n, trees, depth)[0] for n in names]
+    out = stage_table(reduce(DataFrame.unionByName, found), "predictions")
     data.release()
-    return found
+    return out
 
 
 def scenarios(spec: PanelSpec) -> list[Scenario]:
@@ -134,13 +135,14 @@ def scenario_matrix(
 ) -> DataFrame:
     """(scenario, model, metrics..) for every scenario and model. A model that cannot be fitted on
     a scenario stops the run: a missing row would read as a result."""
-    cut = {name: stage(df) for name, df in scenario_views(panel, lagged_panel, spec).items()}
+    cut = {name: stage_table(df, name) for name, df in scenario_views(panel, lagged_panel, spec).items()}
     parts = []
     for s in scenarios(spec):
         data = SplitData(cut[s.view], s.numeric, s.categorical, spec.target, spec.time)
-        found = stage(reduce(DataFrame.unionByName, [fit_predict(data, n, trees, depth)[0] for n in names]))
+        found = [fit_predict(data, n, trees, depth)[0] for n in names]
+        metrics = stage(evaluate.regression_metrics(reduce(DataFrame.unionByName, found)))
         data.release()
-        parts.append(evaluate.regression_metrics(found).select(F.lit(s.label).alias("scenario"), "*"))
+        parts.append(metrics.select(F.lit(s.label).alias("scenario"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from panelops.operators.association import ols_line
 from panelops.operators import evaluate, knn, models, prep, views
 from panelops.plans import modelling
-from panelops.plans.query_panel import EXPOSURE, TARGET, TIME, lagged_panel, panel, split_rows
+from panelops.plans.query_panel import EXPOSURE, TARGET, TIME, lagged_panel, split_rows, stored_panel
 from panelops.plans.query_sources import t
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import LAGGED_PANEL, PANEL, PREDICTIONS, SPLIT, LAG_COLUMNS, r, split_of, union, with_
 from panelops.sources import sinks
 from panelops.spec import BILLING
-from panelops.staging import scratch_path, stage
+from panelops.staging import scratch_path, stage_table
 
 NUMERIC, CATEGORICAL = modelling.features(BILLING)
 
 
 def _sides(spark, sf) -> tuple[DataFrame, DataFrame]:
-    rows = split_rows(spark, sf)
+    """Train and test rows of the positive view, stored because every model scans both."""
+    rows = stage_table(split_rows(spark, sf), "split")
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 
@@ -36,7 +37,7 @@ _HOLED = PANEL + "," + split_of("panel", "panel")
 , m AS (SELECT quantile_cont(e1_kwh, 0.5) AS a, quantile_cont(e2_kwh, 0.5) AS b FROM split_rows WHERE split = 'train')
 SELECT fecha, region, comuna, tipo_clientes, tarifa, coalesce(e1_kwh, a) AS e1_kwh, coalesce(e2_kwh, b) AS e2_kwh FROM split_rows, m"""))
 def impute_median(spark, sf):
-    rows = views.temporal_split(panel(spark, sf), TIME)
+    rows = views.temporal_split(stored_panel(spark, sf), TIME)
     filled = prep.impute_median(rows.filter("split = 'train'"), rows, ["e1_kwh", "e2_kwh"])
     return filled.select(TIME, *BILLING.keys, "e1_kwh", "e2_kwh")
 
@@ -57,7 +58,7 @@ SELECT fecha, region,
   coalesce(comuna, (SELECT comuna FROM holed WHERE split = 'train' AND comuna IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS comuna
 FROM holed"""))
 def impute_mode(spark, sf):
-    rows = _holed_categories(views.temporal_split(panel(spark, sf), TIME))
+    rows = _holed_categories(views.temporal_split(stored_panel(spark, sf), TIME))
     return prep.impute_mode(rows.filter("split = 'train'"), rows, ["tarifa", "comuna"]).select(
         TIME, "region", "tarifa", "comuna"
     )
@@ -156,7 +157,7 @@ def select_model(spark, sf):
 SELECT model, {r("avg(y - yhat)", "mean", 4)}, {r("quantile_cont(y - yhat, 0.5)", "median", 4)}, {r("stddev_pop(y - yhat)", "std", 4)},
        {r("quantile_cont(abs(y - yhat), 0.9)", "p90_abs", 4)} FROM predictions GROUP BY model"""))
 def residual_summary(spark, sf):
-    return rounded(evaluate.residual_summary(_baselines(spark, sf)), 4)
+    return rounded(evaluate.residual_summary(stage_table(_baselines(spark, sf), "predictions")), 4)
 
 
 @query("residual_histogram", with_(PREDICTIONS + """,
@@ -165,7 +166,8 @@ span AS (SELECT min(x) AS lo, (max(x) - min(x)) / 80.0 AS width FROM xs)""", """
 SELECT CAST(least(floor((x - lo) / width) + 1, 80) AS INTEGER) AS bin, count(*) AS n FROM xs, span GROUP BY 1"""))
 def residual_histogram(spark, sf):
     train, test = _sides(spark, sf)
-    return evaluate.residual_histogram(models.ols_univariate(train, test, EXPOSURE, TARGET)).select("bin", "n")
+    found = stage_table(models.ols_univariate(train, test, EXPOSURE, TARGET), "predictions")
+    return evaluate.residual_histogram(found).select("bin", "n")
 
 
 @query("pred_sample")
@@ -254,11 +256,13 @@ _VIEWS = {"A": "base", "B": "base", "C": "fair_positive", "D": "complete"}
     f"SELECT '{label}' AS scenario, split, count(DISTINCT fecha) AS n_months, count(*) AS n_rows FROM split_{v} GROUP BY split"
     for label, v in _VIEWS.items()])))
 def scenario_counts(spark, sf):
-    return modelling.scenario_counts(panel(spark, sf), lagged_panel(spark, sf), BILLING)
+    base = stored_panel(spark, sf)
+    return modelling.scenario_counts(base, lagged_panel(spark, sf, base), BILLING)
 
 
 def _matrix(spark, sf, names=modelling.SCENARIO_MODELS, **kw) -> DataFrame:
-    return modelling.scenario_matrix(panel(spark, sf), lagged_panel(spark, sf), BILLING, names, **kw)
+    base = stored_panel(spark, sf)
+    return modelling.scenario_matrix(base, lagged_panel(spark, sf, base), BILLING, names, **kw)
 
 
 @query("scenario_matrix")
@@ -274,7 +278,7 @@ def scenario_delta(spark, sf):
 @query("run_metadata")
 def run_metadata(spark, sf):
     """The run report written as JSON and read back."""
-    rows = stage(split_rows(spark, sf))
+    rows = stage_table(split_rows(spark, sf), "split")
     report = modelling.run_report(evaluate.regression_metrics(_baselines(spark, sf)), rows, TIME)
     path = sinks.write_json(report, scratch_path(spark, "run"))
     return spark.read.schema(report.schema).json(path)

@@ -15,6 +15,7 @@ from panelops.plans.sql_text import (
     DAILY, LAG_COLUMNS, LAGGED, LAGGED_PANEL, PANEL, RAW_PANEL, SPLIT, VIEW, r, split_of, union, with_,
 )
 from panelops.spec import BILLING
+from panelops.staging import stage_table
 
 panel, raw_panel = testbed.panel, testbed.raw_panel
 TIME, TARGET, EXPOSURE = BILLING.time, BILLING.target, BILLING.exposure
@@ -22,22 +23,31 @@ RATIO = "consumo_promedio_cliente_kwh"
 KEY = "fecha, region, comuna, tipo_clientes, tarifa"
 
 
+def stored_panel(spark, sf) -> DataFrame:
+    """The panel as a table, for queries that scan it more than once."""
+    return stage_table(panel(spark, sf), "panel")
+
+
 def monthly(spark, sf) -> DataFrame:
     return billing.national_monthly(testbed.demand_daily(spark, sf), testbed.generation_daily(spark, sf))
 
 
-def lagged_panel(spark, sf) -> DataFrame:
+def lagged_panel(spark, sf, base: DataFrame | None = None) -> DataFrame:
     return billing.integrate(
-        panel(spark, sf), testbed.demand_daily(spark, sf), testbed.generation_daily(spark, sf)
+        panel(spark, sf) if base is None else base, testbed.demand_daily(spark, sf), testbed.generation_daily(spark, sf)
     )
 
 
-def positive(spark, sf) -> DataFrame:
-    return views.model_view(panel(spark, sf), BILLING)
+def positive(spark, sf, base: DataFrame | None = None) -> DataFrame:
+    return views.model_view(panel(spark, sf) if base is None else base, BILLING)
+
+
+def stored_positive(spark, sf) -> DataFrame:
+    return stage_table(positive(spark, sf), "positive")
 
 
 def split_rows(spark, sf) -> DataFrame:
-    return views.temporal_split(positive(spark, sf), TIME)
+    return views.temporal_split(stored_positive(spark, sf), TIME)
 
 
 # --- views --------------------------------------------------------------------------------
@@ -66,7 +76,7 @@ FROM panel, (SELECT quantile_cont(CAST({col} AS DOUBLE), 0.25) AS q1, quantile_c
 @query("model_table_report", with_(PANEL, union([
     _report_sql("energy", TARGET, f"{TARGET} IS NOT NULL"), _report_sql("percap", RATIO, f"{RATIO} >= 0")])))
 def model_table_report(spark, sf):
-    p = panel(spark, sf)
+    p = stored_panel(spark, sf)
     energy = views.model_table_report(p, TARGET).select(F.lit("energy").alias("table_name"), "*")
     percap = views.model_table_report(p, RATIO, non_negative=True).select(F.lit("percap").alias("table_name"), "*")
     return energy.unionByName(percap)
@@ -160,8 +170,9 @@ fair_panel AS (SELECT * FROM panel WHERE fecha IN (SELECT fecha FROM fair)),"""
 SELECT split, count(DISTINCT fecha) AS n_months, count(*) AS n_rows, min(fecha) AS first_month, max(fecha) AS last_month
 FROM split_rows GROUP BY split"""))
 def aligned_cohort(spark, sf):
-    months = views.aligned_months(lagged_panel(spark, sf), TIME, lags.lag_names())
-    fair = views.temporal_split(views.keep_months(panel(spark, sf), months, TIME), TIME)
+    base = stored_panel(spark, sf)
+    months = views.aligned_months(lagged_panel(spark, sf, base), TIME, lags.lag_names())
+    fair = views.temporal_split(views.keep_months(base, months, TIME), TIME)
     per_month = fair.groupBy("split", TIME).agg(F.count(F.lit(1)).alias("n"))
     return per_month.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_months"), F.sum("n").alias("n_rows"),
@@ -359,7 +370,7 @@ def _plain_minmax(df: DataFrame) -> DataFrame:
 
 @query("describe_columns", with_(PANEL, union([_describe_sql(c, "panel") for c in ("energia_kwh", "e1_kwh", "e2_kwh", RATIO)])))
 def describe_columns(spark, sf):
-    return _plain_minmax(profile.describe_columns(panel(spark, sf), ["energia_kwh", "e1_kwh", "e2_kwh", RATIO]))
+    return _plain_minmax(profile.describe_columns(stored_panel(spark, sf), ["energia_kwh", "e1_kwh", "e2_kwh", RATIO]))
 
 
 @query("describe_lineitem", union([_describe_sql(c, "lineitem") for c in ("l_quantity", "l_extendedprice", "l_discount")]))
@@ -397,7 +408,7 @@ diffs AS (SELECT energia_kwh - (e1_kwh + e2_kwh) + CASE WHEN mes = 6 THEN 2.0 EL
     _describe_sql("diff", "diffs", head=False).replace(" FROM diffs", ", count(*) FILTER (WHERE abs(diff) < 1) AS n_consistent FROM diffs")))
 def additive_check(spark, sf):
     # June is shifted past the tolerance, the other months stay inside it.
-    p = panel(spark, sf)
+    p = stored_panel(spark, sf)
     off = F.when(F.col("mes") == 6, 2.0).otherwise(0.25)
     shifted = p.withColumn("total", F.col(TARGET).cast("double") + off)
     return _plain_minmax(profile.additive_check(shifted, "total", ["e1_kwh", "e2_kwh"]))
@@ -421,7 +432,7 @@ def _finding(check: str, expr: str, bad: str) -> str:
     _finding("exposure_null", "(count(*) - count(clientes_facturados))", "WARNING"),
     _finding("exposure_not_positive", "count(*) FILTER (WHERE clientes_facturados <= 0)", "WARNING")])))
 def audit_findings(spark, sf):
-    return profile.audit_findings(panel(spark, sf), BILLING)
+    return profile.audit_findings(stored_panel(spark, sf), BILLING)
 
 
 @query("schema_contract", with_(PANEL, """
@@ -479,7 +490,7 @@ def _quantile_sql(c: str, table: str, probs: dict[str, float]) -> str:
 
 @query("quantiles", with_(PANEL, union([_quantile_sql(c, "panel", distribution.PERCENTILES) for c in (TARGET, RATIO, "e1_kwh")])))
 def quantiles(spark, sf):
-    return rounded(distribution.percentiles(panel(spark, sf), [TARGET, RATIO, "e1_kwh"]))
+    return rounded(distribution.percentiles(stored_panel(spark, sf), [TARGET, RATIO, "e1_kwh"]))
 
 
 # Small enough that the line table goes through the brackets, the path of large columns.
@@ -508,7 +519,7 @@ FROM {table}, (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_c
 
 @query("iqr_outliers", with_(PANEL, union([_iqr_sql(c, "panel") for c in ("e1_kwh", "e2_kwh", TARGET, RATIO)])))
 def iqr_outliers(spark, sf):
-    return rounded(distribution.iqr_outliers(panel(spark, sf), ["e1_kwh", "e2_kwh", TARGET, RATIO]))
+    return rounded(distribution.iqr_outliers(stored_panel(spark, sf), ["e1_kwh", "e2_kwh", TARGET, RATIO]))
 
 
 @query("iqr_orders", _iqr_sql("o_totalprice", "orders"))
@@ -542,7 +553,7 @@ FROM xs, span GROUP BY 1"""
 
 @query("log_histogram", with_(PANEL + ", xs AS (SELECT log10(energia_kwh) AS x FROM panel WHERE energia_kwh > 0)", _histogram_sql()))
 def log_histogram(spark, sf):
-    return rounded(distribution.log_histogram(panel(spark, sf), TARGET))
+    return rounded(distribution.log_histogram(stored_panel(spark, sf), TARGET))
 
 
 @query("event_histogram", with_("xs AS (SELECT value AS x FROM events)", _histogram_sql()))
@@ -562,7 +573,7 @@ FROM logs l JOIN boxes b ON l.{by} = b.{by} GROUP BY 1"""
 
 @query("box_stats", with_(PANEL + ", logs AS (SELECT tipo_clientes, log10(energia_kwh) AS x FROM panel WHERE energia_kwh > 0)", _box_sql("tipo_clientes")))
 def box_stats(spark, sf):
-    return rounded(distribution.box_stats(panel(spark, sf), "tipo_clientes", TARGET))
+    return rounded(distribution.box_stats(stored_panel(spark, sf), "tipo_clientes", TARGET))
 
 
 @query("box_events", with_("logs AS (SELECT event_type, log10(value) AS x FROM events WHERE value > 0)", _box_sql("event_type")))
@@ -681,12 +692,12 @@ SELECT count(*) AS n, {r("corr(CAST(a AS DOUBLE), CAST(b AS DOUBLE))", "spearman
 
 @query("spearman", with_(VIEW, _spearman_sql("energia_kwh", "clientes_facturados", "positive")))
 def spearman(spark, sf):
-    return rounded(association.spearman(positive(spark, sf), TARGET, EXPOSURE))
+    return rounded(association.spearman(stored_positive(spark, sf), TARGET, EXPOSURE))
 
 
 @query("spearman_log", with_(VIEW + _LOGS, _spearman_sql("log_energia_kwh", "log_clientes_facturados", "logs")))
 def spearman_log(spark, sf):
-    return rounded(association.spearman(_with_logs(positive(spark, sf)), "log_energia_kwh", "log_clientes_facturados"))
+    return rounded(association.spearman(_with_logs(stored_positive(spark, sf)), "log_energia_kwh", "log_clientes_facturados"))
 
 
 @query("average_ranks", with_(VIEW, """

@@ -30,7 +30,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive lost executors and are computed once."""
+    """Reliable checkpoint of a small table: it survives lost executors and is computed once."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
@@ -38,6 +38,16 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table that several scans will read to the shared folder and reads it back.
+
+    Columnar, so later scans still read only their columns; like a checkpoint it has no lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when the (staged) table is known to hold few rows.
 
