@@ -33,7 +33,7 @@ def nearest_mean(d: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
 
 def _sample(train: DataFrame, cols: Sequence[str], max_train: int) -> pd.DataFrame:
     """At most max_train rows, in the order that breaks distance ties."""
-    few = train.select(*cols).limit(max_train + 1).count() <= max_train
+    few = train.count() <= max_train
     rows = train.select(*cols) if few else hash_sample(train.select(*cols), max_train)
     return rows.orderBy(*cols).toPandas()
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -140,14 +140,18 @@ def fit_preparation(
             counted[r["column"]].append((r["level"], r["n"]))
     modes_ = {c: min(v, key=lambda t: (-t[1], t[0]))[0] for c, v in counted.items() if v}
     levels = {c: sorted(level for level, _ in v)[1:] for c, v in counted.items()}
-    centre: dict[str, float] = {}
-    spread: dict[str, float] = {}
-    if scale and numeric:
-        aggs = []
-        for c in numeric:
-            x = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(medians.get(c, 0.0)))
-            aggs += [F.avg(x).alias(f"{c}_m"), F.stddev_pop(x).alias(f"{c}_s")]
-        row = train.agg(*aggs).first()
-        for c in numeric:
-            centre[c], spread[c] = row[f"{c}_m"], row[f"{c}_s"] or 1.0
-    return Preparation(tuple(numeric), tuple(categorical), medians, modes_, centre, spread, levels)
+    fitted = Preparation(tuple(numeric), tuple(categorical), medians, modes_, {}, {}, levels)
+    return with_scale(fitted, train) if scale else fitted
+
+
+def with_scale(fitted: Preparation, train: DataFrame) -> Preparation:
+    """The same preparation with standardised numbers; a constant column is only centred."""
+    if not fitted.numeric:
+        return fitted
+    aggs = []
+    for c in fitted.numeric:
+        aggs += [F.avg(c).alias(f"{c}_m"), F.stddev_pop(c).alias(f"{c}_s")]
+    row = fitted.fill(train).agg(*aggs).first()
+    centre = {c: row[f"{c}_m"] for c in fitted.numeric}
+    spread = {c: row[f"{c}_s"] or 1.0 for c in fitted.numeric}
+    return replace(fitted, centre=centre, scale=spread)

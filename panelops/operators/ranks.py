@@ -1,8 +1,9 @@
-"""Exact ranks and quantiles without collecting a column anywhere.
+"""Exact ranks and quantiles without collecting a large column anywhere.
 
-`percentile` keeps every distinct value of a group in one task. Here the values are first
-narrowed to a bracket around each wanted rank, equal values are combined before they travel,
-and ranks come from a range-partitioned sort plus per-partition offsets.
+`percentile` keeps every distinct value of a group in one task, so it is used on tables of counted,
+small size only. Beyond that the values are first narrowed to a bracket around each wanted rank,
+equal values are combined before they travel, and ranks come from a range-partitioned sort plus
+per-partition offsets.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from panelops.staging import null_safe_join, stage
 
-# Up to this many values per group every value is kept and no bracket is needed.
-KEEP_ALL = 1_000_000
+# Up to this many values (rows times columns) one aggregate may hold them.
+DIRECT_VALUES = 1_000_000
 GRID = 1_000
 SALTS = 256
 
@@ -57,12 +58,13 @@ def average_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
 
 
 def _brackets(
-    long: DataFrame, keys: list[str], probs: Sequence[float], keep_all: int, grid: int, salts: int
+    long: DataFrame, keys: list[str], probs: Sequence[float], grid: int, salts: int
 ) -> DataFrame:
     """One row per group with `lo_i`, `hi_i` around each wanted rank.
 
     Sketches are made per salt, so one task merges only its share of them; each salt then hands on
     `grid + 1` weighted points. The rank error of the mixture is below 3/grid; 5/grid is allowed.
+    In groups of up to 100 * grid values the slack would be a few rows, so all values are kept.
     """
     points = [i / grid for i in range(grid + 1)]
     slack = 5.0 / grid
@@ -85,7 +87,7 @@ def _brackets(
             (F.sum("n") / F.lit(grid + 1)).alias("n"),
         )
     )
-    few = F.col("n") <= F.lit(keep_all)
+    few = F.col("n") <= F.lit(100 * grid)
     inf = F.lit(float("inf"))
     cols: list[Column] = []
     for i, p in enumerate(probs):
@@ -100,19 +102,37 @@ def quantiles(
     cols: Sequence[str],
     probs: Mapping[str, float],
     by: Sequence[str] = (),
-    keep_all: int = KEEP_ALL,
+    direct_values: int = DIRECT_VALUES,
     grid: int = GRID,
     salts: int = SALTS,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (by.., column, n, one column per name in `probs`).
 
-    Two scans of `df` and one staged table that holds the values inside the brackets only. A rank
-    that fell outside its bracket raises an error instead of giving a wrong value.
+    The rows are counted first: a small table takes one aggregate. A large one takes two scans and
+    one staged table that holds the values inside the brackets only; store it before if it is
+    expensive to derive. A rank outside its bracket raises an error instead of giving a wrong value.
     """
+    if df.count() * len(cols) <= direct_values:
+        keys = [*by, "column"]
+        exact = F.percentile("value", F.lit(list(probs.values())).cast("array<double>"))
+        found = long_values(df, cols, by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), exact.alias("q"))
+        return found.select(*keys, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(probs)])
+    return bracketed_quantiles(df, cols, probs, by, grid, salts)
+
+
+def bracketed_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Mapping[str, float],
+    by: Sequence[str] = (),
+    grid: int = GRID,
+    salts: int = SALTS,
+) -> DataFrame:
+    """The path of `quantiles` for tables of any size."""
     by, keys = list(by), [*by, "column"]
     names, levels = list(probs), [float(p) for p in probs.values()]
     long = long_values(df, cols, by)
-    bounds = _brackets(long, keys, levels, keep_all, grid, salts)
+    bounds = _brackets(long, keys, levels, grid, salts)
     # Without groups the bounds are one row per column; with groups Spark sizes the join itself.
     placed = null_safe_join(long, bounds if by else F.broadcast(bounds), keys)
     v = F.col("value")

@@ -31,13 +31,22 @@ class SplitData:
         staged = stage_table(split.filter("split is not null").select(*cols), "split")
         self.train = spread(staged.filter("split = 'train'"))
         self.test = spread(staged.filter("split = 'test'"))
+        self._fitted: dict[bool, prep.Preparation] = {}
         self._prepared: dict[bool, tuple[prep.Preparation, DataFrame, DataFrame]] = {}
 
+    def preparation(self, scale: bool) -> prep.Preparation:
+        """Fitted on train once; the scaled one only adds means and deviations."""
+        if not self._fitted:
+            self._fitted[False] = prep.fit_preparation(self.train, self.numeric, self.categorical, scale=False)
+        if scale and True not in self._fitted:
+            self._fitted[True] = prep.with_scale(self._fitted[False], self.train)
+        return self._fitted[scale]
+
     def prepared(self, scale: bool) -> tuple[prep.Preparation, DataFrame, DataFrame]:
         """Preparation and assembled train and test; each is made once. Iterative fits scan the
         train side many times, so it is kept on memory and disk."""
         if scale not in self._prepared:
-            p = prep.fit_preparation(self.train, self.numeric, self.categorical, scale)
+            p = self.preparation(scale)
             made = [p.assemble(side).select(self.time, self.target, "features") for side in (self.train, self.test)]
             self._prepared[scale] = (p, made[0].persist(), made[1])
         return self._prepared[scale]
@@ -65,7 +74,7 @@ def fit_predict(data: SplitData, name: str, trees: int = models.N_TREES, depth:
         weights = dict(zip(p.feature_names, model.featureImportances.toArray().tolist()))
         return models.predict(model, test, name, t, data.keys()), weights
     if name == "extra_trees":
-        p = prep.fit_preparation(data.train, data.numeric, data.categorical, scale=False)
+        p = data.preparation(scale=False)
         train = p.codes(p.fill(data.train)).persist()
         forest = extra_trees.fit_extra_trees(train, p, t, trees, depth)
         train.unpersist()
@@ -73,7 +82,7 @@ def fit_predict(data: SplitData, name: str, trees: int = models.N_TREES, depth:
         found = extra_trees.predict_extra_trees(forest, test, p, t, data.keys())
         return found, extra_trees.extra_trees_importance(forest, p)
     if name == "knn":
-        p = prep.fit_preparation(data.train, data.numeric, data.categorical, scale=True)
+        p = data.preparation(scale=True)
         tie = list(dict.fromkeys([data.time, *data.categorical, *data.numeric, t]))
         return knn.knn_regress(data.train, data.test, p, t, data.keys(), tie=tie), None
     raise ValueError(f"unknown model {name!r}")

@@ -493,15 +493,18 @@ def quantiles(spark, sf):
     return rounded(distribution.percentiles(stored_panel(spark, sf), [TARGET, RATIO, "e1_kwh"]))
 
 
-# Small enough that the line table goes through the brackets, the path of large columns.
-BRACKET_KEEP, BRACKET_GRID = 500, 100
-
-
 @query("quantiles_bracketed", union([_quantile_sql(c, "lineitem", distribution.PERCENTILES) for c in ("l_extendedprice", "l_quantity")]))
 def quantiles_bracketed(spark, sf):
-    return rounded(ranks.quantiles(
-        t(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], distribution.PERCENTILES,
-        keep_all=BRACKET_KEEP, grid=BRACKET_GRID,
+    """The path of large tables; the coarse grid makes it narrow the values at small sizes too."""
+    return rounded(ranks.bracketed_quantiles(
+        t(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], distribution.PERCENTILES, grid=100
+    ))
+
+
+@query("quantiles_grouped", "SELECT l_returnflag, l_linestatus, " + _quantile_sql("l_extendedprice", "lineitem", distribution.PERCENTILES)[7:] + " GROUP BY 1, 2")
+def quantiles_grouped(spark, sf):
+    return rounded(ranks.bracketed_quantiles(
+        t(spark, sf, "lineitem"), ["l_extendedprice"], distribution.PERCENTILES, by=["l_returnflag", "l_linestatus"], grid=100
     ))
 
 

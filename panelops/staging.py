@@ -53,7 +53,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
     Past the bound the frame is returned as it is, and the join shuffles.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 
