@@ -8,7 +8,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelops.operators.ranks import average_ranks
+from panelops.operators.ranks import average_ranks, quantiles
+from panelops.staging import stage
 
 
 def pearson_pair(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -78,13 +79,8 @@ def group_r2(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
 
 
 def group_r2_summary(r2: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """Median and third quartile over groups, and groups above the threshold.
-
-    `r2` has one row per pair of categories, a table of category counts, not of rows.
-    """
-    return r2.agg(
-        F.count("r2").alias("n_groups"),
-        F.percentile("r2", 0.5).alias("median_r2"),
-        F.percentile("r2", 0.75).alias("p75_r2"),
-        F.count_if(F.col("r2") > threshold).alias("n_above"),
-    )
+    """Median and third quartile over groups, and groups above the threshold, in one row."""
+    r2 = stage(r2.select("r2"))
+    q = quantiles(r2, ["r2"], {"median_r2": 0.5, "p75_r2": 0.75})
+    above = r2.agg(F.count_if(F.col("r2") > threshold)).scalar()
+    return q.select(F.col("n").alias("n_groups"), "median_r2", "p75_r2", above.alias("n_above"))

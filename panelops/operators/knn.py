@@ -84,10 +84,12 @@ def knn_regress(
                 for j in range(len(numeric)):
                     z = (a[rows, j, None] - x[None, :, j]) / sd[j]
                     d += z * z
+                # Whole numbers first, so that equal costs stay equal after rounding.
+                cost = np.zeros_like(d)
                 for j in range(len(codes)):
                     p, q = b[rows, j, None], c[None, :, j]
-                    d += (p != q) * (1.0 + ((p > 0) & (q > 0)))
-                out[rows] = nearest_mean(d, y, k)
+                    cost += (p != q) * (1.0 + ((p > 0) & (q > 0)))
+                out[rows] = nearest_mean(d + cost, y, k)
             yield batch[list(keep)].assign(y=batch[target].astype(float), yhat=out)
 
     work = encoded(test).select(*dict.fromkeys([*keep, target, *numeric, *codes]))

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelops.staging import null_safe_join, stage
+from panelops.staging import broadcast_checked, null_safe_join, stage
 
 # Up to this many values (rows times columns) one aggregate may hold them.
 DIRECT_VALUES = 1_000_000
@@ -109,7 +109,7 @@ def quantiles(
     """Exact quantiles with linear interpolation: (by.., column, n, one column per name in `probs`).
 
     The rows are counted first: a small table takes one aggregate. A large one takes two scans and
-    one staged table that holds the values inside the brackets only; store it before if it is
+    staged tables of the brackets and of the values inside them; store it before if it is
     expensive to derive. A rank outside its bracket raises an error instead of giving a wrong value.
     """
     if df.count() * len(cols) <= direct_values:
@@ -132,9 +132,9 @@ def bracketed_quantiles(
     by, keys = list(by), [*by, "column"]
     names, levels = list(probs), [float(p) for p in probs.values()]
     long = long_values(df, cols, by)
-    bounds = _brackets(long, keys, levels, grid, salts)
-    # Without groups the bounds are one row per column; with groups Spark sizes the join itself.
-    placed = null_safe_join(long, bounds if by else F.broadcast(bounds), keys)
+    # One row per group and column: staged, counted, and broadcast only if they are few.
+    bounds = broadcast_checked(stage(_brackets(long, keys, levels, grid, salts)))
+    placed = null_safe_join(long, bounds, keys)
     v = F.col("value")
     inside = F.lit(False)
     below = F.lit(float("-inf"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelops.operators.ranks import quantiles
 from panelops.spec import PanelSpec
+from panelops.staging import stage
 
 
 def model_table(df: DataFrame, spec: PanelSpec, target: str, non_negative: bool = False) -> DataFrame:
@@ -131,10 +133,29 @@ def extremes(df: DataFrame, value: str, tie: Sequence[str], k: int = 5) -> DataF
     return top.unionByName(top_rows(df, value, tie, k, largest=False).withColumn("side", F.lit("bottom")))
 
 
-def hash_sample(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] = ()) -> DataFrame:
+def hash_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """n rows without replacement, the same ones however the table is partitioned.
 
-    The order is a hash of the row, so the n smallest hashes are a top-k, not a full sort.
+    The sample is the n rows with the smallest row hash. Only rows below a hash that some n rows are
+    expected to reach are grouped, so the ordered window sees about n rows whatever the table's size,
+    and equal rows, which share their hash, travel as one row with a count.
     """
-    cols = list(key) or df.columns
-    return df.orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(n)
+    cols = df.columns
+    total = df.count()
+    if total <= n:
+        return df
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *cols))
+    share = (n + 10.0 * math.sqrt(n) + 100.0) / total
+    while True:
+        cut = min(int(-(2.0**63) + min(share, 1.0) * 2.0**64), 2**63 - 1)
+        groups = stage(
+            hashed.filter(F.col("_hash") <= F.lit(cut)).groupBy("_hash", *cols).agg(F.count(F.lit(1)).alias("_n"))
+        )
+        # Copies of few rows may all lie above the hash; then the share is too small.
+        if share >= 1.0 or (groups.agg(F.sum("_n")).first()[0] or 0) >= n:
+            break
+        share *= 2.0
+    earlier = Window.orderBy("_hash", *cols).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(n) - F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    taken = groups.withColumn("_take", F.least(F.col("_n"), room)).filter("_take > 0")
+    return taken.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_take"))).alias("_copy")).drop("_copy")

@@ -212,7 +212,7 @@ def _coded(side: str) -> str:
     f", lv_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS p FROM (SELECT DISTINCT {c} FROM train))" for c in CATEGORICAL) + f""",
 s AS (SELECT {", ".join(f"stddev_pop({c}) AS s_{c}" for c in NUMERIC)} FROM train),
 near AS (SELECT t.id, any_value(t.fecha) AS fecha, any_value(t.energia_kwh) AS y,
-                min(ROW({_Z} + {_COSTS}, n.fecha, n.region, n.comuna, n.tipo_clientes, n.tarifa, n.clientes_facturados, n.energia_kwh), 5) AS k
+                min(ROW(({_Z}) + ({_COSTS}), n.fecha, n.region, n.comuna, n.tipo_clientes, n.tarifa, n.clientes_facturados, n.energia_kwh), 5) AS k
          FROM {_coded("test")} t CROSS JOIN {_coded("train")} n CROSS JOIN s GROUP BY t.id)""", f"""
 SELECT fecha, CAST(y AS DOUBLE) AS y, {r("list_avg(list_transform(k, lambda x: x[8]))", "yhat", 4)} FROM near"""))
 def knn_regress(spark, sf):

@@ -129,7 +129,7 @@ def topk_customers(spark, sf):
 
 @query("hash_sample")
 def hash_sample(spark, sf):
-    return views.hash_sample(panel(spark, sf), 20_000)
+    return views.hash_sample(stored_panel(spark, sf), 20_000)
 
 
 # --- joins and the split ------------------------------------------------------------------

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelops.functions import columns as fx
+from panelops.staging import broadcast_checked
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -15,8 +19,15 @@ SYSTEM = "O"
 RESIDENTIAL = ("HOUSEHOLD", "FURNITURE")
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str) -> StructType:
+    """Table schemas do not change while a process runs, so each is read from its file once."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +41,8 @@ def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order key to panel unit. Dimensions are joined before the line table, which is then shuffled
-    once. Nations and regions are fixed lists (25 and 5 rows) and are broadcast; customers and orders
-    grow with the data and are merge-joined, where AQE splits hot keys."""
+    once. Nations and regions are fixed lists (25 and 5 rows) and are broadcast; customers grow with
+    the data, so they are broadcast only as long as their counted rows are few."""
     def t(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
@@ -43,7 +54,7 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_mktsegment").isin(*RESIDENTIAL), "Residencial").otherwise("No Residencial").alias("tipo_clientes"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("active"),
     )
-    return t("orders").join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select(
+    return t("orders").join(broadcast_checked(customers, t("customer")), F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", fx.month_start("o_orderdate").alias("fecha"),
         "region", "comuna", "tipo_clientes", F.col("o_orderpriority").alias("tarifa"), "active",
     )
@@ -52,6 +63,7 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing rows at the raw grain, with the dimension that the clean panel hides."""
     q = F.col("q")
+    # Two tables that grow with the data: merged, with hot order keys split by AQE.
     joined = signed_lines(spark, sf_dir).join(
         units(spark, sf_dir).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )

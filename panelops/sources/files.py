@@ -48,19 +48,23 @@ def header_columns(header: Column, sep: Column) -> Column:
     return F.when(F.length(header) > 0, cells).otherwise(F.array().cast("array<string>"))
 
 
+def plain_path(path: Column) -> Column:
+    """File addresses come URL-encoded and with one or three slashes; one spelling for both."""
+    one_form = F.replace(F.regexp_replace(path, "^file:/+", "file:/"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(one_form)
+
+
 def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file: size, lines, first line. Lines are counted in parallel inside a file too.
 
-    Sizes come from the listing (file contents are not selected, so not read), which keeps empty files.
+    Empty files are not scanned by Spark; they come from the list of files, which the driver holds
+    for any scan.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
-    )
+    text = spark.read.option("recursiveFileLookup", True).text(path)
     lines = (
-        spark.read.option("recursiveFileLookup", True).text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
+        text.select(
+            plain_path(F.col("_metadata.file_path")).alias("path"),
+            F.col("_metadata.file_size").alias("size"),
             F.struct(
                 F.col("_metadata.file_block_start").alias("start"),
                 F.monotonically_increasing_id().alias("pos"),
@@ -68,12 +72,13 @@ def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
             "value",
         )
         .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("n_lines"), F.min_by("value", "at").alias("header"))
+        .agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n_lines"), F.min_by("value", "at").alias("header"))
     )
-    return listed.join(lines, "path", "left").select(
+    listed = spark.createDataFrame([(f,) for f in text.inputFiles()], "path string")
+    return listed.select(plain_path(F.col("path")).alias("path")).join(lines, "path", "left").select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
-        "bytes",
+        F.coalesce("size", F.lit(0)).alias("bytes"),
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
         F.coalesce("header", F.lit("")).alias("header"),
     )
@@ -196,15 +201,25 @@ def duplicate_members(df: DataFrame, content: str, name: str) -> DataFrame:
 
     The hashes are staged, so the contents are read once.
     """
-    hashed = stage(_hashed(df, content, name))
+    return _members(stage(_hashed(df, content, name)))
+
+
+def _members(hashed: DataFrame) -> DataFrame:
     return hashed.join(_groups(hashed).select("md5"), "md5", "left_semi")
 
 
 def file_duplicates(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Byte-identical files: md5, name. A file is one task's read, up to Spark's 2 GB per value."""
+    """Byte-identical files: md5, name. A file is one task's read, up to Spark's 2 GB per value.
+
+    Empty files are not scanned; they are the listed files without a hash.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    named = files.withColumn("name", F.element_at(F.split("path", "/"), -1))
-    return duplicate_members(named, "content", "name")
+    address = plain_path(F.col("_metadata.file_path"))
+    hashed = stage(_hashed(files.withColumn("address", address), "content", "address"))
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
+    empty = listed.select(plain_path(F.col("path")).alias("name")).join(hashed, "name", "left_anti")
+    whole = hashed.unionByName(empty.select(F.md5(F.lit("").cast("binary")).alias("md5"), "name"))
+    return _members(whole).select("md5", F.element_at(F.split("name", "/"), -1).alias("name"))
 
 
 def table_catalogue(tables: dict[str, DataFrame]) -> DataFrame:

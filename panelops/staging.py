@@ -48,14 +48,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the (staged) table is known to hold few rows.
+def broadcast_checked(df: DataFrame, counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side only when it is known to hold few rows; past the bound both sides are
+    shuffled and merged, where AQE splits hot keys.
 
-    Past the bound the frame is returned as it is, and the join shuffles.
+    `counted` is a cheaper table with at least as many rows, such as the stored table behind `df`.
     """
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    rows = (df if counted is None else counted).count()
+    return F.broadcast(df) if rows <= max_rows else df.hint("merge")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -69,9 +69,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match; the right-hand key columns are dropped."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
-    )
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     cond = None
     for c in on:
         eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
