@@ -295,11 +295,11 @@ def aux_source_shares(spark, sf):
 
 
 @query("target_vs_lag", with_(LAGGED_PANEL, f"""
-SELECT fecha, CAST(sum(energia_kwh) AS BIGINT) AS total, {r("avg(demanda_promedio_mes_sen_L1)", "series_mean", 4)},
+SELECT fecha, CAST(sum(energia_kwh) AS BIGINT) AS total, {r("avg(demanda_promedio_mes_sen_L1)", "series_mean")},
        sum(energia_kwh) / 1e6 AS gwh FROM lagged_panel GROUP BY 1"""))
 def target_vs_lag(spark, sf):
     out = agg.target_vs_series(lagged_panel(spark, sf), TIME, TARGET, "demanda_promedio_mes_sen_L1")
-    return out.withColumn("series_mean", F.round("series_mean", 4))
+    return out.withColumn("series_mean", F.round("series_mean", 6))
 
 
 PROFILED = ["fecha", "region", "comuna", "tipo_clientes", "tarifa", "clientes_facturados", "energia_kwh"]
