@@ -32,7 +32,8 @@ def cumulative_counts(values: DataFrame, by: Sequence[str], value: str = "value"
     distinct per (by, value) and carry their frequency.
 
     The sorted partitions are staged with their number, so offsets and rows agree even when a
-    task is run again. The offset table has at most (partitions + groups) rows.
+    task is run again. The offset table has at most (partitions + groups) rows; it is counted and
+    broadcast if small, so the values are not shuffled once more for it.
     """
     by = list(by)
     ranged = stage(
@@ -46,7 +47,7 @@ def cumulative_counts(values: DataFrame, by: Sequence[str], value: str = "value"
         F.sum("_n").over(Window.partitionBy(*by) if by else Window.partitionBy()).alias("total"),
     )
     inside = ranged.withColumn("_inside", F.coalesce(F.sum(freq).over(w_in), F.lit(0)))
-    joined = null_safe_join(inside, offsets, [*by, "_part"])
+    joined = null_safe_join(inside, broadcast_checked(stage(offsets)), [*by, "_part"])
     return joined.withColumn("before", F.col("_offset") + F.col("_inside")).drop("_part", "_offset", "_inside")
 
 

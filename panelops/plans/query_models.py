@@ -197,6 +197,50 @@ for _name, _model in (
     _fit_query(_name, _model)
 
 
+def _solve3(alpha: float) -> str:
+    """CTEs that solve the penalised normal equations of three standardised numbers by determinants."""
+    z = {f"z{i}": f"({c} - {c}_m) / {c}_s" for i, c in enumerate(NUMERIC)}
+    stats = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in NUMERIC)
+    cells = ", ".join(
+        f"sum(z{i} * z{j}) + {alpha if i == j else 0.0} AS a{i}{j}" for i in range(3) for j in range(3)
+    ) + ", " + ", ".join(f"sum(z{i} * (energia_kwh - y_m)) AS b{i}" for i in range(3))
+
+    def det(col: int | None) -> str:
+        def a(i: int, j: int) -> str:
+            return f"b{i}" if j == col else f"a{i}{j}"
+
+        return " + ".join(
+            f"{a(0, j)} * ({a(1, (j + 1) % 3)} * {a(2, (j + 2) % 3)} - {a(1, (j + 2) % 3)} * {a(2, (j + 1) % 3)})"
+            for j in range(3)
+        )
+
+    zs = ", ".join(f"{e} AS {n}" for n, e in z.items())
+    return SPLIT + f""",
+s AS (SELECT {stats}, avg(energia_kwh) AS y_m FROM train),
+zt AS (SELECT energia_kwh, y_m, {zs} FROM train, s),
+normal AS (SELECT {cells} FROM zt),
+beta AS (SELECT {", ".join(f"({det(i)}) / ({det(None)}) AS w{i}" for i in range(3))} FROM normal),
+fitted AS (SELECT fecha, CAST(energia_kwh AS DOUBLE) AS y, y_m + {" + ".join(f"w{i} * {z[f'z{i}']}" for i in range(3))} AS yhat FROM test, s, beta)"""
+
+
+def _numeric_fit(spark, sf, name: str) -> DataFrame:
+    data = modelling.SplitData(split_rows(spark, sf), NUMERIC, (), TARGET, TIME)
+    found, _ = modelling.fit_predict(data, name)
+    return rounded(found.drop("model"), 4)
+
+
+@query("fit_linear_numeric", with_(_solve3(0.0), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
+def fit_linear_numeric(spark, sf):
+    """Least squares on the three numbers alone, which SQL can solve too."""
+    return _numeric_fit(spark, sf, "linear")
+
+
+@query("fit_ridge_numeric", with_(_solve3(models.RIDGE_ALPHA), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
+def fit_ridge_numeric(spark, sf):
+    """Ridge on the three numbers alone; the penalty moves the predictions by more than the rounding."""
+    return _numeric_fit(spark, sf, "ridge")
+
+
 _Z = " + ".join(f"((t.{c} - n.{c}) / s_{c}) * ((t.{c} - n.{c}) / s_{c})" for c in NUMERIC)
 _COSTS = " + ".join(
     f"CASE WHEN t.code_{c} = n.code_{c} THEN 0.0 WHEN t.code_{c} > 0 AND n.code_{c} > 0 THEN 2.0 ELSE 1.0 END::DOUBLE" for c in CATEGORICAL

@@ -132,6 +132,20 @@ def hash_sample(spark, sf):
     return views.hash_sample(stored_panel(spark, sf), 20_000)
 
 
+@query("hash_sample_check", with_(PANEL, """
+SELECT least(20000, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_foreign, CAST(0 AS BIGINT) AS n_moved FROM panel"""))
+def hash_sample_check(spark, sf):
+    """Size of the sample, rows of it that the panel lacks, rows that another layout would change."""
+    base = stored_panel(spark, sf)
+    sample = views.hash_sample(base, 20_000)
+    again = views.hash_sample(base.repartition(13, "comuna"), 20_000)
+    return sample.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows",
+        sample.exceptAll(base).agg(F.count(F.lit(1))).scalar().alias("n_foreign"),
+        sample.exceptAll(again).agg(F.count(F.lit(1))).scalar().alias("n_moved"),
+    )
+
+
 # --- joins and the split ------------------------------------------------------------------
 
 MONTHLY_COLUMNS = ("demanda_promedio_mes_sen", "demanda_maxima_mes_sen", "rango_demanda_mes_sen", "total_hidro_mes",
@@ -323,6 +337,16 @@ def distinct_profile_approx(spark, sf):
     return agg.distinct_profile(panel(spark, sf), PROFILED, approximate=True)
 
 
+@query("distinct_approx_check", """
+SELECT count(DISTINCT l_orderkey) AS n_exact, true AS within FROM lineitem""")
+def distinct_approx_check(spark, sf):
+    """The sketch stays within a tenth of the exact count (its standard error is a twentieth)."""
+    lines = t(spark, sf, "lineitem")
+    exact = agg.distinct_profile(lines, ["l_orderkey"]).select("n_distinct").scalar()
+    found = agg.distinct_profile(lines, ["l_orderkey"], approximate=True)
+    return found.select(exact.alias("n_exact"), (F.abs(F.col("n_distinct") - exact) <= exact * 0.1).alias("within"))
+
+
 @query("time_range", with_(PANEL, """
 SELECT min(fecha) AS first_date, max(fecha) AS last_date, min(anio) AS first_year, max(anio) AS last_year,
        min(mes) AS first_month, max(mes) AS last_month, count(DISTINCT fecha) AS n_months, count(*) AS n_rows FROM panel"""))
@@ -513,6 +537,29 @@ def quantiles_approx(spark, sf):
     return ranks.approximate_quantiles(t(spark, sf, "lineitem"), ["l_extendedprice"], distribution.PERCENTILES)
 
 
+@query("quantiles_approx_check", union([
+    f"SELECT '{p}' AS prob, true AS within FROM (SELECT count(*) FROM lineitem)" for p in distribution.PERCENTILES]))
+def quantiles_approx_check(spark, sf):
+    """Rank of every approximate quantile against the promised bound, n / accuracy."""
+    lines, accuracy = t(spark, sf, "lineitem").select("l_extendedprice"), 1000
+    q = ranks.approximate_quantiles(lines, ["l_extendedprice"], distribution.PERCENTILES, accuracy=accuracy)
+    one = q.select(F.struct(*distribution.PERCENTILES)).scalar()
+    x = F.col("l_extendedprice")
+    counted = lines.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(x < one[p]).alias(f"{p}_lo") for p in distribution.PERCENTILES],
+        *[F.count_if(x <= one[p]).alias(f"{p}_hi") for p in distribution.PERCENTILES],
+    )
+    n = F.col("n")
+    rows = [
+        F.struct(F.lit(p).alias("prob"), (
+            (F.col(f"{p}_lo") <= share * n + n / accuracy) & (F.col(f"{p}_hi") >= share * n - n / accuracy)
+        ).alias("within"))
+        for p, share in distribution.PERCENTILES.items()
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def _iqr_sql(c: str, table: str) -> str:
     return f"""
 SELECT '{c}' AS "column", count({c}) AS n, {r("any_value(q1)", "q1")}, {r("any_value(q3)", "q3")}, {r("any_value(q1 - 1.5 * (q3 - q1))", "lower")},
