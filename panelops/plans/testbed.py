@@ -39,42 +39,54 @@ def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order key to panel unit. Dimensions are joined before the line table, which is then shuffled
-    once. Nations and regions are fixed lists (25 and 5 rows) and are broadcast; customers grow with
-    the data, so they are broadcast only as long as their counted rows are few."""
-    def t(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
-
-    places = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey")).select(
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation key to region and nation name: fixed lists of 5 and 25 rows."""
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("r_name").alias("region"), F.col("n_name").alias("comuna")
     )
-    customers = t("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "region", "comuna",
-        F.when(F.col("c_mktsegment").isin(*RESIDENTIAL), "Residencial").otherwise("No Residencial").alias("tipo_clientes"),
+
+
+def units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order key to panel unit, with the nation still a key. Customers grow with the data, so they
+    are broadcast only as long as their counted rows are few."""
+    customer = table(spark, sf_dir, "customer")
+    owners = customer.select(
+        "c_custkey", "c_nationkey", F.col("c_mktsegment").isin(*RESIDENTIAL).alias("residential"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("active"),
     )
-    return t("orders").join(broadcast_checked(customers, t("customer")), F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", fx.month_start("o_orderdate").alias("fecha"),
-        "region", "comuna", "tipo_clientes", F.col("o_orderpriority").alias("tarifa"), "active",
+    return table(spark, sf_dir, "orders").join(
+        broadcast_checked(owners, customer), F.col("o_custkey") == F.col("c_custkey")
+    ).select(
+        "o_orderkey", fx.month_start("o_orderdate").alias("fecha"), "c_nationkey", "residential",
+        F.col("o_orderpriority").alias("tarifa"), "active",
     )
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Billing rows at the raw grain, with the dimension that the clean panel hides."""
+    """Billing rows at the raw grain, with the dimension that the clean panel hides.
+
+    Rows are grouped by short keys; the names are looked up for the groups, not for the lines.
+    """
     q = F.col("q")
     # Two tables that grow with the data: merged, with hot order keys split by AQE.
     joined = signed_lines(spark, sf_dir).join(
         units(spark, sf_dir).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    return joined.groupBy(
-        "fecha", "region", "comuna", "tipo_clientes", "tarifa", F.col("l_returnflag").alias("hidden_dim")
+    groups = joined.groupBy(
+        "fecha", "c_nationkey", "residential", "tarifa", F.col("l_returnflag").alias("hidden_dim")
     ).agg(
         F.count_distinct("active").alias("clientes_facturados"),
         F.sum(F.when(F.col("l_linestatus") == "F", q)).alias("e1_kwh"),
         F.sum(F.when(F.col("l_linestatus") == "O", q)).alias("e2_kwh"),
         F.sum(q).cast("bigint").alias("energia_kwh"),
     )
+    named = groups.join(F.broadcast(places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.select(
+        "fecha", "region", "comuna",
+        F.when(F.col("residential"), "Residencial").otherwise("No Residencial").alias("tipo_clientes"),
+        "tarifa", "hidden_dim", "clientes_facturados", "e1_kwh", "e2_kwh", "energia_kwh",
+    )
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
