@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelops.operators.duplicates import key_duplicates
@@ -104,17 +104,14 @@ def exposure_anomalies(df: DataFrame, exposure: str) -> DataFrame:
     )
 
 
-def _finding(check: str, value: Column, level: Column) -> Column:
+def finding(check: str, value: Column, level: Column) -> Column:
     return F.struct(F.lit(check).alias("check"), level.alias("level"), value.cast("bigint").alias("value"))
 
 
-def _warn(value: Column) -> Column:
+def warn(value: Column) -> Column:
     return F.when(value > 0, "WARNING").otherwise("OK")
 
 
-def _fail(value: Column) -> Column:
-    return F.when(value > 0, "ERROR").otherwise("OK")
-
 
 def audit_findings(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """(check, level, value) for the clean panel: key duplicates, target signs, exposure nulls."""
@@ -126,38 +123,39 @@ def audit_findings(df: DataFrame, spec: PanelSpec) -> DataFrame:
     surplus = key_duplicates(df, spec.panel_key).select("n_surplus").scalar()
     c = F.col
     rows = [
-        _finding("panel_key_surplus", c("surplus"), _warn(c("surplus"))),
-        _finding("target_negative", c("neg"), _warn(c("neg"))),
-        _finding("target_zero", c("zero"), _warn(c("zero"))),
-        _finding("exposure_null", c("e_null"), _warn(c("e_null"))),
-        _finding("exposure_not_positive", c("e_low"), _warn(c("e_low"))),
+        finding("panel_key_surplus", c("surplus"), warn(c("surplus"))),
+        finding("target_negative", c("neg"), warn(c("neg"))),
+        finding("target_zero", c("zero"), warn(c("zero"))),
+        finding("exposure_null", c("e_null"), warn(c("e_null"))),
+        finding("exposure_not_positive", c("e_low"), warn(c("e_low"))),
     ]
     return facts.withColumn("surplus", surplus).select(F.inline(F.array(*rows)))
 
 
-def contract_findings(df: DataFrame | None, required: Sequence[str], dataset: str) -> DataFrame | list[tuple]:
-    """ERROR rows for a missing dataset or missing required columns, else OK with the filled rows.
-
-    `df` is None when the dataset does not exist; then only the finding itself is returned.
-    """
-    if df is None:
-        return [(f"{dataset}:exists", "ERROR", 0)]
-    rows = [_finding(f"{dataset}:exists", F.count(F.lit(1)), F.lit("OK"))]
+def contract_findings(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(check, level, value): rows of the dataset, and ERROR for a required column that is missing,
+    else OK with its filled rows. A dataset that does not exist is `missing_dataset`."""
+    rows = [finding("exists", F.count(F.lit(1)), F.lit("OK"))]
     for c in required:
         if c in df.columns:
-            rows.append(_finding(f"{dataset}:{c}", F.count(c), F.lit("OK")))
+            rows.append(finding(c, F.count(c), F.lit("OK")))
         else:
-            rows.append(_finding(f"{dataset}:{c}", F.lit(0), F.lit("ERROR")))
+            rows.append(finding(c, F.lit(0), F.lit("ERROR")))
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
+def missing_dataset(spark: SparkSession) -> DataFrame:
+    """The contract finding of a dataset that cannot be read."""
+    return spark.range(1).select(finding("exists", F.lit(0), F.lit("ERROR")).alias("f")).select("f.*")
+
+
 def leakage_columns(df: DataFrame, same_period: Sequence[str]) -> DataFrame:
     """(check, level, value) per forbidden same-month column: ERROR with its filled rows if there."""
     rows = []
     for c in same_period:
         present = c in df.columns
         n = F.count(c) if present else F.lit(0)
-        rows.append(_finding(c, n, F.lit("ERROR" if present else "OK")))
+        rows.append(finding(c, n, F.lit("ERROR" if present else "OK")))
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 

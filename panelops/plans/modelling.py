@@ -156,9 +156,12 @@ def scenario_matrix(
 
 
 def run_report(metrics: DataFrame, split: DataFrame, time: str) -> DataFrame:
-    """One row per model with the split it was judged on: the run metadata for a JSON sink."""
+    """One row per model with the split it was judged on and whether it is selected: the run
+    metadata for a JSON sink."""
     facts = views.split_check(split, time).select(
         F.struct("train_months", "test_months", "train_rows", "test_rows", "last_train", "first_test").alias("split")
     )
     best = evaluate.select_model(metrics).select("model")
-    return metrics.withColumn("split", facts.scalar()).withColumn("selected", F.col("model") == best.scalar())
+    return metrics.select(
+        "*", (F.col("model") == best.scalar()).alias("selected"), facts.scalar().alias("split")
+    ).select(*metrics.columns, "selected", "split.*")

@@ -319,10 +319,26 @@ def scenario_delta(spark, sf):
     return evaluate.scenario_delta(_matrix(spark, sf, ("mean", "ridge", "tree")), "A", "B")
 
 
-@query("run_metadata")
+@query("scenario_baseline", with_(_FAIR, union([
+    f"""SELECT '{label}' AS scenario, 'mean' AS model, count(*) AS n, {r("avg(abs(energia_kwh - m))", "mae")},
+        {r("sqrt(avg((energia_kwh - m) * (energia_kwh - m)))", "rmse")},
+        {r("1 - avg((energia_kwh - m) * (energia_kwh - m)) / var_pop(energia_kwh)", "r2")}
+        FROM split_{v}, (SELECT avg(energia_kwh) AS m FROM split_{v} WHERE split = 'train') WHERE split = 'test'"""
+    for label, v in _VIEWS.items()])))
+def scenario_baseline(spark, sf):
+    """The matrix for the one model that SQL can fit."""
+    return rounded(_matrix(spark, sf, ("mean",)).select("scenario", "model", "n", "mae", "rmse", "r2"))
+
+
+@query("run_metadata", with_(PREDICTIONS, f"""
+, tied AS (SELECT * FROM metrics WHERE model <> 'mean' AND r2 >= (SELECT max(r2) FROM metrics WHERE model <> 'mean') - 0.001)
+SELECT model, {_METRICS}, model = (SELECT model FROM tied ORDER BY mae, rmse, model LIMIT 1) AS selected,
+       (SELECT count(DISTINCT fecha) FROM train) AS train_months, (SELECT count(DISTINCT fecha) FROM test) AS test_months,
+       (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM test) AS test_rows,
+       (SELECT max(fecha) FROM train) AS last_train, (SELECT min(fecha) FROM test) AS first_test FROM metrics"""))
 def run_metadata(spark, sf):
     """The run report written as JSON and read back."""
     rows = stage_table(split_rows(spark, sf), "split")
     report = modelling.run_report(evaluate.regression_metrics(_baselines(spark, sf)), rows, TIME)
     path = sinks.write_json(report, scratch_path(spark, "run"))
-    return spark.read.schema(report.schema).json(path)
+    return _shown(spark.read.schema(report.schema).json(path))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelops.functions import columns as fx
 from panelops.operators import aggregates as agg
 from panelops.operators import association, distribution, duplicates, lags, profile, ranks, views
-from panelops.plans import billing, testbed
+from panelops.plans import audit, billing, testbed
 from panelops.plans.query_sources import t
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import (
@@ -460,12 +460,12 @@ def audit_findings(spark, sf):
 
 
 @query("schema_contract", with_(PANEL, """
-SELECT 'panel:exists' AS "check", 'OK' AS level, count(*) AS value FROM panel
-UNION ALL SELECT 'panel:energia_kwh', 'OK', count(energia_kwh) FROM panel
-UNION ALL SELECT 'panel:e1_kwh', 'OK', count(e1_kwh) FROM panel
-UNION ALL SELECT 'panel:energia_mwh', 'ERROR', 0 FROM (SELECT count(*) FROM panel)"""))
+SELECT 'exists' AS "check", 'OK' AS level, count(*) AS value FROM panel
+UNION ALL SELECT 'energia_kwh', 'OK', count(energia_kwh) FROM panel
+UNION ALL SELECT 'e1_kwh', 'OK', count(e1_kwh) FROM panel
+UNION ALL SELECT 'energia_mwh', 'ERROR', 0 FROM (SELECT count(*) FROM panel)"""))
 def schema_contract(spark, sf):
-    return profile.contract_findings(panel(spark, sf), ["energia_kwh", "e1_kwh", "energia_mwh"], "panel")
+    return profile.contract_findings(panel(spark, sf), ["energia_kwh", "e1_kwh", "energia_mwh"])
 
 
 # Same-month columns that must not reach the modelling table.
@@ -504,6 +504,29 @@ def lag_nulls(spark, sf):
     return profile.lag_nulls(lagged_panel(spark, sf))
 
 
+@query("full_audit", with_(LAGGED_PANEL, union([
+    "SELECT 'panel' AS dataset, * FROM (" + union([
+        _finding("panel_key_surplus", f"(count(*) - count(DISTINCT ({KEY})))", "WARNING"),
+        _finding("target_negative", "count(*) FILTER (WHERE energia_kwh < 0)", "WARNING"),
+        _finding("target_zero", "count(*) FILTER (WHERE energia_kwh = 0)", "WARNING"),
+        _finding("exposure_null", "(count(*) - count(clientes_facturados))", "WARNING"),
+        _finding("exposure_not_positive", "count(*) FILTER (WHERE clientes_facturados <= 0)", "WARNING")]) + ")",
+    "SELECT 'energy', 'exists', 'OK', count(*) FROM panel WHERE energia_kwh IS NOT NULL",
+    "SELECT 'energy', 'energia_kwh', 'OK', count(energia_kwh) FROM panel",
+    f"SELECT 'percap', 'exists', 'OK', count(*) FROM panel WHERE {RATIO} >= 0",
+    f"SELECT 'percap', '{RATIO}', 'OK', count(*) FROM panel WHERE {RATIO} >= 0",
+    "SELECT 'lagged', 'same_month_columns', 'OK', 0", "SELECT 'lagged', 'lags_missing', 'ERROR', 6",
+    "SELECT 'lagged', 'lags_undocumented', 'OK', 0", "SELECT 'lagged', 'join_leftovers', 'OK', 0",
+    f"SELECT 'lagged', 'rows_with_all_lags', 'OK', count(*) FROM lagged_panel WHERE {_COMPLETE}"])))
+def full_audit(spark, sf):
+    base = stored_panel(spark, sf)
+    tables = {
+        "energy": (views.model_table(base, BILLING, TARGET), TARGET),
+        "percap": (views.model_table(base, BILLING, RATIO, non_negative=True), RATIO),
+    }
+    return audit.audit(base, tables, lagged_panel(spark, sf, base), BILLING, DOCUMENTED_LAGS, SAME_MONTH)
+
+
 # --- distributions ------------------------------------------------------------------------
 
 

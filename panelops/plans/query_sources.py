@@ -274,6 +274,16 @@ def catalogue_use(spark, sf):
     return files.annotate(_rendered(spark, sf)).select("name", "useful", "frequency")
 
 
+@query("inventory_roundtrip", _per_table(
+    lambda folder, name, sep: f"SELECT '{folder}' AS name, '{','.join(TABLE_COLUMNS[name])}' AS columns, "
+    f"CAST(count(*) + 1 AS VARCHAR) AS n_lines, '{'; '.join(c for c in TABLE_COLUMNS[name] if 'key' in c)}' AS key_columns, "
+    f"'{'no' if name == 'supplier' else 'yes'}' AS useful FROM {name}"))
+def inventory_roundtrip(spark, sf):
+    """The inventory written as CSV and read back as text."""
+    path = sinks.write_csv(files.inventory_rows(files.annotate(_rendered(spark, sf))), scratch_path(spark, "inventory"))
+    return spark.read.csv(path, header=True).select("name", "columns", "n_lines", "key_columns", "useful")
+
+
 @query("catalogue_twins", """
 SELECT 'balance_nation.csv' AS base_name, count(*) AS n_files, 'balance_nation(1).csv' AS first_name,
        'balance_nation.csv' AS last_name, true AS same_lines, true AS same_columns, true AS same_bytes, true AS identical

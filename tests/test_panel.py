@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelops.operators import aggregates, association, distribution, duplicates, lags, profile, views
+from panelops.plans import audit
 from panelops.spec import BILLING
 
 
@@ -237,8 +238,20 @@ def test_contracts(spark):
     got = {r["column"]: (r["status"], r["n_filled"]) for r in profile.lag_contract(df, ["a_L1", "b_L1"]).collect()}
     assert got == {"a_L1": ("ok", 1), "b_L1": ("missing", 0), "extra_L2": ("extra", 0)}
     assert [r["level"] for r in profile.leakage_columns(df, ["a_L1", "a"]).collect()] == ["ERROR", "OK"]
-    assert [r["level"] for r in profile.contract_findings(df, ["a_L1", "z"], "t").collect()] == ["OK", "OK", "ERROR"]
-    assert profile.contract_findings(None, [], "t") == [("t:exists", "ERROR", 0)]
+    assert [r["level"] for r in profile.contract_findings(df, ["a_L1", "z"]).collect()] == ["OK", "OK", "ERROR"]
+    assert [tuple(r) for r in profile.missing_dataset(spark).collect()] == [("exists", "ERROR", 0)]
+
+
+def test_lag_and_file_findings(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1), (None, 1.0, 2)], "a_L1 double, a double, anio_x int")
+    got = {r["check"]: (r["level"], r["value"]) for r in audit.lag_findings(df, ["a_L1", "b_L1"], ["a"]).collect()}
+    assert got == {
+        "same_month_columns": ("ERROR", 1), "lags_missing": ("ERROR", 1), "lags_undocumented": ("OK", 0),
+        "join_leftovers": ("WARNING", 1), "rows_with_all_lags": ("OK", 1),
+    }
+    members = spark.createDataFrame([("m", "a"), ("m", "b")], "md5 string, name string")
+    assert tuple(audit.file_findings(members).first()) == ("identical_files", "WARNING", 2)
+    assert tuple(audit.file_findings(members.limit(0)).first()) == ("identical_files", "OK", 0)
 
 
 def test_additive_check_tolerance_is_strict(spark):
