@@ -15,7 +15,7 @@ from panelops.plans.sql_text import (
     DAILY, LAG_COLUMNS, LAGGED, LAGGED_PANEL, PANEL, RAW_PANEL, SPLIT, VIEW, r, split_of, union, with_,
 )
 from panelops.spec import BILLING
-from panelops.staging import stage_table
+from panelops.staging import scratch_path, stage_table
 
 panel, raw_panel = testbed.panel, testbed.raw_panel
 TIME, TARGET, EXPOSURE = BILLING.time, BILLING.target, BILLING.exposure
@@ -164,6 +164,26 @@ def panel_with_lags(spark, sf):
     return rounded(lagged_panel(spark, sf))
 
 
+@query("clean_billing_files", with_(PANEL, f"""
+SELECT DISTINCT {KEY}, anio, mes, CAST(clientes_facturados AS DOUBLE) AS clientes_facturados, e1_kwh, e2_kwh,
+       CAST(energia_kwh AS DOUBLE) AS energia_kwh, round({RATIO}, 6) AS {RATIO} FROM panel"""))
+def clean_billing_files(spark, sf):
+    """The panel from messy text: typed, derived, without the repeated rows."""
+    path = testbed.billing_text(spark, sf, scratch_path(spark, "billing"))
+    return rounded(billing.clean_billing(spark, path))
+
+
+@query("integrate_files", with_(LAGGED_PANEL, f"""
+SELECT {KEY}, energia_kwh, {", ".join(r(n, n) for _, _, n in LAG_COLUMNS)} FROM lagged_panel
+WHERE year(fecha) BETWEEN 1995 AND 2001"""))
+def integrate_files(spark, sf):
+    """The panel with lags, the national series read from decimal-comma text."""
+    demand = billing.read_demand(spark, testbed.demand_text(spark, sf, scratch_path(spark, "demand")), testbed.SYSTEM)
+    generation = billing.read_generation(spark, testbed.generation_text(spark, sf, scratch_path(spark, "generation")))
+    out = billing.integrate(panel(spark, sf), demand, generation, years=(1995, 2001))
+    return rounded(out.select(TIME, *BILLING.keys, TARGET, *lags.lag_names()))
+
+
 @query("split_check", with_(SPLIT, """
 SELECT count(DISTINCT fecha) FILTER (WHERE split = 'train') AS train_months, count(DISTINCT fecha) FILTER (WHERE split = 'test') AS test_months,
        count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'test') AS test_rows,

@@ -118,3 +118,47 @@ def generation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         source("A").alias("hidro"), source("N").alias("termo"), source("R").alias("ernc"),
         F.sum("l_quantity").alias("total"),
     )
+
+
+def billing_text(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The raw panel as messy `;`-separated text: odd headers, padding, every row of June twice."""
+    raw = raw_panel(spark, sf_dir)
+    text = raw.select(
+        F.year("fecha").cast("string").alias(" Anio"),
+        F.concat(F.lit(" "), F.month("fecha").cast("string")).alias("Mes"),
+        F.concat("region", F.lit("  ")).alias("Region"),
+        F.concat(F.lit("\t"), "comuna").alias("comuna"),
+        F.col("tipo_clientes").alias("Tipo Clientes"),
+        F.col("tarifa").alias("'tarifa'"),
+        F.col("clientes_facturados").cast("string").alias("clientes_facturados"),
+        F.coalesce(F.col("e1_kwh").cast("string"), F.lit("s/i")).alias("e1_(kwh)"),
+        F.coalesce(F.col("e2_kwh").cast("string"), F.lit("")).alias("e2_kwh"),
+        F.col("energia_kwh").cast("string").alias("energia_kwh"),
+    )
+    june = F.trim("Mes") == "6"
+    twice = text.select("*", F.explode(F.when(june, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_c"))
+    twice.drop("_c").write.option("header", True).option("sep", ";").csv(path)
+    return path
+
+
+def _comma(c: str):
+    return F.regexp_replace(F.col(c).cast("decimal(20,2)").cast("string"), r"\.", ",")
+
+
+def demand_text(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Daily demand of all systems as decimal-comma text with trailing commas."""
+    demand_daily(spark, sf_dir, system=None).select(
+        F.date_format("fecha", "dd/MM/yyyy").alias("fecha"), "sistema",
+        _comma("dmin_mw").alias("dmin_mw"), F.concat(_comma("dmax_mw"), F.lit(",,")).alias("dmax_mw,,"),
+    ).write.option("header", True).option("sep", ";").csv(path)
+    return path
+
+
+def generation_text(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Daily generation as decimal-comma text with trailing commas."""
+    generation_daily(spark, sf_dir).select(
+        F.date_format("fecha", "dd/MM/yyyy").alias("fecha"),
+        *[_comma(c).alias(c) for c in ("hidro", "termo", "ernc")],
+        F.concat(_comma("total"), F.lit(",,,,")).alias("total,,,,"),
+    ).write.option("header", True).option("sep", ";").csv(path)
+    return path
