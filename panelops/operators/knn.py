@@ -24,11 +24,21 @@ def nearest_mean(d: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
     """Mean of y over the k smallest distances of each row; the earlier column wins a tie."""
     k = min(k, d.shape[1])
     edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
-    closer = d < edge
-    tied = d == edge
-    room = k - closer.sum(axis=1, keepdims=True)
-    pick = closer | (tied & (np.cumsum(tied, axis=1) <= room))
-    return (pick * y).sum(axis=1) / k
+    rows, cols = np.nonzero(d <= edge)  # k per row, and more where the edge is tied
+    order = np.lexsort((cols, d[rows, cols], rows))
+    first = np.searchsorted(rows, np.arange(len(d)))
+    picked = cols[order[first[:, None] + np.arange(k)]]
+    return y[picked].mean(axis=1)
+
+
+def level_cost(b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distance of one-hot rows, from their level codes: per category 0 if equal, 1 if one
+    side is the zero vector (code 0), else 2. Whole numbers, so equal costs stay equal."""
+    cost = np.zeros((len(b), len(c)))
+    for j in range(b.shape[1]):
+        p, q = b[:, j, None], c[None, :, j]
+        cost += (p != q) * (1.0 + ((p > 0) & (q > 0)))
+    return cost
 
 
 def _sample(train: DataFrame, cols: Sequence[str], max_train: int) -> pd.DataFrame:
@@ -73,6 +83,7 @@ def knn_regress(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         x, c, y, sd = held.value
+        combos, combo = np.unique(c, axis=0, return_inverse=True)
         step = max(1, BLOCK_CELLS // max(1, len(y)))
         for batch in batches:
             a = batch[numeric].to_numpy(dtype=float)
@@ -84,12 +95,7 @@ def knn_regress(
                 for j in range(len(numeric)):
                     z = (a[rows, j, None] - x[None, :, j]) / sd[j]
                     d += z * z
-                # Whole numbers first, so that equal costs stay equal after rounding.
-                cost = np.zeros_like(d)
-                for j in range(len(codes)):
-                    p, q = b[rows, j, None], c[None, :, j]
-                    cost += (p != q) * (1.0 + ((p > 0) & (q > 0)))
-                out[rows] = nearest_mean(d + cost, y, k)
+                out[rows] = nearest_mean(d + level_cost(b[rows], combos)[:, combo], y, k)
             yield batch[list(keep)].assign(y=batch[target].astype(float), yhat=out)
 
     work = encoded(test).select(*dict.fromkeys([*keep, target, *numeric, *codes]))
