@@ -15,6 +15,22 @@ NUMBERS = ("clientes_facturados", "e1_kwh", "e2_kwh", "energia_kwh")
 DEMAND_NUMBERS = ("dmin_mw", "dmax_mw")
 GENERATION_NUMBERS = ("hidro", "termo", "ernc", "total")
 
+# What the columns of the clean panel hold, for schema listings.
+COLUMN_NOTES = {
+    "fecha": "first day of the billed month",
+    "anio": "year",
+    "mes": "month, 1 to 12",
+    "region": "region",
+    "comuna": "municipality within the region",
+    "tipo_clientes": "residential or not",
+    "tarifa": "tariff code, case kept",
+    "clientes_facturados": "customers billed; may be missing, zero or negative",
+    "e1_kwh": "first energy block",
+    "e2_kwh": "second energy block",
+    "energia_kwh": "energy billed; may be zero or negative",
+    "consumo_promedio_cliente_kwh": "energy per customer, missing unless customers are positive",
+}
+
 
 def type_billing(raw: DataFrame) -> DataFrame:
     """Headers, trimming, lenient numbers, month date and the per-customer ratio."""

@@ -14,6 +14,7 @@ from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import (
     DAILY, LAG_COLUMNS, LAGGED, LAGGED_PANEL, PANEL, RAW_PANEL, SPLIT, VIEW, r, split_of, union, with_,
 )
+from panelops.sources import files
 from panelops.spec import BILLING
 from panelops.staging import scratch_path, stage_table
 
@@ -488,6 +489,20 @@ def schema_contract(spark, sf):
     return profile.contract_findings(panel(spark, sf), ["energia_kwh", "e1_kwh", "energia_mwh"])
 
 
+_PANEL_TYPES = {
+    "fecha": "date", "anio": "int", "mes": "int", "region": "string", "comuna": "string", "tipo_clientes": "string",
+    "tarifa": "string", "clientes_facturados": "bigint", "e1_kwh": "double", "e2_kwh": "double", "energia_kwh": "bigint",
+    RATIO: "double",
+}
+
+
+@query("panel_schema", with_(PANEL, union([
+    f"""SELECT '{c}' AS "column", '{kind}' AS type, '{billing.COLUMN_NOTES[c]}' AS description, count({c}) AS n_filled FROM panel"""
+    for c, kind in _PANEL_TYPES.items()])))
+def panel_schema(spark, sf):
+    return files.schema_listing(panel(spark, sf), billing.COLUMN_NOTES)
+
+
 # Same-month columns that must not reach the modelling table.
 SAME_MONTH = ("demanda_promedio_mes_sen", "demanda_maxima_mes_sen", "rango_demanda_mes_sen", "total_hidro_mes",
               "total_ernc_mes", "proporcion_ernc_mes", "proporcion_hidro_mes", "total_generacion_mes")

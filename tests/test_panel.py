@@ -317,6 +317,11 @@ def test_correlations(spark):
     assert m[("x", "y")] == m[("y", "x")] and m[("x", "x")] == pytest.approx(1.0)
 
 
+def test_existing_and_missing(spark):
+    df = spark.range(1).selectExpr("1 AS a", "2 AS b")
+    assert association.existing_and_missing(df, ["a", "z"]) == (["a"], ["z"])
+
+
 def test_spearman_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 1.0)], "x double, y double")
     row = association.spearman(df, "x", "y").first()
