@@ -30,7 +30,7 @@ def test_try_number(spark, text, want):
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("2015", 2015), ("2015.0", 2015), ("5.5", None), ("x", None), (None, None), ("9007199254740993", 9007199254740993)],
+    [("2015", 2015), ("2015.0", 2015), ("5.5", None), ("x", None), (None, None), ("9007199254740993", 9007199254740993), ("1e30", None), ("inf", None)],
 )
 def test_try_integer(spark, text, want):
     assert one(spark, text, fx.try_integer) == want

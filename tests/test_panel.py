@@ -335,3 +335,39 @@ def test_group_r2(spark):
     out = association.group_r2_summary(r2).first()
     assert out["n_groups"] == 2 and out["n_above"] == 1
     assert not math.isnan(out["median_r2"])
+
+
+# --- plans --------------------------------------------------------------------------------
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profiles_scan_once(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    for df in (
+        profile.null_profile(orders), profile.sign_profile(orders, ["o_totalprice", "o_custkey"]),
+        profile.moments(orders, ["o_totalprice", "o_custkey"]),
+        association.correlation_matrix(orders, ["o_totalprice", "o_custkey", "o_orderkey"]),
+    ):
+        plan = physical(df)
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "ReadSchema: struct<o_totalprice:double>" in physical(profile.moments(orders, ["o_totalprice"]))
+
+
+def test_cohort_filter_is_pushed(spark, tmp_path):
+    small_panel(spark, 30).write.partitionBy("anio").parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    plan = physical(views.model_view(views.cohort(df, "fecha", "2018-04-01", "2019-12-01"), BILLING).filter("anio = 2019"))
+    assert "PushedFilters" in plan and "GreaterThan(energia_kwh,0)" in plan and "GreaterThan(clientes_facturados,0)" in plan
+    assert "PartitionFilters: [isnotnull(anio" in plan
+
+
+def test_large_tables_are_not_broadcast(spark, monkeypatch):
+    from panelops import staging
+
+    df = spark.range(100)
+    assert "broadcast" in staging.broadcast_checked(df)._jdf.queryExecution().logical().toString().lower()
+    over = staging.broadcast_checked(df, max_rows=99)
+    assert "strategy=broadcast" not in over._jdf.queryExecution().logical().toString().lower()

@@ -41,6 +41,8 @@ def table(rows, columns):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, sf, duck, name):
     df = QUERIES[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     cur = duck.execute(ORACLES[name])
     columns = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(columns)
