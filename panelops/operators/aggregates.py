@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelops.functions import columns as fx
+from panelops.operators.ranks import numbered
 
 
 def monthly_total(df: DataFrame, time: str, target: str) -> DataFrame:
@@ -20,15 +21,13 @@ def monthly_by(df: DataFrame, time: str, by: str, target: str) -> DataFrame:
 
 
 def ranked_total(df: DataFrame, by: str, target: str, top: int | None = None) -> DataFrame:
-    """Totals per group with their position, largest first; the name breaks ties.
-
-    The window runs over one row per group, not over the panel.
-    """
+    """Totals per group with their position, largest first; the name breaks ties."""
     totals = df.groupBy(by).agg(F.sum(target).alias("total"))
     if top is not None:
         totals = totals.orderBy(F.col("total").desc(), by).limit(top)
-    place = F.row_number().over(Window.orderBy(F.col("total").desc(), F.col(by)))
-    return totals.select(by, "total", fx.to_twh("total").alias("twh"), place.alias("position"))
+    return numbered(totals, [F.col("total").isNull(), -F.col("total"), F.col(by)]).select(
+        by, "total", fx.to_twh("total").alias("twh"), "position"
+    )
 
 
 def ranked_mean(df: DataFrame, by: str, measure: str, top: int | None = None) -> DataFrame:
@@ -36,8 +35,7 @@ def ranked_mean(df: DataFrame, by: str, measure: str, top: int | None = None) ->
     means = df.groupBy(by).agg(F.avg(measure).alias("mean"))
     if top is not None:
         means = means.orderBy(F.col("mean").desc(), by).limit(top)
-    place = F.row_number().over(Window.orderBy(F.col("mean").desc(), F.col(by)))
-    return means.select(by, "mean", place.alias("position"))
+    return numbered(means, [F.col("mean").isNull(), -F.col("mean"), F.col(by)])
 
 
 def yearly_evolution(df: DataFrame, year: str, target: str, ratio: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelops.staging import broadcast_checked, null_safe_join, stage
+from panelops.staging import BROADCAST_ROWS, broadcast_checked, null_safe_join, stage
 
 # Up to this many values (rows times columns) one aggregate may hold them.
 DIRECT_VALUES = 1_000_000
@@ -58,6 +58,20 @@ def average_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     return ranked.withColumn("rank", F.col("before") + (F.col("freq") + 1) / F.lit(2.0))
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "position", few: int = BROADCAST_ROWS) -> DataFrame:
+    """Adds 1, 2, .. in ascending order of the columns, which must tell all rows apart.
+
+    A counted small table takes one ordered window; a larger one is range-sorted and numbered by
+    partition offsets, so no task sees all rows.
+    """
+    staged = stage(df)
+    if staged.count() <= few:
+        return staged.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    spots = staged.withColumns({"_spot": F.struct(*order), "freq": F.lit(1)})
+    placed = cumulative_counts(spots, [], value="_spot")
+    return placed.select(*df.columns, (F.col("before") + 1).cast("int").alias(name))
+
+
 def _brackets(
     long: DataFrame, keys: list[str], probs: Sequence[float], grid: int, salts: int
 ) -> DataFrame:

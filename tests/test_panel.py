@@ -185,6 +185,13 @@ def test_seasonality_peak(spark):
     assert tuple(row) == (2, 30, 1, 10, 200.0)
 
 
+def test_ranked_groups_without_values_come_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 5), ("c", 5), ("d", -1)], "k string, v int")
+    want = [("b", 1), ("c", 2), ("d", 3), ("a", 4)]
+    for fn in (aggregates.ranked_total, aggregates.ranked_mean):
+        assert [(r["k"], r["position"]) for r in fn(df, "k", "v").orderBy("position").collect()] == want
+
+
 def test_ratios_and_pivot(spark):
     df = spark.createDataFrame([("a", 2020, 6), ("b", 2020, 0), ("a", 2021, 2)], "k string, y int, v int")
     assert aggregates.category_ratio(df, "k", "v", "a", "b").first()["ratio"] is None

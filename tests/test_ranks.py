@@ -71,3 +71,13 @@ def test_approximate_quantiles_within_bound(spark):
     df = spark.range(10_000).selectExpr("double(id) AS x")
     row = ranks.approximate_quantiles(df, ["x"], {"p50": 0.5}, accuracy=1000).first()
     assert abs(row["p50"] - 5000) <= 11
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_numbered(spark, few):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"k": [f"k{i:03d}" for i in range(200)], "v": rng.integers(0, 20, 200)})
+    df = spark.createDataFrame(pdf).repartition(7)
+    got = ranks.numbered(df, [-df["v"], df["k"]], few=few).toPandas().sort_values("position")
+    want = pdf.assign(m=-pdf["v"]).sort_values(["m", "k"])
+    assert list(got["k"]) == list(want["k"]) and list(got["position"]) == list(range(1, 201))
