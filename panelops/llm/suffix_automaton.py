@@ -253,11 +253,17 @@ def decontaminate(
 
 def without(text: str, spans: list[int], max_words: int) -> str:
     """The text without the characters from the first to the last word of each span."""
+    merged: list[list[int]] = []
+    for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
     words = [m.span() for m in WORD.finditer(text)]
     kept, end = [], 0
-    for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)):
-        if b - a > max_words and words[b - 1][1] > end:
-            kept.append(text[end:max(end, words[a][0])])
+    for a, b in merged:
+        if b - a > max_words:
+            kept.append(text[end:words[a][0]])
             end = words[b - 1][1]
     return "".join([*kept, text[end:]])
 
