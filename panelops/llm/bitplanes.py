@@ -25,7 +25,9 @@ from panelops.llm.common import map_batches, text_bytes
 BLOCK_IDS = 1 << 16
 LEVEL = 3
 #: Distinct pieces a worker keeps ids for; beyond it the table starts anew, ids stay the same.
-CACHED_PIECES = 2_000_000
+CACHED_PIECES = 400_000
+#: Bytes of texts a worker encodes at once, unless one text is longer; its arrays take about 60 times that.
+AT_ONCE = 1 << 21
 #: Bytes beyond which a piece's ids are not kept.
 LONG_PIECE = 64
 #: Pieces encoded by one call.
@@ -54,10 +56,12 @@ class PieceEncoder:
         rng = np.random.default_rng(0)
         self.by_byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.by_place = rng.integers(1, 1 << 63, LONG_PIECE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.cached, self.bits = cached, max(8, int(2 * cached - 1).bit_length())
-        self._clear()
+        self.cached = cached
+        self._clear(0)
 
-    def _clear(self) -> None:
+    def _clear(self, needed: int) -> None:
+        self.room = max(self.cached, needed)
+        self.bits = max(8, int(2 * self.room - 1).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)  # 0: free
         self.slot_piece = np.zeros(1 << self.bits, np.int32)
         self.n_pieces = 0
@@ -131,8 +135,8 @@ class PieceEncoder:
         raw = data.tobytes()
         if len(new):
             distinct, sample = np.unique(keys[new], return_index=True)
-            if self.n_pieces + len(distinct) > self.cached and self.n_pieces:
-                self._clear()
+            if self.n_pieces + len(distinct) > self.room:
+                self._clear(len(distinct))
                 return self.encode(data, at)
             pieces = [raw[start[i]:ends[i]].decode() for i in new[sample]]
             plain = np.asarray([p.isascii() and p.isprintable() and " " not in p[1:] and p != " " or is_latin(p[p[0] == " ":]) for p in pieces])
@@ -151,6 +155,17 @@ class PieceEncoder:
         return out, before[np.searchsorted(start, at)]
 
 
+    def encode_each(self, data: np.ndarray, at: np.ndarray) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of text after text, of which about `AT_ONCE` bytes are in work."""
+        a = 0
+        while a < len(at) - 1:
+            b = max(a + 1, int(np.searchsorted(at, at[a] + AT_ONCE, side="right")) - 1)
+            ids, begin = self.encode(data[at[a]:at[b]], at[a:b + 1] - at[a])
+            raw = ids.astype("<u4").tobytes()
+            yield from (raw[4 * x:4 * y] for x, y in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
+            a = b
+
+
 def grown(values: np.ndarray, size: int) -> np.ndarray:
     """`values`, copied to twice the length if it is shorter than `size`."""
     if size <= len(values):
@@ -269,10 +284,8 @@ def write_ids(
             return out
 
         for batch in batches:
-            found, begin = coder.encode(*text_bytes(batch.column(1)))
-            found = found.astype("<u4").tobytes()
-            for k, i in enumerate(batch.column(0).to_pylist()):
-                ids = found[4 * begin[k]:4 * begin[k + 1]] + end
+            for i, ids in zip(batch.column(0).to_pylist(), coder.encode_each(*text_bytes(batch.column(1))), strict=True):
+                ids += end
                 at = 0
                 while at < len(ids):
                     part = ids[at:at + 4 * block - len(held)]
