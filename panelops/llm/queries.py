@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelops.llm import bitplanes, ecoc_language, suffix_automaton
+from panelops.llm import bitplanes, ecoc_language, jaccard_orders, suffix_automaton
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
@@ -68,3 +68,28 @@ def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ecoc_language")
 def op10_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ecoc_language.predict(read(spark, sf_dir, "documents"))
+
+
+@query("op8_jaccard_orders", f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all({ASCII_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+'), []) AS words
+    FROM documents
+), sets AS (
+    SELECT row, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)]) END AS shingles
+    FROM docs
+), tokens AS (
+    SELECT row, len(shingles) AS n, unnest(shingles) AS token FROM sets
+), links AS (
+    SELECT a.row AS a, b.row AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.row <> b.row
+    GROUP BY a.row, b.row, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT row AS a, row AS b FROM docs
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT sets.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT reach.a AS row, min(docs.doc_id) AS component_id FROM reach JOIN docs ON docs.row = reach.b GROUP BY reach.a) c USING (row)
+""")
+def op8_jaccard_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_orders.join(read(spark, sf_dir, "documents"))
