@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,11 @@ CHUNKS = 16
 PAIRS_PER_ROW = 4
 ROUNDS = 8
 AT_ONCE = 1 << 21
+#: Bits of the table that tells which documents' texts may be wanted, as a power of two: 8 MB.
+BIT_TABLE = 26
 LONG_WORD = 64
 
+LOW_BITS = np.uint64(16)
 _RNG = np.random.default_rng(8)
 _BY_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BY_PLACE = _RNG.integers(1, 1 << 63, LONG_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,59 +137,85 @@ def bucket_counts(docs: DataFrame, text_col: str, words: int, bits: int = BUCKET
     return out.reshape(-1)
 
 
-def with_prefixes(docs: DataFrame, text_col: str, words: int, percent: int, orders: int) -> DataFrame:
-    """The table with the size of each document's set, a 128-bit digest of it (NULL for no words), its
-    prefix under the first order in order, and those under the others as 32-bit hashes. In order i a
-    shingle stands by the size class of its bucket's count, then by hash i."""
+def size_classes(docs: DataFrame, text_col: str, words: int) -> Broadcast:
+    """The logarithms of the bucket counts, for the tasks: one byte a bucket."""
     counts = bucket_counts(docs, text_col, words)
-    classes = docs.sparkSession.sparkContext.broadcast(np.log2(np.maximum(counts, 1)).astype(np.uint8))
-    place, shift = docs.columns.index(text_col), np.uint64(64 - BUCKET_BITS)
+    return docs.sparkSession.sparkContext.broadcast(np.log2(np.maximum(counts, 1)).astype(np.uint8))
+
+
+def prefix_places(s: np.ndarray, classes: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """Where the prefix of a set under an order stands in it. In order i a shingle stands by the size
+    class of its bucket's count, then by hash i."""
+    rank = classes[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
+    return np.argsort(rank | (mixed(s, 100 + order) >> np.uint64(6)), kind="stable")[:prefix_size(len(s), percent)]
+
+
+def digest_of(s: np.ndarray) -> bytes | None:
+    return blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+
+
+def with_prefixes(docs: DataFrame, text_col: str, classes: Broadcast, words: int, percent: int) -> DataFrame:
+    """The table with the size of each document's set, a 128-bit digest of it (NULL for no words), and
+    its prefix under the first order: 48 bits of each shingle's hash, then 16 of its place."""
+    place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        size, digest, first, others = [], [], [], []
+        size, digest, prefix = [], [], []
         for s in shingle_sets(*text_bytes(batch.column(place)), words):
             size.append(len(s))
-            if not len(s):
-                digest.append(None)
-                first.append([])
-                others.append([[] for _ in range(orders - 1)])
-                continue
-            digest.append(blake2b(s.tobytes(), digest_size=16).digest())
-            p = prefix_size(len(s), percent)
-            rank = classes.value[(s >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(58)
-            at = [np.argsort(rank | (mixed(s, 100 + i) >> np.uint64(6)), kind="stable")[:p] for i in range(orders)]
-            first.append(s[at[0]].view(np.int64))
-            others.append([(s[a] >> np.uint64(32)).astype(np.uint32).view(np.int32) for a in at[1:]])
-        return {"n_set": size, "digest": digest, "prefix": first, "others": others}
-
-    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>, others array<array<int>>")
+            digest.append(digest_of(s))
+            first = s[prefix_places(s, classes.value, 0, percent)] if len(s) else s
+            prefix.append((first >> LOW_BITS << LOW_BITS | np.minimum(np.arange(len(first)), 0xFFFF).astype(np.uint64)).view(np.int64))
+        return {"n_set": size, "digest": digest, "prefix": prefix}
+
+    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>")
 
 
 def pairs_in_size(na: F.Column, nb: F.Column, percent: int) -> F.Column:
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
 
 
-def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, orders: int) -> DataFrame:
-    """The pairs (a, b) of class ids that share a prefix shingle under every order and whose sets are
-    similar enough. Sets are made anew from the texts of the classes in question only."""
-    sides = classes.select("cid", "others")
-    close = pairs.join(sides.select(F.col("cid").alias("a"), F.col("others").alias("oa")), "a").join(
-        sides.select(F.col("cid").alias("b"), F.col("others").alias("ob")), "b")
-    for i in range(orders - 1):
-        close = close.filter(F.arrays_overlap(F.col("oa")[i], F.col("ob")[i]))
-    close = stage_table(close.select("a", "b"), "close")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "digest", "doc_id"), "cid")
-    texts = docs.join(wanted.select(F.col("doc_id").alias("wanted")).distinct(), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+def texts_of_ids(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`wanted` with the texts of its documents, joined on the id `key`. Before texts are shuffled, most
+    others are left out by a bit table of hashed ids, which has a fixed size."""
+    keyed = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("key"), "text")
+    bit = F.shiftrightunsigned(F.xxhash64("key"), 64 - BIT_TABLE)
+    bits = wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    near = keyed.withColumn("bit", bit).withColumn("word", F.shiftright("bit", 6).cast("int")).join(F.broadcast(bits), "word").filter(
+        "(bits & shiftleft(1L, cast(bit & 63 as int))) <> 0").select("key", "text")
+    return wanted.join(near, "key").dropDuplicates(["key", "cid", "center", "text"])
+
+
+def linked(pairs: DataFrame, named: DataFrame, docs: DataFrame, shared: Broadcast, words: int, percent: int, orders: int) -> DataFrame:
+    """The pairs (a, b) of class ids that share a prefix shingle under every further order and whose sets
+    are similar enough. Sets are made anew from the texts of the classes in question only; that of b
+    travels to a."""
+    keyed = named.select("cid", "digest", F.coalesce("doc_id", F.lit(-1)).alias("key"))
+    members = pairs.select(F.col("b").alias("cid"), F.col("a").alias("center")).join(keyed, "cid")
+    centers = pairs.select(F.col("a").alias("cid")).distinct().join(keyed, "cid").withColumn("center", F.lit(None).cast("long"))
+    wanted = stage_table(members.unionByName(centers).select("cid", "center", "digest", "key"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            found = [s for s in shingle_sets(*text_bytes(batch.column(0)), words) if len(s)]
-            yield {"digest": [blake2b(s.tobytes(), digest_size=16).digest() for s in found], "hashes": [s.view(np.int64) for s in found]}
-
-    made = map_batches(texts.select("text"), sets, "digest binary, hashes array<long>")
-    made = stage_table(made.join(wanted.select("cid", "digest"), "digest").groupBy("cid").agg(F.first("hashes").alias("hashes")), "sets")
-    both = close.join(made.select(F.col("cid").alias("a"), F.col("hashes").alias("ha")), "a").join(
-        made.select(F.col("cid").alias("b"), F.col("hashes").alias("hb")), "b")
+            out = {"cid": [], "center": [], "hashes": [], "others": []}
+            cids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for cid, center, digest, s in zip(cids, batch.column(1).to_pylist(), digests, shingle_sets(*text_bytes(batch.column(3)), words), strict=True):
+                if digest_of(s) == digest:  # else another text of the same id
+                    out["cid"].append(cid)
+                    out["center"].append(center)
+                    out["hashes"].append(s.view(np.int64))
+                    out["others"].append([
+                        (s[prefix_places(s, shared.value, i, percent)] >> np.uint64(32)).astype(np.uint32).view(np.int32) for i in range(1, orders)])
+            yield out
+
+    texts = texts_of_ids(docs, wanted).select("cid", "center", "digest", "text")
+    made = stage_table(map_batches(texts, sets, "cid long, center long, hashes array<long>, others array<array<int>>"), "sets")
+    b = made.filter("center is not null").select(F.col("center").alias("a"), F.col("cid").alias("b"), F.col("hashes").alias("hb"), F.col("others").alias("ob"))
+    a = made.filter("center is null").select(F.col("cid").alias("a"), F.col("hashes").alias("ha"), F.col("others").alias("oa"))
+    both = b.join(a, "a")
+    for i in range(orders - 1):
+        both = both.filter(F.arrays_overlap(F.col("oa")[i], F.col("ob")[i]))
     common = F.size(F.array_intersect("ha", "hb"))
     both = both.select("a", "b", common.alias("n"), (F.size("ha") + F.size("hb") - common).alias("all"))
     return both.filter(F.col("n") * 100 >= F.col("all") * percent).select("a", "b")
@@ -200,15 +230,19 @@ def class_components(
 
     NULL and empty texts have size 0, no digest and no class. NULL ids count as larger than any other.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    marked = stage_table(with_prefixes(slim, "text", words, percent, orders).drop("text"), "prefixes")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    shared = size_classes(slim, "text", words)
+    marked = stage_table(with_prefixes(slim, "text", shared, words, percent).drop("text"), "prefixes")
     classes = marked.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"), F.first("others").alias("others"))
+        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"))
     classes = stage_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    named = classes.select("cid", "digest", "doc_id")
 
-    rows = classes.select("cid", "n_set", F.posexplode("prefix").alias("pos", "token"))
-    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
-    rows = stage_table(rows.join(shared, "token"), "shared")
+    rows = classes.select("cid", F.explode("prefix").alias("packed"))
+    token = F.shiftright("packed", 16)
+    common = rows.groupBy(token.alias("token")).agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
+    rows = rows.join(common, token == F.col("token")).select("token", "cid", F.expr("cast(packed & 65535 as int)").alias("pos"))
+    rows = stage_table(rows.join(classes.select("cid", "n_set"), "cid"), "common")
     edges, labels, n_rows = None, None, rows.count()
     for k in range(rounds + 1):
         if labels is None:
@@ -224,7 +258,7 @@ def class_components(
         if not left:
             break
         now = now.join(open_tokens.select("token"), "token")
-        last = left <= pairs_per_row * n_rows or k == rounds
+        last = (k > 0 and left <= pairs_per_row * n_rows) or k == rounds
         if last:
             other = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb"))
             found = now.select("token", F.col("cid").alias("a"), F.col("n_set").alias("na"), F.col("comp").alias("ca")).join(other, "token").filter("a < b")
@@ -233,13 +267,14 @@ def class_components(
             middle = now.groupBy("token").agg(
                 F.min_by("cid", rank).alias("a"), F.min_by("n_set", rank).alias("na"), F.min_by("comp", rank).alias("ca"))
             found = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb")).join(middle, "token")
-        found = found.filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
-        new = stage_table(linked(found, classes, slim, words, percent, orders), "links")
+        found = found.filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+        if not last:  # of a member's middles, that which shares most; the others if that does not link them
+            found = found.groupBy("b").agg(F.max_by("a", "n").alias("a"))
+        new = stage_table(linked(found.select("a", "b"), named, slim, shared, words, percent, orders), "links")
         edges = new if edges is None else edges.union(new)
         labels = components(edges)
         if last:
             break
-    named = classes.select("cid", "digest", "doc_id")
     if labels is None:
         named = named.withColumn("component", F.col("cid"))
     else:
@@ -267,7 +302,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
         sets = shingle_sets(*text_bytes(batch.column(place)), words)
-        return {digest: [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]}
+        return {digest: [digest_of(s) for s in sets]}
 
     marked = with_columns(docs, run, f"`{digest}` binary")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
