@@ -3,7 +3,8 @@ several global orders of the shingles.
 
 Two sets of similarity t share a shingle among the first |s| - ceil(t |s|) + 1 of each under any one
 order. Pairs are found by equal prefix shingles under a first order (rare shingles come first), must
-also share a prefix shingle under every further order, and are then compared exactly.
+also share a prefix shingle under every further order, and are then compared exactly. Before texts are
+fetched for that, bit tables of the sets rule out most pairs that are not similar enough.
 
 Documents with equal sets form one class. Links within classes are not spelled out, and a pair whose
 classes are known to be connected is not compared, so a group of thousands of copies costs about as
@@ -21,7 +22,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelops.llm.common import fresh, map_batches, text_bytes, with_columns
@@ -160,15 +161,39 @@ def with_prefixes(docs: DataFrame, text_col: str, classes: Broadcast, words: int
     place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        size, digest, prefix = [], [], []
+        size, digest, prefix, bits = [], [], [], []
         for s in shingle_sets(*text_bytes(batch.column(place)), words):
             size.append(len(s))
             digest.append(digest_of(s))
+            bits.append(bitmap(s))
             first = s[prefix_places(s, classes.value, 0, percent)] if len(s) else s
             prefix.append((first >> LOW_BITS << LOW_BITS | np.minimum(np.arange(len(first)), 0xFFFF).astype(np.uint64)).view(np.int64))
-        return {"n_set": size, "digest": digest, "prefix": prefix}
+        return {"n_set": size, "digest": digest, "prefix": prefix, "bits": bits}
 
-    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>")
+    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>, bits array<long>")
+
+
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """A bit table of the set, two to four bits a shingle, as 64-bit integers; a power of two of them."""
+    bits = np.zeros(64 << max(0, int(np.ceil(np.log2(max(1, len(s)) / 32)))), bool)
+    bits[(mixed(s, 99) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def most_common(na: Column, nb: Column, a: Column, b: Column) -> Column:
+    """An upper bound of the shingles two sets share: a shingle whose bit the other table lacks is not
+    shared. Of tables of unequal length the longer one is folded."""
+
+    def folded(x: Column, y: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(x)
+
+    def only(x: Column, y: Column) -> Column:
+        bits = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(bits, F.lit(0), lambda n, k: n + F.coalesce(k, F.lit(0)))
+
+    fa, fb = folded(a, b), folded(b, a)
+    return F.least(na - only(fa, fb), nb - only(fb, fa))
 
 
 def pairs_in_size(na: F.Column, nb: F.Column, percent: int) -> F.Column:
@@ -234,7 +259,7 @@ def class_components(
     shared = size_classes(slim, "text", words)
     marked = stage_table(with_prefixes(slim, "text", shared, words, percent).drop("text"), "prefixes")
     classes = marked.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"))
+        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     classes = stage_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     named = classes.select("cid", "digest", "doc_id")
 
@@ -258,7 +283,7 @@ def class_components(
         if not left:
             break
         now = now.join(open_tokens.select("token"), "token")
-        last = (k > 0 and left <= pairs_per_row * n_rows) or k == rounds
+        last = left <= pairs_per_row * n_rows or k == rounds
         if last:
             other = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb"))
             found = now.select("token", F.col("cid").alias("a"), F.col("n_set").alias("na"), F.col("comp").alias("ca")).join(other, "token").filter("a < b")
@@ -268,6 +293,11 @@ def class_components(
                 F.min_by("cid", rank).alias("a"), F.min_by("n_set", rank).alias("na"), F.min_by("comp", rank).alias("ca"))
             found = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb")).join(middle, "token")
         found = found.filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+        found = stage_table(found.select("a", "b", "n"), "pairs")
+        sides = classes.select("cid", "n_set", "bits")
+        found = found.join(sides.toDF("a", "na", "ba"), "a").join(sides.toDF("b", "nb", "bb"), "b")
+        found = found.withColumn("most", most_common(F.col("na"), F.col("nb"), F.col("ba"), F.col("bb")))
+        found = found.filter(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent).select("a", "b", "n")
         if not last:  # of a member's middles, that which shares most; the others if that does not link them
             found = found.groupBy("b").agg(F.max_by("a", "n").alias("a"))
         new = stage_table(linked(found.select("a", "b"), named, slim, shared, words, percent, orders), "links")

@@ -112,3 +112,16 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = spark.createDataFrame(chain + star + [(1, 1)], "a long, b long")
     labels = {r.node: r.label for r in components(edges).collect()}
     assert labels == {i: 100 for i in range(100, 221)} | {i: 7 for i in range(7, 60)} | {1: 1}
+
+
+def test_bit_tables_bound_the_overlap(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice([3, 30, 36, 70, 400]))) for _ in range(40)]
+    sets = list(jo.shingle_sets(*text_bytes(pa.array(texts))))
+    rows = [(i, len(s), jo.bitmap(s).tolist()) for i, s in enumerate(sets)]
+    d = spark.createDataFrame(rows, "i int, n long, bits array<long>")
+    pairs = d.toDF("i", "na", "ba").crossJoin(d.toDF("j", "nb", "bb")).filter("size(ba) between size(bb) / 2 and size(bb) * 2")
+    most = pairs.select("i", "j", jo.most_common(jo.F.col("na"), jo.F.col("nb"), jo.F.col("ba"), jo.F.col("bb")).alias("most")).collect()
+    for r in most:
+        common = len(set(sets[r.i].tolist()) & set(sets[r.j].tolist()))
+        assert common <= r.most <= min(len(sets[r.i]), len(sets[r.j]))
