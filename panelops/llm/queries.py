@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelops.llm import bitplanes, ecoc_language, jaccard_orders, suffix_automaton
+from panelops.llm import bitplanes, ecoc_language, jaccard_orders, soft_mix, suffix_automaton
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+#: Shares of all tokens that the domains are to have.
+MIX_WEIGHTS = {"high": 0.87, "low": 0.13, "toxic": 0.0}
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -93,3 +95,9 @@ FROM sets JOIN (SELECT reach.a AS row, min(docs.doc_id) AS component_id FROM rea
 """)
 def op8_jaccard_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_orders.join(read(spark, sf_dir, "documents"))
+
+
+@query("op6_soft_mix")
+def op6_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = soft_mix.domains_of(read(spark, sf_dir, "labels"))
+    return soft_mix.mix(read(spark, sf_dir, "documents"), labelled, MIX_WEIGHTS)
