@@ -40,7 +40,7 @@ CHUNKS = 16
 #: contracted around a middle first. Changes the work only.
 PAIRS_PER_ROW = 4
 ROUNDS = 8
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 19
 #: Bits of the table that tells which documents' texts may be wanted, as a power of two: 8 MB.
 BIT_TABLE = 26
 LONG_WORD = 64
@@ -118,9 +118,8 @@ def bucket_counts(docs: DataFrame, text_col: str, words: int, bits: int = BUCKET
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            sets = list(shingle_sets(*text_bytes(batch.column(0)), words))
-            if sets:
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            for s in shingle_sets(*text_bytes(batch.column(0)), words):
+                np.add.at(total, s >> np.uint64(64 - bits), 1)
         pack = zstandard.ZstdCompressor(level=1)
         yield {"part": list(range(CHUNKS)), "counts": [pack.compress(c.tobytes()) for c in total.reshape(CHUNKS, -1)]}
 
