@@ -82,7 +82,8 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int =
 def posteriors(docs: DataFrame, model: DataFrame, d: int) -> DataFrame:
     """Per distinct (key, hash of text): rows, tokens of one row, and p_0 .. p_d. Equal rows get equal
     posteriors; they are added up map-side, as are the words of each text."""
-    words = docs.select("key", F.xxhash64("text").alias("hash"), n_words(F.col("text")).alias("tokens"), F.explode(features(F.col("text"))).alias("word"))
+    whole = docs.select("key", F.xxhash64("text").alias("hash"), n_words(F.col("text")).alias("tokens"), features(F.col("text")).alias("words"))
+    words = whole.select("key", "hash", "tokens", F.explode("words").alias("word"))
     scored = words.join(F.broadcast(model), "word").groupBy("key", "hash").agg(
         F.sum((F.col("word") == ROW).cast("long")).alias("rows"), F.max("tokens").alias("tokens"),
         *[F.sum(f"w_{k}").alias(f"s_{k}") for k in range(d)])
