@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelops.llm import bitplanes, ecoc_language, jaccard_orders, soft_mix, suffix_automaton
+from panelops.llm import bitplanes, ecoc_language, html_region, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
@@ -101,3 +102,70 @@ def op8_jaccard_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = soft_mix.domains_of(read(spark, sf_dir, "labels"))
     return soft_mix.mix(read(spark, sf_dir, "documents"), labelled, MIX_WEIGHTS)
+
+
+@query("op3_kdtree", """
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score, c.r AS other
+    FROM rows q JOIN rows c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+""")
+def op3_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op1_html_region")
+def op1_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.pages_text(read(spark, sf_dir, "pages"))
+
+
+@query("op9_markov_secrets")
+def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markov_secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def md5_number(text: str, at: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), {at}, 4) AS INTEGER)"
+
+
+@query("op4_url_lists", f"""
+WITH pages_at AS (
+    SELECT row_number() OVER () AS r, page_id, url, DATE '2024-01-01' + {md5_number("url", 1)} % 366 AS fetched,
+           rtrim(lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')), '.') AS host
+    FROM pages
+), labelled AS (
+    SELECT DISTINCT host, string_split(host, '.') AS labels FROM pages_at WHERE host <> ''
+), tails AS (
+    SELECT host, array_to_string(labels[i:], '.') AS pattern, len(labels) - i + 1 AS size
+    FROM (SELECT *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS i FROM labelled)
+), patterns AS (
+    SELECT DISTINCT pattern FROM tails WHERE size >= 3 OR pattern = host
+), drawn AS (
+    SELECT pattern, ['adult', 'malware', 'spam'][{md5_number("pattern", 9)} % 3 + 1] AS list,
+           DATE '2023-10-01' + {md5_number("pattern", 13)} % 366 AS start,
+           30 + {md5_number("pattern", 17)} % 120 AS gone, 180 + {md5_number("pattern", 21)} % 60 AS back, {md5_number("pattern", 25)} % 2 = 0 AS again
+    FROM patterns WHERE {md5_number("pattern", 5)} % 2 = 0
+), held AS (
+    SELECT list, pattern, start AS since, start + gone AS until FROM drawn
+    UNION ALL SELECT list, pattern, start + back, NULL FROM drawn WHERE again
+), found AS (
+    SELECT r, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+    FROM pages_at JOIN tails USING (host) JOIN held USING (pattern)
+    WHERE since <= fetched AND (until IS NULL OR fetched < until) GROUP BY r
+)
+SELECT page_id, url, host, fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked FROM pages_at LEFT JOIN found USING (r)
+""")
+def op4_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return url_lists.evaluate(url_lists.dated_captures(pages), url_lists.derived_lists(pages))
+
+
+@query("op5_patience")
+def op5_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patience.scan(read(spark, sf_dir, "documents"))

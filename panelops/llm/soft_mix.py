@@ -27,23 +27,23 @@ TOLERANCE = 1e-4
 ROW = "#row"
 
 
-def features(text: Column) -> Column:
-    """Distinct lower-cased words of the whole text, and words for its style: length, share of marks and of
-    capitals, repetition. NULL is the empty text."""
-    whole = F.coalesce(text, F.lit(""))
-    words = F.split(F.lower(whole), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+")
-    distinct = F.array_distinct(words)
+def with_features(docs: DataFrame) -> DataFrame:
+    """The table with `words`: the distinct lower-cased words of the whole text, and words for its style:
+    length, share of marks and of capitals, repetition. NULL is the empty text. The text is split once."""
+    whole = F.coalesce("text", F.lit(""))
     n = F.greatest(F.length(whole), F.lit(1))
     letters = F.length(F.translate(whole, " .,\n#$%&*!0123456789", ""))
     capitals = n - F.length(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    split = docs.withColumn("words", F.split(F.lower(whole), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"))
+    distinct = split.withColumn("n_words", F.size("words")).withColumn("words", F.array_distinct("words"))
 
     def named(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"#{name}"), value.cast("int").cast("string"))
 
-    return F.concat(F.filter(distinct, lambda w: w != ""), F.array(
+    return distinct.withColumn("words", F.concat("words", F.array(
         F.lit(ROW), named("length", F.log2(n)), named("marks", (n - letters) * 20 / n), named("capitals", capitals * 10 / n),
-        named("distinct", F.size(distinct) * 10 / F.greatest(F.size(words), F.lit(1))),
-    ))
+        named("distinct", F.size("words") * 10 / F.greatest("n_words", F.lit(1))),
+    ))).drop("n_words")
 
 
 def n_words(text: Column) -> Column:
@@ -61,8 +61,8 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int =
     """
     drawn = labelled.filter(F.col("domain").isin(domains) & F.col("key").isNotNull()).orderBy(
         F.xxhash64("key", "domain"), "key", "domain").limit(sample)
-    pairs = docs.select("key", "text").join(F.broadcast(drawn), "key").select("domain", features(F.col("text")).alias("words"))
-    counted = stage_table(pairs.select("domain", F.explode("words").alias("word")).groupBy("word").agg(*[
+    pairs = with_features(docs.select("key", "text").join(F.broadcast(drawn), "key").select("domain", "text"))
+    counted = stage_table(pairs.select("domain", F.explode("words").alias("word")).filter("word <> ''").groupBy("word").agg(*[
         F.sum((F.col("domain") == d).cast("double")).alias(f"c_{k}") for k, d in enumerate(domains)
     ]), "word-counts")
     sizes = (counted.filter(F.col("word") == ROW).first() or {f"c_{k}": 0.0 for k in range(len(domains))})
@@ -82,8 +82,8 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int =
 def posteriors(docs: DataFrame, model: DataFrame, d: int) -> DataFrame:
     """Per distinct (key, hash of text): rows, tokens of one row, and p_0 .. p_d. Equal rows get equal
     posteriors; they are added up map-side, as are the words of each text."""
-    whole = docs.select("key", F.xxhash64("text").alias("hash"), n_words(F.col("text")).alias("tokens"), features(F.col("text")).alias("words"))
-    words = whole.select("key", "hash", "tokens", F.explode("words").alias("word"))
+    counted = docs.select("key", "text", F.xxhash64("text").alias("hash"), n_words(F.col("text")).alias("tokens"))
+    words = with_features(counted).select("key", "hash", "tokens", F.explode("words").alias("word"))
     scored = words.join(F.broadcast(model), "word").groupBy("key", "hash").agg(
         F.sum((F.col("word") == ROW).cast("long")).alias("rows"), F.max("tokens").alias("tokens"),
         *[F.sum(f"w_{k}").alias(f"s_{k}") for k in range(d)])
@@ -131,16 +131,19 @@ def rates(members: DataFrame, weights: list[float], steps: int = STEPS, toleranc
         all_moves = F.array(*[F.array(*[F.lit(float(x)) for x in m]) for m in moves])
         return F.aggregate(all_moves, start, step, lambda s: s["r"] + (s["r"] - s["q"]) * F.lit(ahead or 0.0))
 
-    momentum = 1.0
-    for _ in range(steps):
-        if max(abs(a - t) for a, t in zip(now, target, strict=True)) <= tolerance * everything:
-            break
+    momentum, ahead, was = 1.0, 0.0, now
+    for k in range(steps):
+        if k:
+            now = totals(folded(ahead))
+        missed = max(abs(a - t) for a, t in zip(now, target, strict=True))
+        moved = max(abs(a - b) for a, b in zip(now, was, strict=True)) if k else everything
+        if missed <= tolerance * everything or moved <= tolerance / 10 * everything:
+            break  # there, or as near as nonnegative rates come
+        was = now
+        moves.append([ahead, *[(a - t) / s for a, t, s in zip(now, target, scale, strict=True)]])
         after = (1 + sqrt(1 + 4 * momentum * momentum)) / 2
-        beta = (momentum - 1) / after if moves else 0.0
-        at = totals(folded(beta)) if moves else now
-        moves.append([beta, *[(a - t) / s for a, t, s in zip(at, target, scale, strict=True)]])
-        momentum, now = after, totals(folded(None))
-    return members.withColumn("rate", folded(None))
+        momentum, ahead = after, (momentum - 1) / after
+    return members.withColumn("rate", F.greatest(F.lit(0.0), folded(ahead)))
 
 
 def copies(rate: Column, *keys: str) -> Column:
