@@ -24,12 +24,15 @@ SAMPLE = 20_000
 WORDS = 2_000
 STEPS = 60
 TOLERANCE = 1e-4
+#: Steps after which rates are stored, so that folds stay short.
+FOLDED = 8
 ROW = "#row"
 
 
 def with_features(docs: DataFrame) -> DataFrame:
     """The table with `words`: the distinct lower-cased words of the whole text, and words for its style:
-    length, share of marks and of capitals, repetition. NULL is the empty text. The text is split once."""
+    length, share of marks and of capitals, repetition. NULL is the empty text. The text is split once. (Exploding with `explode_outer` keeps Spark
+    from inferring a filter that would make the words of every text a second time, before joins.)"""
     whole = F.coalesce("text", F.lit(""))
     n = F.greatest(F.length(whole), F.lit(1))
     letters = F.length(F.translate(whole, " .,\n#$%&*!0123456789", ""))
@@ -62,7 +65,7 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int =
     drawn = labelled.filter(F.col("domain").isin(domains) & F.col("key").isNotNull()).orderBy(
         F.xxhash64("key", "domain"), "key", "domain").limit(sample)
     pairs = with_features(docs.select("key", "text").join(F.broadcast(drawn), "key").select("domain", "text"))
-    counted = stage_table(pairs.select("domain", F.explode("words").alias("word")).filter("word <> ''").groupBy("word").agg(*[
+    counted = stage_table(pairs.select("domain", F.explode_outer("words").alias("word")).filter("word <> ''").groupBy("word").agg(*[
         F.sum((F.col("domain") == d).cast("double")).alias(f"c_{k}") for k, d in enumerate(domains)
     ]), "word-counts")
     sizes = (counted.filter(F.col("word") == ROW).first() or {f"c_{k}": 0.0 for k in range(len(domains))})
@@ -83,7 +86,7 @@ def posteriors(docs: DataFrame, model: DataFrame, d: int) -> DataFrame:
     """Per distinct (key, hash of text): rows, tokens of one row, and p_0 .. p_d. Equal rows get equal
     posteriors; they are added up map-side, as are the words of each text."""
     counted = docs.select("key", "text", F.xxhash64("text").alias("hash"), n_words(F.col("text")).alias("tokens"))
-    words = with_features(counted).select("key", "hash", "tokens", F.explode("words").alias("word"))
+    words = with_features(counted).select("key", "hash", "tokens", F.explode_outer("words").alias("word"))
     scored = words.join(F.broadcast(model), "word").groupBy("key", "hash").agg(
         F.sum((F.col("word") == ROW).cast("long")).alias("rows"), F.max("tokens").alias("tokens"),
         *[F.sum(f"w_{k}").alias(f"s_{k}") for k in range(d)])
@@ -105,6 +108,8 @@ def rates(members: DataFrame, weights: list[float], steps: int = STEPS, toleranc
     p = [F.col(f"p_{k}") for k in range(d)]
     mass = F.col("rows") * F.col("tokens")
 
+    members = members.withColumn("r0", F.lit(1.0)).withColumn("q0", F.lit(1.0))
+
     def totals(rate: Column) -> list[float]:
         row = members.agg(*[F.sum(mass * rate * x).alias(f"a_{k}") for k, x in enumerate(p)]).first()
         return [row[f"a_{k}"] or 0.0 for k in range(d)]
@@ -112,16 +117,16 @@ def rates(members: DataFrame, weights: list[float], steps: int = STEPS, toleranc
     now = totals(F.lit(1.0))
     everything = sum(now)
     if not everything:
-        return members.withColumn("rate", F.lit(1.0))
+        return members.withColumn("rate", F.lit(1.0)).drop("r0", "q0")
     target = [w * everything for w in weights]
     scale = [max(a, 1e-9 * everything) for a in now]
     moves: list[list[float]] = []  # momentum, then what is taken off for each domain's posterior
 
     def folded(ahead: float | None) -> Column:
         """Rates after all moves; with `ahead`, the point further along the last move."""
-        start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("q"))
+        start = F.struct(F.col("r0").alias("r"), F.col("q0").alias("q"))
         if not moves:
-            return start["r"]
+            return start["r"] + (start["r"] - start["q"]) * F.lit(ahead or 0.0)
 
         def step(s: Column, m: Column) -> Column:
             y = s["r"] + m[0] * (s["r"] - s["q"])
@@ -131,7 +136,7 @@ def rates(members: DataFrame, weights: list[float], steps: int = STEPS, toleranc
         all_moves = F.array(*[F.array(*[F.lit(float(x)) for x in m]) for m in moves])
         return F.aggregate(all_moves, start, step, lambda s: s["r"] + (s["r"] - s["q"]) * F.lit(ahead or 0.0))
 
-    momentum, ahead, was = 1.0, 0.0, now
+    momentum, ahead, was, gap = 1.0, 0.0, now, float("inf")
     for k in range(steps):
         if k:
             now = totals(folded(ahead))
@@ -139,11 +144,18 @@ def rates(members: DataFrame, weights: list[float], steps: int = STEPS, toleranc
         moved = max(abs(a - b) for a, b in zip(now, was, strict=True)) if k else everything
         if missed <= tolerance * everything or moved <= tolerance / 10 * everything:
             break  # there, or as near as nonnegative rates come
+        last, gap = gap, sum((a - t) ** 2 / s for a, t, s in zip(now, target, scale, strict=True))
+        if gap > last:  # overshot: start the momentum anew
+            momentum = 1.0
         was = now
         moves.append([ahead, *[(a - t) / s for a, t, s in zip(now, target, scale, strict=True)]])
         after = (1 + sqrt(1 + 4 * momentum * momentum)) / 2
         momentum, ahead = after, (momentum - 1) / after
-    return members.withColumn("rate", F.greatest(F.lit(0.0), folded(ahead)))
+        if len(moves) == FOLDED:
+            twice = members.withColumn("r1", folded(None)).withColumn("q1", folded(-1.0))
+            members = stage_table(twice.drop("r0", "q0").withColumnsRenamed({"r1": "r0", "q1": "q0"}), "rates")
+            moves.clear()
+    return members.withColumn("rate", F.greatest(F.lit(0.0), folded(ahead))).drop("r0", "q0")
 
 
 def copies(rate: Column, *keys: str) -> Column:
