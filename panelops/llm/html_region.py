@@ -56,6 +56,11 @@ LABELLED = (
 MOST_FOR = 2.5
 
 
+#: The most a run of words costs that speaks against main text: what it cuts off may go on behind it, and its
+#: words are left out of the region anyway.
+AGAINST = -0.1
+
+
 @dataclass(frozen=True)
 class Weights:
     """Score of a word by the elements it stands in, and the cost of a tag by its name."""
@@ -135,7 +140,7 @@ def main_text(html: str, weights: Weights) -> str:
         else:
             if around not in known:
                 known[around] = word_score(around, weights)
-            score = known[around] * len(value.split())
+            score = max(AGAINST, known[around] * len(value.split()))
             scores.append(known[around])
         total += score
         if total <= 0:

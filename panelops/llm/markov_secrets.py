@@ -31,7 +31,8 @@ RUN_BYTES = bytes(120 if STATE[b] else 32 for b in range(256))
 LEAST_RUN = 20
 RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_RUN},}}", re.ASCII)
 THRESHOLD = 15.0
-SMOOTHING = 1.0
+#: Counts every move has beforehand, in ordinary text and in random strings, which are uniform unless many show otherwise.
+SMOOTHING = (10.0, 10.0)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -75,7 +76,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarr
         yield {"kind": pa.array(kind, pa.int32()), "move": pa.array(move, pa.int32()), "n": pa.array(total[kind, move])}
 
     sent = map_batches(docs.select(F.col(text_col).cast("string")), count, "kind int, move int, n long")
-    sums = np.full((2, STATES, STATES), SMOOTHING)
+    sums = np.repeat(SMOOTHING, STATES * STATES).reshape(2, STATES, STATES)
     for row in sent.groupBy("kind", "move").agg(F.sum("n").alias("n")).collect():  # STATES ** 2 of each kind at most
         sums[row["kind"], row["move"] // STATES, row["move"] % STATES] += row["n"]
     inner = sums[:, 1:, 1:]

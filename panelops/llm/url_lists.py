@@ -28,11 +28,12 @@ def intervals(entries: DataFrame) -> DataFrame:
     """(list, pattern, from, until) from rows (list, pattern, day, action): an entry holds from the day it
     is added to the day of the next action; `until` is NULL where none follows. Of several actions on a
     day a removal wins. Rows with a NULL are left out."""
-    daily = entries.dropna(subset=["list", "pattern", "day", "action"]).groupBy("list", "pattern", "day").agg(
+    named = entries.dropna(subset=["list", "pattern", "day", "action"]).withColumn("pattern", F.lower("pattern"))
+    daily = named.groupBy("list", "pattern", "day").agg(
         F.max((F.col("action") == "remove").cast("int")).alias("removed"))
     order = Window.partitionBy("list", "pattern").orderBy("day")
     return daily.withColumn("until", F.lead("day").over(order)).filter("removed = 0").select(
-        "list", F.lower("pattern").alias("pattern"), F.col("day").alias("from"), "until")
+        "list", "pattern", F.col("day").alias("from"), "until")
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> DataFrame:
