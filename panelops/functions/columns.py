@@ -54,16 +54,20 @@ def nullify_tokens(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> Data
     )
 
 
+#: Decimal numbers; a cast alone would also take type suffixes such as `12d`.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def try_number(c: Column | str) -> Column:
-    """Text to DOUBLE; unparsable text and NaN become NULL."""
-    parsed = F.trim(_col(c)).try_cast("double")
-    return F.nanvl(parsed, F.lit(None).cast("double"))
+    """Text to DOUBLE; text that is not a decimal number becomes NULL."""
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def try_integer(c: Column | str) -> Column:
     """Text to BIGINT; `2015.0` is 2015, a fractional or unparsable text is NULL."""
     text = F.trim(_col(c))
-    number = text.try_cast("double")
+    number = try_number(c)
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     return F.coalesce(text.try_cast("bigint"), whole)
 
@@ -83,7 +87,8 @@ def month_date(year: Column | str, month: Column | str) -> Column:
     return made.cast("date")
 
 
-def parse_date(c: Column | str, fmt: str = "dd/MM/yyyy") -> Column:
+def parse_date(c: Column | str, fmt: str = "d/M/yyyy") -> Column:
+    """Text to DATE; days and months of one or two digits, anything else is NULL."""
     return F.try_to_date(F.trim(_col(c)), fmt)
 
 

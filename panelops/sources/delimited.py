@@ -16,10 +16,16 @@ def read_delimited(
     sep: str = ";",
     encoding: str = "UTF-8",
     null_tokens: tuple[str, ...] = fx.NULL_TOKENS,
+    quoted_line_ends: bool = False,
 ) -> DataFrame:
-    """Header line, all columns STRING, missing-value texts to NULL. No inference pass."""
+    """Header line, all columns STRING, missing-value texts to NULL. No inference pass.
+
+    A doubled quote in a quoted value is a quote. Line ends within quotes need `quoted_line_ends`, with
+    which a file is read by one task.
+    """
     raw = spark.read.csv(
-        path, sep=sep, header=True, encoding=encoding, inferSchema=False, enforceSchema=False
+        path, sep=sep, header=True, encoding=encoding, inferSchema=False, enforceSchema=False,
+        quote='"', escape='"', multiLine=quoted_line_ends,
     )
     return fx.nullify_tokens(raw, null_tokens)
 

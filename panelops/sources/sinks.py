@@ -16,7 +16,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("an
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """Values as they are: blanks stay, a quote is doubled, NULL is empty and the empty text is quoted."""
+    df.write.mode(mode).csv(
+        path, header=True, sep=sep, quote='"', escape='"', nullValue="", emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
     return path
 
 

@@ -76,3 +76,15 @@ def test_trim_keeps_null_and_inner_space(spark):
 def test_nullify_tokens(spark):
     rows = fx.nullify_tokens(spark.createDataFrame([("NA",), ("ok",), ("",), (None,)], "s string")).collect()
     assert [r["s"] for r in rows] == [None, "ok", None, None]
+
+
+def test_type_suffixes_are_no_numbers_and_short_dates_are_dates(spark):
+    from pyspark.sql import functions as F
+
+    from panelops.functions import columns as fx
+
+    df = spark.createDataFrame([("12d",), ("12f",), ("2015d",), (" 1.5e2 ",), ("1/2/2020",), ("01/12/2020",), ("32/1/2020",)], "t string")
+    got = df.select(fx.try_number("t").alias("n"), fx.try_integer("t").alias("i"), fx.parse_date("t").cast("string").alias("d")).collect()
+    assert [r.n for r in got] == [None, None, None, 150.0, None, None, None]
+    assert [r.i for r in got] == [None, None, None, 150, None, None, None]
+    assert [r.d for r in got][4:] == ["2020-02-01", "2020-12-01", None] and F is not None

@@ -144,3 +144,16 @@ def test_infer_frequency(spark):
 def test_schema_listing(spark):
     row = files.schema_listing(spark.sql("SELECT 1 AS a, CAST(NULL AS string) AS b"), {"a": "first"}).collect()
     assert [tuple(r) for r in row] == [("a", "int", "first", 1), ("b", "string", "", 0)]
+
+
+def test_csv_keeps_blanks_and_quotes(spark, tmp_path):
+    from panelops.sources.delimited import read_delimited
+    from panelops.sources.sinks import write_csv
+
+    rows = [(1, "  pad  "), (2, 'he said "hi"'), (3, "a;b"), (4, "back\\slash")]
+    path = write_csv(spark.createDataFrame(rows, "k int, v string"), str(tmp_path / "out"), sep=";")
+    got = read_delimited(spark, path)
+    assert sorted((int(r.k), r.v) for r in got.collect()) == rows
+    (tmp_path / "ends.csv").write_text('k;v\n1;"two\nlines"\n2;"say ""x"""\n')
+    got = read_delimited(spark, str(tmp_path / "ends.csv"), quoted_line_ends=True)
+    assert [(r.k, r.v) for r in got.collect()] == [("1", "two\nlines"), ("2", 'say "x"')]
