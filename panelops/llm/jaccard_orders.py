@@ -13,6 +13,7 @@ many comparisons as it has members. No pair of unconnected classes that passes t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -40,6 +41,8 @@ CHUNKS = 16
 #: contracted around a middle first. Changes the work only.
 PAIRS_PER_ROW = 4
 ROUNDS = 8
+#: A round that leaves more than this share of the pairs is the last before they are listed.
+FALLS_TO = 0.9
 AT_ONCE = 1 << 19
 #: Bits of the table that tells which documents' texts may be wanted, as a power of two: 8 MB.
 BIT_TABLE = 26
@@ -199,6 +202,17 @@ def pairs_in_size(na: F.Column, nb: F.Column, percent: int) -> F.Column:
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
 
 
+def by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """Each row twice, in the size class of its set and, as an `upper` one, in the class below. Classes are
+    so wide that sets of similar size are in one class or in neighbouring ones, so they meet in one that
+    holds at most one of the two as upper."""
+    wide = math.log(100 / percent) * (1 + 1e-6) if percent < 100 else 1e-12
+    own = F.floor(F.log("n_set") / wide)
+    return rows.select("*", F.explode(F.array(
+        F.struct(own.alias("size_class"), F.lit(False).alias("upper")), F.struct((own - 1).alias("size_class"), F.lit(True).alias("upper")))).alias("cell")
+    ).select(*rows.columns, "cell.*")
+
+
 def texts_of_ids(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """`wanted` with the texts of its documents, joined on the id `key`. Before texts are shuffled, most
     others are left out by a bit table of hashed ids, which has a fixed size."""
@@ -267,30 +281,35 @@ def class_components(
     common = rows.groupBy(token.alias("token")).agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
     rows = rows.join(common, token == F.col("token")).select("token", "cid", F.expr("cast(packed & 65535 as int)").alias("pos"))
     rows = stage_table(rows.join(classes.select("cid", "n_set"), "cid"), "common")
-    edges, labels, n_rows = None, None, rows.count()
+    edges, labels, n_rows, before = None, None, rows.count(), None
+    rows = by_size(rows, percent)
     for k in range(rounds + 1):
         if labels is None:
             now = rows.withColumn("comp", F.col("cid"))
         else:
             now = rows.join(labels.withColumnsRenamed({"node": "cid", "label": "comp"}), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        by_comp = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
-        open_tokens = by_comp.groupBy("token").agg(
-            F.count(F.lit(1)).alias("comps"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm")
-        ).filter("comps > 1")
-        open_tokens = stage_table(open_tokens, "open")
-        left = open_tokens.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("n")).first()["n"]
+        by_comp = now.groupBy("token", "size_class", "comp").agg(F.count(F.lit(1)).alias("m"), F.count_if("upper").alias("u"))
+        open_cells = by_comp.groupBy("token", "size_class").agg(((
+            F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m")) - F.sum("u") * F.sum("u") + F.sum(F.col("u") * F.col("u"))) / 2).alias("n")
+        ).filter("n > 0")
+        open_cells = stage_table(open_cells, "open")
+        left = open_cells.agg(F.sum("n")).first()[0]
         if not left:
             break
-        now = now.join(open_tokens.select("token"), "token")
-        last = left <= pairs_per_row * n_rows or k == rounds
+        now = stage_table(now.join(open_cells.select("token", "size_class"), ["token", "size_class"]), "members")
+        rows = now.drop("comp")
+        stuck, before = before is not None and left > FALLS_TO * before, left
+        last = left <= pairs_per_row * n_rows or stuck or k == rounds
         if last:
-            other = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb"))
-            found = now.select("token", F.col("cid").alias("a"), F.col("n_set").alias("na"), F.col("comp").alias("ca")).join(other, "token").filter("a < b")
+            other = now.select("token", "size_class", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb"), F.col("upper").alias("ub"))
+            found = now.select("token", "size_class", F.col("cid").alias("a"), F.col("n_set").alias("na"), F.col("comp").alias("ca"), "upper").join(
+                other, ["token", "size_class"]).filter("a < b and not (upper and ub)")
         else:  # the member with the fewest rarer shingles, then others by chance
             rank = F.col("pos") if k == 0 else F.xxhash64("cid", F.lit(k))
-            middle = now.groupBy("token").agg(
+            middle = now.groupBy("token", "size_class").agg(
                 F.min_by("cid", rank).alias("a"), F.min_by("n_set", rank).alias("na"), F.min_by("comp", rank).alias("ca"))
-            found = now.select("token", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb")).join(middle, "token")
+            found = now.select("token", "size_class", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb")).join(
+                middle, ["token", "size_class"])
         found = found.filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
         found = stage_table(found.select("a", "b", "n"), "pairs")
         sides = classes.select("cid", "n_set", "bits")
