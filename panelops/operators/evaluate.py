@@ -18,7 +18,8 @@ TIE_R2 = 0.001
 
 
 def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """MAE, MSE, RMSE, R2 and MAPE (a fraction) of all models in one aggregate."""
+    """MAE, MSE, RMSE, R2 and MAPE (a fraction) of all models in one aggregate. R2 of a constant target
+    is 1 for a perfect fit, else 0; of a single row it is NULL."""
     e = F.col("y") - F.col("yhat")
     out = predictions.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -29,7 +30,8 @@ def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -
     )
     return out.select(
         *by, "n", "mae", "mse", F.sqrt("mse").alias("rmse"),
-        (F.lit(1.0) - fx.safe_divide("mse", "_var")).alias("r2"), "mape",
+        F.when(F.col("n") > 1, F.coalesce(F.lit(1.0) - fx.safe_divide("mse", "_var"), F.when(F.col("mse") == 0, 1.0).otherwise(0.0))).alias("r2"),
+        "mape",
     )
 
 

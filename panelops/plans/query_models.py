@@ -275,15 +275,14 @@ def knn_embeddings(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     data = modelling.SplitData(split_rows(spark, sf), NUMERIC, CATEGORICAL, TARGET, TIME)
-    _, weights = modelling.fit_predict(data, "tree")
+    _, weights = modelling.fit_predict(data, "forest")
     data.release()
     return evaluate.feature_importance(spark, weights)
 
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    found = evaluate.regression_metrics(_fitted(spark, sf, "mean", "linear", "ridge", "tree", "knn"))
-    return evaluate.leaderboard(found)
+    return evaluate.leaderboard(evaluate.regression_metrics(_fitted(spark, sf, *modelling.ALL_MODELS)))
 
 
 # --- scenarios ----------------------------------------------------------------------------
@@ -316,7 +315,7 @@ def scenario_matrix(spark, sf):
 
 @query("scenario_delta")
 def scenario_delta(spark, sf):
-    return evaluate.scenario_delta(_matrix(spark, sf, ("mean", "ridge", "tree")), "A", "B")
+    return evaluate.scenario_delta(_matrix(spark, sf), "A", "B")
 
 
 @query("scenario_baseline", with_(_FAIR, union([

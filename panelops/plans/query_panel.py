@@ -337,7 +337,9 @@ def target_vs_lag(spark, sf):
     return out.withColumn("series_mean", F.round("series_mean", 6))
 
 
-PROFILED = ["fecha", "region", "comuna", "tipo_clientes", "tarifa", "clientes_facturados", "energia_kwh"]
+PROFILED = [
+    "fecha", "anio", "mes", "region", "comuna", "tipo_clientes", "tarifa", "clientes_facturados", "e1_kwh", "e2_kwh", "energia_kwh", RATIO,
+]
 
 
 @query("distinct_profile", with_(PANEL, union([
@@ -377,14 +379,11 @@ def time_range(spark, sf):
 
 # --- profiles and contracts ---------------------------------------------------------------
 
-NULL_COLUMNS = ["fecha", "region", "clientes_facturados", "e1_kwh", "e2_kwh", "energia_kwh", RATIO]
-
-
 @query("null_profile", with_(PANEL, union([
     f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null,
-        {r(f"100.0 * (count(*) - count({c})) / CAST(count(*) AS DOUBLE)", "pct_null")} FROM panel""" for c in NULL_COLUMNS])))
+        {r(f"100.0 * (count(*) - count({c})) / CAST(count(*) AS DOUBLE)", "pct_null")} FROM panel""" for c in PROFILED])))
 def null_profile(spark, sf):
-    return rounded(profile.null_profile(panel(spark, sf), NULL_COLUMNS))
+    return rounded(profile.null_profile(panel(spark, sf), PROFILED))
 
 
 @query("sign_profile", with_(PANEL, union([

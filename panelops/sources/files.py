@@ -43,8 +43,10 @@ def separator(header: Column) -> Column:
 
 
 def header_columns(header: Column, sep: Column) -> Column:
-    """Names in a header line, without quotes; an empty line has none."""
-    cells = F.transform(F.split(header, F.concat(F.lit("["), sep, F.lit("]"))), lambda c: F.btrim(c, F.lit('" ')))
+    """Names in a header line, without quotes; an empty line has none. A separator inside quotes, which an
+    odd number of quotes follows, does not part names."""
+    outside = F.concat(F.lit("["), sep, F.lit(r'](?=[^"]*(?:"[^"]*"[^"]*)*$)'))
+    cells = F.transform(F.split(header, outside), lambda c: F.btrim(c, F.lit('" ')))
     return F.when(F.length(header) > 0, cells).otherwise(F.array().cast("array<string>"))
 
 

@@ -42,12 +42,13 @@ def write_checks(df: DataFrame, target: str) -> DataFrame:
 
 
 def verify_written(spark: SparkSession, source: DataFrame, path: str, target: str) -> DataFrame:
-    """Source against the Parquet copy: one aggregate each, one row per check."""
+    """Source against the Parquet copy: one aggregate each, one row per check. A copy whose columns have
+    other names or types, such as partition text that reads as numbers, fails every check."""
     names = ["n_rows", "n_null", "n_zero", "n_valid"]
     copy = spark.read.parquet(path)
     expected = write_checks(source, target).unpivot([], names, "check", "expected")
     found = write_checks(copy, target).unpivot([], names, "check", "found")
-    same_columns = sorted(source.columns) == sorted(copy.columns)
+    same_columns = sorted(source.dtypes) == sorted(copy.dtypes)
     return expected.join(found, "check").select(
         "check", "expected", "found", ((F.col("expected") == F.col("found")) & F.lit(same_columns)).alias("ok")
     )

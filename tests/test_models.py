@@ -202,6 +202,11 @@ def test_metrics(spark):
     assert rows["k"]["r2"] is None  # one value has no variance
 
 
+def test_r2_of_a_constant_target(spark):
+    df = spark.createDataFrame([("hit", 2.0, 2.0), ("hit", 2.0, 2.0), ("missed", 2.0, 1.0), ("missed", 2.0, 2.0)], "model string, y double, yhat double")
+    assert {r["model"]: r["r2"] for r in evaluate.regression_metrics(df).collect()} == {"hit": 1.0, "missed": 0.0}
+
+
 def test_selection_rule(spark):
     rows = [("mean", 9, 1.0, 1.0, 0.999), ("a", 9, 5.0, 9.0, 0.9700), ("b", 9, 4.0, 9.5, 0.9695), ("c", 9, 1.0, 1.0, 0.9600), ("failed", 9, 0.1, 0.1, None)]
     df = spark.createDataFrame(rows, "model string, n int, mae double, rmse double, r2 double")

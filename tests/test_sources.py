@@ -157,3 +157,15 @@ def test_csv_keeps_blanks_and_quotes(spark, tmp_path):
     (tmp_path / "ends.csv").write_text('k;v\n1;"two\nlines"\n2;"say ""x"""\n')
     got = read_delimited(spark, str(tmp_path / "ends.csv"), quoted_line_ends=True)
     assert [(r.k, r.v) for r in got.collect()] == [("1", "two\nlines"), ("2", 'say "x"')]
+
+
+def test_separators_inside_quotes(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('"a;b";c;"d"\n1;2;3\n')
+    row = files.catalogue(files.file_inventory(spark, str(tmp_path))).first()
+    assert list(row["columns"]) == ["a;b", "c", "d"] and row["n_columns"] == 3
+
+
+def test_read_back_compares_types(spark, tmp_path):
+    df = spark.createDataFrame([("01", 1), ("02", 0)], "part string, v int")
+    path = sinks.write_parquet(df, str(tmp_path / "t"), partition_by=("part",))
+    assert not any(r["ok"] for r in sinks.verify_written(spark, df, path, "v").collect())
