@@ -1,7 +1,8 @@
-"""k-nearest-neighbour regression against a bounded train sample held by every task.
+"""k-nearest-neighbour regression.
 
-The train side is a sample of at most `max_train` rows, a declared part of the method, so its
-size is bounded before it is broadcast. Test rows stay where they are and are never paired on disk.
+`knn_regress`: the train side is a sample of at most `max_train` rows, a declared part of the method, so
+its size is bounded before it is broadcast. Test rows stay where they are and are never paired on disk.
+`knn_vectors`: all vectors against all, in blocks of bounded size that meet by a shuffle.
 """
 
 from __future__ import annotations
@@ -10,14 +11,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelops.operators.prep import Preparation
 from panelops.operators.views import hash_sample
+from panelops.staging import stage_table
 
 MAX_TRAIN = 50_000
 BLOCK_CELLS = 4_000_000
+#: Bytes of a block's vectors as doubles, and tasks that the pairs of blocks are dealt to at most.
+BLOCK_BYTES = 1 << 22
+PAIR_TASKS = 10_000
 
 
 def nearest_mean(d: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
@@ -104,35 +111,106 @@ def knn_regress(
     return work.mapInPandas(run, schema).select(F.lit("knn").alias("model"), "*")
 
 
-def knn_vectors(
-    df: DataFrame, id_col: str, vector: str, target: str, k: int = 5, max_train: int = MAX_TRAIN
-) -> DataFrame:
+def _places(group: np.ndarray) -> np.ndarray:
+    """Place of every row in its run of equal numbers."""
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, int)
+    return np.arange(len(group)) - np.repeat(start, np.diff(np.r_[start, len(group)]))
+
+
+def needed(m: np.ndarray, code: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among k neighbours of any row, for rows in order of `code`: of equal vectors the
+    first k of each of the first k + 1 codes, as a row leaves out those of its own code."""
+    same = np.unique(np.ascontiguousarray(m).view(np.dtype((np.void, m.itemsize * m.shape[1]))).ravel(), return_inverse=True)[1]
+    order = np.lexsort((code, same))
+    new = _places(np.cumsum(np.r_[True, (np.diff(same[order]) != 0) | (np.diff(code[order]) != 0)])) if len(order) else order
+    firsts = order[new == 0]
+    rank = np.repeat(_places(same[firsts]), np.diff(np.r_[np.flatnonzero(new == 0), len(order)]))
+    return np.sort(order[(new < k) & (rank <= k)])
+
+
+def nearest_rows(v: np.ndarray, own: np.ndarray, m: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of v, row of m, distance) of the k rows of m nearest to each row of v, without those of its own
+    code. `code` rises along m; earlier rows win ties. Products of matrices leave out what is farther than
+    the k-th by more than their rounding; distances are then summed up dimension by dimension."""
+    out = [(np.empty(0, int), np.empty(0, int), np.empty(0))]
+    step = max(1, BLOCK_CELLS // max(1, len(m)))
+    eps = 8 * (v.shape[1] + 8) * np.finfo(float).eps
+    with np.errstate(all="ignore"):
+        squares, mv = (m * m).sum(1), (v * v).sum(1)
+        slack = eps * (np.sqrt(mv) + np.sqrt(squares.max(initial=0.0))) ** 2
+        for lo in range(0, len(v) if len(m) else 0, step):
+            q, mine = v[lo : lo + step], own[lo : lo + step]
+            left, right = np.searchsorted(code, mine, "left"), np.searchsorted(code, mine, "right")
+            own_rows = np.repeat(np.arange(len(q)), right - left)
+            own_cols = _places(own_rows) + left[own_rows]
+            g = mv[lo : lo + step, None] + squares - 2 * (q @ m.T)
+            g[own_rows, own_cols] = np.inf
+            edge = np.partition(g, min(k, len(m)) - 1, axis=1)[:, min(k, len(m)) - 1]
+            near = ~(g > (edge + slack[lo : lo + step])[:, None])  # keeps what is no number
+            near[own_rows, own_cols] = False
+            rows, cols = np.nonzero(near)
+            d = np.zeros(len(rows))
+            for j in range(m.shape[1]):
+                z = q[rows, j] - m[cols, j]
+                d += z * z
+            d = np.sqrt(d)
+            order = np.lexsort((cols, d, rows))
+            order = order[_places(rows[order]) < k]
+            out.append((rows[order] + lo, cols[order], d[order]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _block(held: pa.ListArray, i: int) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """Ids, vectors and targets of the i-th block."""
+    rows = held[i].values
+    vectors = rows.field("v")
+    sizes = pc.list_value_length(vectors).to_numpy()
+    if (sizes != sizes[0]).any():
+        raise ValueError("vectors of different lengths")
+    return rows.field("id"), vectors.flatten().to_numpy().astype(float).reshape(len(rows), sizes[0]), rows.field("y")
+
+
+def knn_vectors(df: DataFrame, id_col: str, vector: str, target: str, k: int = 5, block_rows: int | None = None) -> DataFrame:
     """Leave-one-out regression on dense vectors: (id, y, yhat), the row itself is no neighbour.
 
-    Smaller ids win distance ties.
+    Every row is compared with all others; rows of its own id are no neighbours. Smaller ids, then smaller
+    targets, win distance ties. Rows with a NULL id, or a vector that is NULL or holds NULL, take no part;
+    a row without any neighbour is left out. A task holds two blocks of vectors at a time.
     """
-    cols = [id_col, vector, target]
-    pdf = _sample(df, cols, max_train)
-    held = df.sparkSession.sparkContext.broadcast(
-        (pdf[id_col].to_numpy(), np.stack(pdf[vector].to_list()).astype(float), pdf[target].to_numpy(dtype=float))
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, m, y = held.value
-        step = max(1, BLOCK_CELLS // max(1, len(y)))
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.col(target).cast("double").alias("y")).filter(
+        F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+    n, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    size = block_rows or max(1, BLOCK_BYTES // (8 * max(64, dims or 0)))
+    blocks, row = max(1, -(-n // size)), F.struct("id", "v", "y")
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    held = stage_table(rows.groupBy(number.alias("block")).agg(F.collect_list(row).alias("rows")), "vectors")
+    tasks, numbers = min(blocks * blocks, PAIR_TASKS), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
+    left = held.select(F.col("block").alias("a"), numbers.alias("b"), F.col("rows").alias("left")).repartition(tasks, "a", "b")
+    right = held.select(numbers.alias("a"), F.col("block").alias("b"), F.col("rows").alias("right")).repartition(tasks, "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.stack(batch[vector].to_list()).astype(float)
-            own = batch[id_col].to_numpy()
-            out = np.empty(len(batch))
-            for lo in range(0, len(batch), step):
-                rows = slice(lo, lo + step)
-                d = np.zeros((len(v[rows]), len(y)))
-                for j in range(m.shape[1]):
-                    z = v[rows, j, None] - m[None, :, j]
-                    d += z * z
-                d[own[rows, None] == ids[None, :]] = np.inf
-                out[rows] = nearest_mean(d, y, k)
-            yield pd.DataFrame({id_col: own, "y": batch[target].astype(float), "yhat": out})
+            for i in range(len(batch)):
+                ids, v, y = _block(batch.column("left"), i)
+                c_ids, m, c_y = _block(batch.column("right"), i)
+                code = pc.rank(pa.concat_arrays([ids, c_ids]), tiebreaker="dense").to_numpy().astype(np.int64)
+                own, c_code = code[: len(ids)], code[len(ids) :]
+                order = np.lexsort((c_y.to_numpy(zero_copy_only=False), c_code))
+                order = order[needed(m[order], c_code[order], k)]
+                at, found, d = nearest_rows(v, own, m[order], c_code[order], k)
+                found = pa.array(order[found])
+                near = pa.StructArray.from_arrays([pa.array(d), c_ids.take(found), c_y.take(found)], ["d", "id", "y"])
+                ends = np.searchsorted(at, np.arange(len(v) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(batch.column("a")[i], len(v)), pa.array(np.arange(len(v), dtype=np.int32)), ids, y, pa.ListArray.from_arrays(pa.array(ends), near)],
+                    ["block", "place", "id", "y", "near"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(*cols).mapInPandas(run, f"`{id_col}` {kind}, y double, yhat double")
+    found = left.join(right.hint("merge"), ["a", "b"]).mapInArrow(
+        run, f"block long, place int, id {kind}, y double, near array<struct<d: double, id: {kind}, y: double>>")
+    best = found.groupBy("block", "place").agg(
+        F.first("id").alias("id"), F.first("y").alias("y"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+    known = F.filter(F.col("near")["y"], lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0.0), lambda s, x: s + x)
+    return best.filter(F.size("near") > 0).select(
+        F.col("id").alias(id_col), "y", F.when(F.size(known) > 0, total / F.size(known)).alias("yhat"))

@@ -136,6 +136,38 @@ def test_knn_vectors(spark):
     assert got[0] == 1.5 and got[5] == 5.0 and got[9] == 7.5
 
 
+def test_knn_vectors_compares_all_rows_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    v = rng.integers(0, 3, (400, 3)).astype(float)  # many equal vectors and ties
+    v[:120] = 1.0
+    y = rng.integers(0, 50, 400).astype(float)
+    ids = rng.permutation(400)
+    df = spark.createDataFrame([(f"{i:03d}", w.tolist(), t) for i, w, t in zip(ids, v, y.tolist(), strict=True)], "id string, v array<double>, y double")
+    df = df.unionByName(spark.createDataFrame([("x", None, 1.0), (None, [1.0, 1.0, 1.0], 900.0)], df.schema))
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    want = {f"{i:03d}": y[[r for r in np.lexsort((ids, d[a])) if r != a][:5]].mean() for a, i in enumerate(ids)}
+    got = {r["id"]: r["yhat"] for r in knn.knn_vectors(df.repartition(7), "id", "v", "y", block_rows=90).collect()}
+    assert got == want
+
+
+def test_knn_vectors_has_no_limit_of_rows(spark):
+    n = knn.MAX_TRAIN + 1_000
+    df = spark.range(n).selectExpr("id", "array(double(id)) AS v", "double(id) AS y")
+    got = knn.knn_vectors(df, "id", "v", "y", k=2).filter("id > 0 AND id < 50999")
+    assert got.filter("yhat <> y").count() == 0 and got.count() == n - 2
+
+
+def test_knn_vectors_nearly_equal_distances(spark):
+    rng = np.random.default_rng(5)
+    v = 1e6 + rng.random((300, 8)) * 1e-4  # products of matrices round these off
+    df = spark.createDataFrame([(i, w.tolist(), float(i)) for i, w in enumerate(v)], "id long, v array<double>, y double")
+    d = np.zeros((300, 300))
+    for j in range(8):
+        d += (v[:, None, j] - v[None, :, j]) ** 2
+    want = {a: np.mean([r for r in np.lexsort((range(300), np.sqrt(d[a]))) if r != a][:5]) for a in range(300)}
+    assert {r["id"]: r["yhat"] for r in knn.knn_vectors(df, "id", "v", "y", block_rows=100).collect()} == want
+
+
 # --- trees --------------------------------------------------------------------------------
 
 
