@@ -9,6 +9,9 @@ from panelops.llm.common import read
 from panelops.llm.queries import MIX_WEIGHTS, TOKENIZER
 from panelops.staging import scratch_path
 
+#: Word shingles of the stage "near duplicates", and the Jaccard similarity in percent from which copies go.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
@@ -17,7 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies."""
-    return jaccard_orders.keep_one(docs)
+    return jaccard_orders.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

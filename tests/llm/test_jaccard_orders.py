@@ -101,6 +101,23 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in kept if shingles(r.text) and r.doc_id is not None) == sorted({c for _, n, c in expected if n and c is not None})
 
 
+def test_pipeline_stage_takes_five_words_and_four_fifths(spark, monkeypatch):
+    import corpus_pipeline
+
+    three = shingles
+    monkeypatch.setitem(globals(), "shingles", lambda text, n=5: three(text, n))
+    rows = corpus(4)[:-2]
+    for k in range(20):  # five-word similarity 86 / 106, three-word similarity 92 / 104
+        text = [f"s{k}x{i}" for i in range(100)]
+        rows += [(1000 + k, " ".join(text)), (2000 + k, " ".join([*text[:30], "new", *text[31:60], "words", *text[61:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    expected = brute(rows, 80)
+    assert sorted(r.doc_id for r in kept if shingles(r.text)) == sorted({c for _, n, c in expected if n})
+    assert len(kept) == sum(not n for _, n, _ in expected) + len({c for _, n, c in expected if n})
+    assert not {r.doc_id for r in kept} & set(range(2000, 2020))
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jo.join(docs).collect() == [] and jo.keep_one(docs).collect() == []
