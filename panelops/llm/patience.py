@@ -75,54 +75,79 @@ def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Finds the best template of a text. Places of a text are looked at around template words that most
-    texts lack; a word of a template that comes several times parts the text between its places."""
+    """Finds the best template of a text. Every stretch of at most `STRETCH` a template's length that begins
+    and ends with one of its words and holds enough of them, counted without order, is a candidate; those
+    that cannot beat the best alignment so far are not aligned."""
 
     def __init__(self, templates: dict[str, str]):
         self.templates = {name: words_of(t.encode()) for name, t in sorted(templates.items())}
+        self.needs = {name: Counter(words) for name, words in self.templates.items()}
         self.by_word: dict[bytes, list[str]] = defaultdict(list)
-        for name, words in self.templates.items():
-            for w in set(words):
+        for name, need in self.needs.items():
+            for w in need:
                 self.by_word[w].append(name)
 
     def best(self, words: list[bytes]) -> tuple[str, float, int, int] | None:
-        """(name, coverage, start, end) of the best covered template; longer ones first at equal coverage."""
+        """(name, coverage, start, end) of the best covered template; longer ones first at equal coverage,
+        then the shortest stretch, then the first."""
         places: dict[str, list[int]] = defaultdict(list)
         for i, w in enumerate(words):
             for name in self.by_word.get(w, ()):
                 places[name].append(i)
         found = []
         for name, at in places.items():
-            template = self.templates[name]
-            least, widest = COVERAGE * len(template), int(STRETCH * len(template))
-            for a, b in self._parts(at, widest, least, words, template):
-                pairs = align(words[a:b], template)
-                start = a + pairs[0][0] if pairs else 0
-                end = a + pairs[-1][0] + 1 if pairs else 0
-                if len(pairs) >= least and end - start <= widest:
-                    found.append((-len(pairs) / len(template), -len(template), name, start, end))
+            if best := self._best_of(name, at, words):
+                size = len(self.templates[name])
+                n, start, end = best
+                found.append((-n / size, -size, name, start, end))
         if not found:
             return None
         share, _, name, start, end = min(found)
         return name, -share, start, end
 
-    def _parts(self, at: list[int], widest: int, least: float, words: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
-        """Stretches of the text with enough template words, cut where the rarest repeated one begins anew."""
-        out, i = [], 0
-        while i < len(at):
-            k = i
-            while k + 1 < len(at) and at[k + 1] - at[k] <= max(3, widest // 3):
-                k += 1
-            if k + 1 - i >= least:
-                a, b = at[i], at[k] + 1
-                counts = Counter(words[a:b])
-                rare = min((w for w in set(template) if counts.get(w)), key=lambda w: (counts[w], template.index(w)))
-                spots = [x for x in range(a, b) if words[x] == rare]
-                before, after = template.index(rare), len(template) - template.index(rare)
-                slack = widest - len(template) + 1
-                out += [(max(a, x - before - slack), min(b, x + after + slack)) for x in spots]
-            i = k + 1
-        return out
+    def _best_of(self, name: str, at: list[int], words: list[bytes]) -> tuple[int, int, int] | None:
+        """(aligned words, start, end) of the stretch with most words of a template aligned; `at` holds the
+        places of its words."""
+        template, need = self.templates[name], self.needs[name]
+        least, widest = COVERAGE * len(template), int(STRETCH * len(template))
+        if len(at) < least or (Counter(map(words.__getitem__, at)) & need).total() < least:
+            return None
+        best: tuple[int, int, int] | None = None
+        for most, i, j in self._windows(at, least, widest, words, need):
+            if best and (most < best[0] or best[2] - best[1] == best[0] == most):
+                break
+            have: dict[bytes, int] = defaultdict(int)
+            n, start = 0, at[i]
+            for place in at[i:j]:
+                w = words[place]
+                have[w] += 1
+                n += have[w] <= need[w]
+                end = place + 1
+                if n < least or best and (n, start - end) <= (best[0], best[1] - best[2]):
+                    continue
+                pairs = align(words[start:end], template)
+                if len(pairs) >= least:
+                    here = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
+                    if not best or (here[0], here[1] - here[2], -here[1]) > (best[0], best[1] - best[2], -best[1]):
+                        best = here
+        return best
+
+    def _windows(self, at: list[int], least: float, widest: int, words: list[bytes], need: Counter) -> list[tuple[int, int, int]]:
+        """(words of the template without order, i, j) of the windows at[i:j] that hold enough, most first."""
+        out, j, n = [], 0, 0
+        have: dict[bytes, int] = defaultdict(int)
+        for i, start in enumerate(at):
+            while j < len(at) and at[j] < start + widest:
+                w = words[at[j]]
+                have[w] += 1
+                n += have[w] <= need[w]
+                j += 1
+            if n >= least:
+                out.append((n, i, j))
+            w = words[start]
+            n -= have[w] <= need[w]
+            have[w] -= 1
+        return sorted(out, key=lambda x: (-x[0], x[1]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:

@@ -46,3 +46,14 @@ def test_documents(spark):
     six = got.filter("doc_id = 6").first()
     assert six.coverage > 0.9 and six.start == 3
     assert patience.scan(docs.limit(0)).collect() == []
+
+
+def test_neighbours_that_repeat_edge_words():
+    scanner = patience.Scanner(patience.TEMPLATES)
+    name, share, start, end = scanner.best(patience.words_of(b"The project is released under the MIT License. See the LICENSE file"))
+    assert (name, share, start, end) == ("MIT", 1.0, 3, 8)
+    for name, words in scanner.templates.items():
+        a, z = words[0], words[-1]
+        for before in ([a], [a, b"x"], [z, b"x", a, b"y", a], [*words[:3], b"x"]):
+            for after in ([z], [b"x", z], [b"y", z, b"x", a, z], [b"x", *words[-3:]]):
+                assert scanner.best([*before, *words, *after]) == (name, 1.0, len(before), len(before) + len(words)), (name, before, after)
