@@ -57,3 +57,15 @@ def test_neighbours_that_repeat_edge_words():
         for before in ([a], [a, b"x"], [z, b"x", a, b"y", a], [*words[:3], b"x"]):
             for after in ([z], [b"x", z], [b"y", z, b"x", a, z], [b"x", *words[-3:]]):
                 assert scanner.best([*before, *words, *after]) == (name, 1.0, len(before), len(before) + len(words)), (name, before, after)
+
+
+def test_copies_that_lack_a_word_which_stands_elsewhere():
+    rng = random.Random(1)
+    prose = lambda n: " ".join(rng.choices(["the", "of", "to", "and", "in", "a", "storm"], k=n))
+    text = patience.TEMPLATES["MIT-text"]
+    granted, lend = text.replace("Permission", "Authorization", 1).replace("permit", "allow"), text.replace("sublicense", "lend")
+    scanner = patience.Scanner(patience.TEMPLATES)
+    name, share, start, end = scanner.best(patience.words_of(f"{prose(500)} permission {prose(300)} {granted} {prose(400)}".encode()))
+    assert name == "MIT-text" and 0.95 < share < 1 and 801 <= start <= 802 and end == 863
+    name, share, start, end = scanner.best(patience.words_of(f"{lend} {prose(300)} sublicense {prose(200)} {lend}".encode()))
+    assert name == "MIT-text" and 0.95 < share < 1 and (start, end) == (0, 62)
