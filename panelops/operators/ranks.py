@@ -1,9 +1,13 @@
 """Exact ranks and quantiles without collecting a large column anywhere.
 
-`percentile` keeps every distinct value of a group in one task, so it is used on tables of counted,
-small size only. Beyond that the values are first narrowed to a bracket around each wanted rank,
-equal values are combined before they travel, and ranks come from a range-partitioned sort plus
-per-partition offsets.
+Ranks: a bounded sample of the keys gives range bounds, which number a row's bucket as a function of its
+key alone. Rows are numbered inside their bucket, and the counts of the buckets before it are added. Any
+bounds give right ranks; good ones give even buckets.
+
+Quantiles: the open interval that holds a wanted rank is cut at points of a mergeable sketch, its parts
+are counted exactly, and the part that holds the rank becomes the next interval, until an interval is so
+small that its values fit one array. Points of the sketch are parts of their own, so a value that a third
+of the rows share is found by its count.
 """
 
 from __future__ import annotations
@@ -13,12 +17,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelops.staging import BROADCAST_ROWS, broadcast_checked, null_safe_join, stage
+from panelops.staging import null_safe_join, stage_table
 
-# Up to this many values (rows times columns) one aggregate may hold them.
-DIRECT_VALUES = 1_000_000
 GRID = 1_000
 SALTS = 256
+#: Values of an interval that one array may hold.
+FINAL = 10_000
+#: Sampled keys for each range bucket.
+PER_BUCKET = 40
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,28 +33,59 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return wide.unpivot(list(by), list(cols), "column", "value").filter("value is not null")
 
 
+def steps_below(points: Column, top: int, key: Column, same: bool) -> Column:
+    """How many of the ascending `points` are below `key` (with `same`, or equal to it), by halving steps;
+    the array holds less than 2 ** top of them."""
+
+    def step(low: Column, width: Column) -> Column:
+        reached = low + width
+        point = F.get(points, (reached - 1).cast("int"))
+        before = (point <= key) if same else (point < key)
+        return F.when((reached <= F.size(points)) & before, reached).otherwise(low)
+
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(top))]), F.lit(0), step)
+
+
+def range_bounds(df: DataFrame, key: Sequence[Column], buckets: int) -> Column:
+    """Up to `buckets` - 1 ascending keys that split a sample of PER_BUCKET keys a bucket evenly, as a constant
+    array of structs: one job, and a bounded number of keys in the driver."""
+    drawn = df.select(*[k.alias(f"k{i}") for i, k in enumerate(key)])
+    lot = F.xxhash64(*drawn.columns, F.monotonically_increasing_id())
+    sample = drawn.orderBy(lot).limit(buckets * PER_BUCKET).orderBy(*drawn.columns).collect()
+    picked = dict.fromkeys(sample[len(sample) * i // buckets] for i in range(1, buckets)) if sample else {}
+    kinds = [f.dataType for f in drawn.schema]
+    points = [F.struct(*[F.lit(v).cast(k) for v, k in zip(row, kinds, strict=True)]) for row in picked]
+    whole = ", ".join(f"col{i + 1}: {k.simpleString()}" for i, k in enumerate(kinds))
+    return F.array(*points).cast(f"array<struct<{whole}>>")
+
+
+def _bucketed(df: DataFrame, key: Sequence[Column]) -> DataFrame:
+    """The table with `_bucket`, ascending in the key: as many as a shuffle has partitions."""
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spot = F.struct(*[k.alias(f"col{i + 1}") for i, k in enumerate(key)])
+    return df.withColumn("_bucket", steps_below(range_bounds(df, key, buckets), buckets.bit_length(), spot, True))
+
+
 def cumulative_counts(values: DataFrame, by: Sequence[str], value: str = "value", freq: str = "freq") -> DataFrame:
     """Adds `before` (rows of the group below this value) and `total` to rows that are already
     distinct per (by, value) and carry their frequency.
 
-    The sorted partitions are staged with their number, so offsets and rows agree even when a
-    task is run again. The offset table has at most (partitions + groups) rows; it is counted and
-    broadcast if small, so the values are not shuffled once more for it.
+    Running sums are made inside each group's buckets; the sums of the buckets before are added from a
+    table of one row per group and bucket.
     """
     by = list(by)
-    ranged = stage(
-        values.repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id())
-    )
-    w_in = Window.partitionBy(*by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    w_off = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy(*by, "_part").agg(F.sum(freq).alias("_n")).select(
-        *by, "_part",
-        F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*by) if by else Window.partitionBy()).alias("total"),
+    placed = _bucketed(values, [F.col(c) for c in [*by, value]])
+    in_bucket = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*by, "_bucket").agg(F.sum(freq).alias("_n")).select(
+        *by, "_bucket",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("total"),
     )
-    inside = ranged.withColumn("_inside", F.coalesce(F.sum(freq).over(w_in), F.lit(0)))
-    joined = null_safe_join(inside, broadcast_checked(stage(offsets)), [*by, "_part"])
-    return joined.withColumn("before", F.col("_offset") + F.col("_inside")).drop("_part", "_offset", "_inside")
+    inside = placed.withColumn("_inside", F.coalesce(F.sum(freq).over(in_bucket), F.lit(0)))
+    # Without groups there are as many rows of offsets as buckets; with them the size at run time decides.
+    joined = null_safe_join(inside, offsets if by else F.broadcast(offsets), [*by, "_bucket"])
+    return joined.withColumn("before", F.col("_offset") + F.col("_inside")).drop("_bucket", "_offset", "_inside")
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -58,58 +95,83 @@ def average_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     return ranked.withColumn("rank", F.col("before") + (F.col("freq") + 1) / F.lit(2.0))
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "position", few: int = BROADCAST_ROWS) -> DataFrame:
-    """Adds 1, 2, .. in ascending order of the columns, which must tell all rows apart.
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Adds 1, 2, .. (BIGINT) in ascending order of the columns, NULL first; rows that agree in all of
+    them are numbered in any order.
 
-    A counted small table takes one ordered window; a larger one is range-sorted and numbered by
-    partition offsets, so no task sees all rows.
+    No task sees more than a bucket: rows are numbered by bucket, and the counts of the earlier buckets
+    are added. The table is computed once for the sample and once for the result; store it before if it
+    is expensive to derive.
     """
-    staged = stage(df)
-    if staged.count() <= few:
-        return staged.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-    spots = staged.withColumns({"_spot": F.struct(*order), "freq": F.lit(1)})
-    placed = cumulative_counts(spots, [], value="_spot")
-    return placed.select(*df.columns, (F.col("before") + 1).cast("int").alias(name))
-
-
-def _brackets(
-    long: DataFrame, keys: list[str], probs: Sequence[float], grid: int, salts: int
-) -> DataFrame:
-    """One row per group with `lo_i`, `hi_i` around each wanted rank.
-
-    Sketches are made per salt, so one task merges only its share of them; each salt then hands on
-    `grid + 1` weighted points. The rank error of the mixture is below 3/grid; 5/grid is allowed.
-    In groups of up to 100 * grid values the slack would be a few rows, so all values are kept.
-    """
-    points = [i / grid for i in range(grid + 1)]
-    slack = 5.0 / grid
-    per_salt = (
-        long.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        .groupBy(*keys, "_salt")
-        .agg(
-            F.percentile_approx("value", F.lit(points).cast("array<double>"), 10 * grid).alias("pts"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    )
-    cuts: list[float] = []
-    for p in probs:
-        cuts += [max(p - slack, 0.0), min(p + slack, 1.0)]
-    merged = (
-        per_salt.select(*keys, "n", F.explode("pts").alias("point"))
-        .groupBy(*keys)
-        .agg(
-            F.percentile("point", F.lit(cuts).cast("array<double>"), F.col("n")).alias("cut"),
-            (F.sum("n") / F.lit(grid + 1)).alias("n"),
-        )
-    )
-    few = F.col("n") <= F.lit(100 * grid)
-    inf = F.lit(float("inf"))
-    cols: list[Column] = []
-    for i, p in enumerate(probs):
-        lo = -inf if p <= slack else F.when(few, -inf).otherwise(F.col("cut")[2 * i])
-        hi = inf if p >= 1.0 - slack else F.when(few, inf).otherwise(F.col("cut")[2 * i + 1])
-        cols += [lo.alias(f"lo_{i}"), hi.alias(f"hi_{i}")]
-    return merged.select(*keys, *cols)
+    placed = _bucketed(df, order)
+    counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    rows = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)))
+    # One row of offsets per bucket.
+    return rows.join(F.broadcast(offsets), F.col("_bucket") == F.col("_of")).select(
+        *df.columns, (F.col("_offset") + F.col("_row")).alias(name))
+
+
+def _wanted(probs: Mapping[str, float]) -> Column:
+    """Distinct places, from 0, that the quantiles of `n` values need: the one at or below, and the next."""
+    steps = [F.lit(float(p)) * (F.col("n") - 1) for p in probs.values()]
+    return F.array_distinct(F.array(*[place for s in steps for place in (F.floor(s), F.ceil(s))]))
+
+
+def _held(value: Column, intervals: Column) -> Column:
+    """The interval around a value, or NULL. Intervals of a group do not overlap; a missing end is open."""
+    inside = F.filter(intervals, lambda i: (i["lo"].isNull() | (value > i["lo"])) & (i["hi"].isNull() | (value < i["hi"])))
+    return F.get(inside, F.lit(0))
+
+
+def _within(long: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """Values inside the intervals of the ranks: (keys, lo, hi, value)."""
+    intervals = ranks.groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("intervals"))
+    placed = null_safe_join(long, intervals, keys)
+    kept = placed.select(*keys, "value", _held(F.col("value"), F.col("intervals")).alias("at")).filter("at is not null")
+    return kept.select(*keys, F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"), "value")
+
+
+def _cut_points(inside: DataFrame, group: list[str], grid: int, salts: int) -> DataFrame:
+    """Per interval an ascending array of values of it. Sketches are made per salt, so one task merges
+    only its share of them, and each salt hands on `grid` + 1 points that weigh as much as its rows."""
+    points = F.lit([i / grid for i in range(grid + 1)]).cast("array<double>")
+    per_salt = inside.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy(*group, "_salt").agg(
+        F.percentile_approx("value", points, 10 * grid).alias("pts"), F.count(F.lit(1)).alias("n"))
+    spread = per_salt.select(*group, "n", F.explode("pts").alias("point"))
+    merged = spread.groupBy(*group).agg(F.percentile_approx("point", points, 10 * grid).alias("even"),
+                                        F.percentile("point", points, F.col("n")).alias("weighed"))
+    # Interpolated points need not be values; those of the sketch are, so every round makes progress.
+    return merged.select(*group, F.array_sort(F.array_union("even", "weighed")).alias("points"))
+
+
+def _narrowed(long: DataFrame, ranks: DataFrame, keys: list[str], grid: int, salts: int, final: int) -> DataFrame:
+    """Ranks with the part of their interval that holds them; settled and small ones stay as they are."""
+    todo = (F.col("size") > final) & F.col("value").isNull()
+    wide, group = ranks.filter(todo), [*keys, "lo", "hi"]
+    inside = _within(long, wide, keys)
+    # Sketches depend on the order of merging, so the points are written before rows are counted by them.
+    points = stage_table(_cut_points(inside, group, grid, salts), "points")
+    top = (2 * grid + 2).bit_length()
+    below = steps_below(F.col("points"), top, F.col("value"), False)
+    cut = null_safe_join(inside, points, group).withColumn("i", below).withColumn("next", F.get("points", F.col("i")))
+    is_point = F.coalesce(F.col("next") == F.col("value"), F.lit(False))
+    previous = F.when(F.col("i") > 0, F.get("points", F.col("i") - 1)).otherwise(F.col("lo"))
+    parts = cut.select(*group, F.struct(
+        "i", is_point.alias("point"), previous.alias("lo"), F.coalesce("next", "hi").alias("hi")).alias("part"), "value")
+    counts = parts.groupBy(*group, "part").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"), F.max("value").alias("most"))
+    earlier = Window.partitionBy(*group).orderBy("part.i", "part.point").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("skipped", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    place = F.col("rank") - F.col("before")
+    hit = null_safe_join(wide, counts, group).filter((F.col("skipped") <= place) & (place < F.col("skipped") + F.col("rows")))
+    found = hit.select(
+        *keys, "n", "rank", (F.col("before") + F.col("skipped")).alias("before"), F.col("rows").alias("size"),
+        F.col("part.lo").alias("lo"), F.col("part.hi").alias("hi"),
+        F.when(F.col("least") == F.col("most"), F.col("least")).alias("value"))
+    return found.unionByName(ranks.filter(~todo))
 
 
 def quantiles(
@@ -117,67 +179,40 @@ def quantiles(
     cols: Sequence[str],
     probs: Mapping[str, float],
     by: Sequence[str] = (),
-    direct_values: int = DIRECT_VALUES,
     grid: int = GRID,
     salts: int = SALTS,
+    final: int = FINAL,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (by.., column, n, one column per name in `probs`).
 
-    The rows are counted first: a small table takes one aggregate. A large one takes two scans and
-    staged tables of the brackets and of the values inside them; store it before if it is
-    expensive to derive. A rank outside its bracket raises an error instead of giving a wrong value.
+    Intervals of more than `final` values are narrowed by counting, about `grid`-fold a round; a round
+    reads the values twice and writes tables of a few rows per group and rank. What is left of an interval
+    is sorted in one array. NULL and NaN are no values; a group without any has no row. Store a table that
+    is expensive to derive before.
     """
-    if df.count() * len(cols) <= direct_values:
-        keys = [*by, "column"]
-        exact = F.percentile("value", F.lit(list(probs.values())).cast("array<double>"))
-        found = long_values(df, cols, by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), exact.alias("q"))
-        return found.select(*keys, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(probs)])
-    return bracketed_quantiles(df, cols, probs, by, grid, salts)
-
-
-def bracketed_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Mapping[str, float],
-    by: Sequence[str] = (),
-    grid: int = GRID,
-    salts: int = SALTS,
-) -> DataFrame:
-    """The path of `quantiles` for tables of any size."""
     by, keys = list(by), [*by, "column"]
-    names, levels = list(probs), [float(p) for p in probs.values()]
     long = long_values(df, cols, by)
-    # One row per group and column: staged, counted, and broadcast only if they are few.
-    bounds = broadcast_checked(stage(_brackets(long, keys, levels, grid, salts)))
-    placed = null_safe_join(long, bounds, keys)
-    v = F.col("value")
-    inside = F.lit(False)
-    below = F.lit(float("-inf"))
-    for i in range(len(levels)):
-        inside = inside | v.between(F.col(f"lo_{i}"), F.col(f"hi_{i}"))
-        below = F.greatest(below, F.when(F.col(f"hi_{i}") < v, F.col(f"hi_{i}")))
-    spot = F.struct(
-        F.when(inside, v).otherwise(below).alias("v"), (~inside).alias("gap")
-    ).alias("spot")
-    counts = placed.select(*keys, spot).groupBy(*keys, "spot").agg(F.count(F.lit(1)).alias("freq"))
-    ranked = cumulative_counts(counts, keys, value="spot")
-
-    def at(position: Column) -> Column:
-        hit = (F.col("before") <= position) & (position < F.col("before") + F.col("freq"))
-        value = F.when(
-            F.col("spot.gap"), F.raise_error("quantile rank outside its bracket").cast("double")
-        ).otherwise(F.col("spot.v"))
-        return F.max(F.when(hit, value))
-
-    aggs, outs = [], []
-    for name, p in zip(names, levels):
-        # n - 1 steps between the first and the last value; the fraction interpolates.
-        step = F.lit(p) * (F.col("total") - 1)
-        k = F.floor(step)
-        aggs += [at(k).alias(f"{name}_a"), at(k + 1).alias(f"{name}_b"), F.max(step - k).alias(f"{name}_f")]
-        a, b, f = F.col(f"{name}_a"), F.col(f"{name}_b"), F.col(f"{name}_f")
-        outs.append(F.when(f > 0, a + (b - a) * f).otherwise(a).alias(name))
-    return ranked.groupBy(*keys).agg(F.max("total").alias("n"), *aggs).select(*keys, "n", *outs)
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    nothing = F.lit(None).cast("double")
+    ranks = stage_table(sizes.select(*keys, "n", F.explode(_wanted(probs)).alias("rank")).select(
+        *keys, "n", "rank", F.lit(0).cast("long").alias("before"), F.col("n").alias("size"),
+        nothing.alias("lo"), nothing.alias("hi"), nothing.alias("value")), "ranks")
+    while not ranks.filter((F.col("size") > final) & F.col("value").isNull()).isEmpty():
+        ranks = stage_table(_narrowed(long, ranks, keys, grid, salts, final), "ranks")
+    group = [*keys, "lo", "hi"]
+    open_ranks = ranks.filter("value is null")
+    arrays = _within(long, open_ranks, keys).groupBy(*group).agg(F.array_sort(F.collect_list("value")).alias("values"))
+    last = null_safe_join(open_ranks, arrays, group).select(
+        *keys, "n", "rank", F.get("values", (F.col("rank") - F.col("before")).cast("int")).alias("value"))
+    settled = ranks.filter("value is not null").select(*keys, "n", "rank", "value").unionByName(last)
+    table = settled.groupBy(*keys).agg(
+        F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    outs = []
+    for name, p in probs.items():
+        step = F.lit(float(p)) * (F.col("n") - 1)
+        a, b, part = F.col("at")[F.floor(step)], F.col("at")[F.ceil(step)], step - F.floor(step)
+        outs.append(F.when(part > 0, a + (b - a) * part).otherwise(a).alias(name))
+    return table.select(*keys, "n", *outs)
 
 
 def approximate_quantiles(

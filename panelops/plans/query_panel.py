@@ -232,7 +232,7 @@ def monthly_by_type(spark, sf):
 
 _RANKED = """
 SELECT region, CAST(sum(energia_kwh) AS BIGINT) AS total, sum(energia_kwh) / 1e9 AS twh,
-       CAST(row_number() OVER (ORDER BY sum(energia_kwh) DESC, region) AS INTEGER) AS position FROM panel GROUP BY 1"""
+       row_number() OVER (ORDER BY sum(energia_kwh) DESC, region) AS position FROM panel GROUP BY 1"""
 
 
 @query("region_total_rank", with_(PANEL, _RANKED))
@@ -247,7 +247,7 @@ def region_total_top(spark, sf):
 
 def _mean_sql(by: str, col: str, tail: str = "") -> str:
     return f"""
-SELECT {by}, {r(f"avg({col})", "mean")}, CAST(row_number() OVER (ORDER BY avg({col}) DESC, {by}) AS INTEGER) AS position
+SELECT {by}, {r(f"avg({col})", "mean")}, row_number() OVER (ORDER BY avg({col}) DESC, {by}) AS position
 FROM panel GROUP BY 1 {tail}"""
 
 
@@ -576,16 +576,16 @@ def quantiles(spark, sf):
 
 @query("quantiles_bracketed", union([_quantile_sql(c, "lineitem", distribution.PERCENTILES) for c in ("l_extendedprice", "l_quantity")]))
 def quantiles_bracketed(spark, sf):
-    """The path of large tables; the coarse grid makes it narrow the values at small sizes too."""
-    return rounded(ranks.bracketed_quantiles(
-        t(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], distribution.PERCENTILES, grid=100
+    """More values than one array may hold, so that intervals are narrowed by counting."""
+    return rounded(ranks.quantiles(
+        t(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], distribution.PERCENTILES
     ))
 
 
 @query("quantiles_grouped", "SELECT l_returnflag, l_linestatus, " + _quantile_sql("l_extendedprice", "lineitem", distribution.PERCENTILES)[7:] + " GROUP BY 1, 2")
 def quantiles_grouped(spark, sf):
-    return rounded(ranks.bracketed_quantiles(
-        t(spark, sf, "lineitem"), ["l_extendedprice"], distribution.PERCENTILES, by=["l_returnflag", "l_linestatus"], grid=100
+    return rounded(ranks.quantiles(
+        t(spark, sf, "lineitem"), ["l_extendedprice"], distribution.PERCENTILES, by=["l_returnflag", "l_linestatus"]
     ))
 
 
