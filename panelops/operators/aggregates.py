@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelops.functions import columns as fx
 from panelops.operators.ranks import numbered
+from panelops.staging import stage_table
 
 
 def monthly_total(df: DataFrame, time: str, target: str) -> DataFrame:
@@ -25,7 +26,7 @@ def ranked_total(df: DataFrame, by: str, target: str, top: int | None = None) ->
     totals = df.groupBy(by).agg(F.sum(target).alias("total"))
     if top is not None:
         totals = totals.orderBy(F.col("total").desc(), by).limit(top)
-    return numbered(totals, [F.col("total").isNull(), -F.col("total"), F.col(by)]).select(
+    return numbered(stage_table(totals, "totals"), [F.col("total").isNull(), -F.col("total"), F.col(by)]).select(
         by, "total", fx.to_twh("total").alias("twh"), "position"
     )
 
@@ -35,7 +36,7 @@ def ranked_mean(df: DataFrame, by: str, measure: str, top: int | None = None) ->
     means = df.groupBy(by).agg(F.avg(measure).alias("mean"))
     if top is not None:
         means = means.orderBy(F.col("mean").desc(), by).limit(top)
-    return numbered(means, [F.col("mean").isNull(), -F.col("mean"), F.col(by)])
+    return numbered(stage_table(means, "means"), [F.col("mean").isNull(), -F.col("mean"), F.col(by)])
 
 
 def yearly_evolution(df: DataFrame, year: str, target: str, ratio: str) -> DataFrame:

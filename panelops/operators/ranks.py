@@ -127,7 +127,8 @@ def _held(value: Column, intervals: Column) -> Column:
 
 
 def _within(long: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
-    """Values inside the intervals of the ranks: (keys, lo, hi, value)."""
+    """Values inside the intervals of the ranks: (keys, lo, hi, value). Stored ranks are broadcast if Spark
+    finds their files small."""
     intervals = ranks.groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("intervals"))
     placed = null_safe_join(long, intervals, keys)
     kept = placed.select(*keys, "value", _held(F.col("value"), F.col("intervals")).alias("at")).filter("at is not null")
@@ -135,43 +136,41 @@ def _within(long: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _cut_points(inside: DataFrame, group: list[str], grid: int, salts: int) -> DataFrame:
-    """Per interval an ascending array of values of it. Sketches are made per salt, so one task merges
-    only its share of them, and each salt hands on `grid` + 1 points that weigh as much as its rows."""
+    """Per interval its size and an ascending array of values of it, stored, because sketches depend on the
+    order of merging. They are made per salt, so one task merges only its share of them, and each salt hands
+    on `grid` + 1 points."""
     points = F.lit([i / grid for i in range(grid + 1)]).cast("array<double>")
     per_salt = inside.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy(*group, "_salt").agg(
         F.percentile_approx("value", points, 10 * grid).alias("pts"), F.count(F.lit(1)).alias("n"))
-    spread = per_salt.select(*group, "n", F.explode("pts").alias("point"))
-    merged = spread.groupBy(*group).agg(F.percentile_approx("point", points, 10 * grid).alias("even"),
-                                        F.percentile("point", points, F.col("n")).alias("weighed"))
-    # Interpolated points need not be values; those of the sketch are, so every round makes progress.
-    return merged.select(*group, F.array_sort(F.array_union("even", "weighed")).alias("points"))
+    spread = per_salt.select(*group, F.posexplode("pts").alias("i", "point"), "n")
+    even = F.percentile_approx("point", points, 10 * grid)
+    merged = spread.groupBy(*group).agg(
+        F.sum(F.when(F.col("i") == 0, F.col("n"))).alias("n"), F.array_sort(F.array_distinct(even)).alias("points"))
+    return stage_table(merged, "points")
 
 
-def _narrowed(long: DataFrame, ranks: DataFrame, keys: list[str], grid: int, salts: int, final: int) -> DataFrame:
-    """Ranks with the part of their interval that holds them; settled and small ones stay as they are."""
-    todo = (F.col("size") > final) & F.col("value").isNull()
-    wide, group = ranks.filter(todo), [*keys, "lo", "hi"]
-    inside = _within(long, wide, keys)
-    # Sketches depend on the order of merging, so the points are written before rows are counted by them.
-    points = stage_table(_cut_points(inside, group, grid, salts), "points")
-    top = (2 * grid + 2).bit_length()
-    below = steps_below(F.col("points"), top, F.col("value"), False)
-    cut = null_safe_join(inside, points, group).withColumn("i", below).withColumn("next", F.get("points", F.col("i")))
+def _narrowed(values: DataFrame, ranks: DataFrame, points: DataFrame, keys: list[str], grid: int) -> DataFrame:
+    """Each rank with the part of its interval that holds it; `values` are inside the intervals of `points`.
+
+    Parts are the points themselves and what lies between them. A part of equal values settles its ranks.
+    """
+    group = [*keys, "lo", "hi"]
+    below = steps_below(F.col("points"), (grid + 1).bit_length(), F.col("value"), False)
+    cut = null_safe_join(values, points.drop("n"), group).withColumn("i", below).withColumn("next", F.get("points", F.col("i")))
     is_point = F.coalesce(F.col("next") == F.col("value"), F.lit(False))
     previous = F.when(F.col("i") > 0, F.get("points", F.col("i") - 1)).otherwise(F.col("lo"))
-    parts = cut.select(*group, F.struct(
-        "i", is_point.alias("point"), previous.alias("lo"), F.coalesce("next", "hi").alias("hi")).alias("part"), "value")
-    counts = parts.groupBy(*group, "part").agg(
+    parts = cut.select(*group, "i", is_point.alias("point"), previous.alias("a"), F.coalesce("next", "hi").alias("b"), "value")
+    counts = parts.groupBy(*group, "i", "point", "a", "b").agg(
         F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"), F.max("value").alias("most"))
-    earlier = Window.partitionBy(*group).orderBy("part.i", "part.point").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("i", "point").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("skipped", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     place = F.col("rank") - F.col("before")
-    hit = null_safe_join(wide, counts, group).filter((F.col("skipped") <= place) & (place < F.col("skipped") + F.col("rows")))
-    found = hit.select(
-        *keys, "n", "rank", (F.col("before") + F.col("skipped")).alias("before"), F.col("rows").alias("size"),
-        F.col("part.lo").alias("lo"), F.col("part.hi").alias("hi"),
+    hit = null_safe_join(counts, ranks.select(*group, "n", "rank", "before"), group).filter(
+        (F.col("skipped") <= place) & (place < F.col("skipped") + F.col("rows")))
+    return hit.select(
+        *keys, F.col("a").alias("lo"), F.col("b").alias("hi"), "n", "rank",
+        (F.col("before") + F.col("skipped")).alias("before"), F.col("rows").alias("size"),
         F.when(F.col("least") == F.col("most"), F.col("least")).alias("value"))
-    return found.unionByName(ranks.filter(~todo))
 
 
 def quantiles(
@@ -185,24 +184,28 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (by.., column, n, one column per name in `probs`).
 
-    Intervals of more than `final` values are narrowed by counting, about `grid`-fold a round; a round
-    reads the values twice and writes tables of a few rows per group and rank. What is left of an interval
-    is sorted in one array. NULL and NaN are no values; a group without any has no row. Store a table that
-    is expensive to derive before.
+    Every round reads the values twice, for points and for counts, makes the intervals about `grid` times
+    smaller and writes tables of a few rows per group and rank; rounds end when no interval has more than
+    `final` values, which are then sorted in one array. NULL and NaN are no values; a group without any has
+    no row. Store a table that is expensive to derive before.
     """
     by, keys = list(by), [*by, "column"]
+    group = [*keys, "lo", "hi"]
     long = long_values(df, cols, by)
-    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     nothing = F.lit(None).cast("double")
-    ranks = stage_table(sizes.select(*keys, "n", F.explode(_wanted(probs)).alias("rank")).select(
-        *keys, "n", "rank", F.lit(0).cast("long").alias("before"), F.col("n").alias("size"),
-        nothing.alias("lo"), nothing.alias("hi"), nothing.alias("value")), "ranks")
-    while not ranks.filter((F.col("size") > final) & F.col("value").isNull()).isEmpty():
-        ranks = stage_table(_narrowed(long, ranks, keys, grid, salts, final), "ranks")
-    group = [*keys, "lo", "hi"]
+    values = long.select(*keys, nothing.alias("lo"), nothing.alias("hi"), "value")
+    points = _cut_points(values, group, grid, salts)
+    ranks = points.select(*group, "n", F.explode(_wanted(probs)).alias("rank"), F.lit(0).cast("long").alias("before"))
+    ranks = stage_table(_narrowed(values, ranks, points, keys, grid), "ranks")
+    todo = (F.col("size") > final) & F.col("value").isNull()
+    while not ranks.filter(todo).isEmpty():
+        wide = ranks.filter(todo)
+        values = _within(long, wide, keys)
+        narrowed = _narrowed(values, wide, _cut_points(values, group, grid, salts), keys, grid)
+        ranks = stage_table(narrowed.unionByName(ranks.filter(~todo)), "ranks")
     open_ranks = ranks.filter("value is null")
     arrays = _within(long, open_ranks, keys).groupBy(*group).agg(F.array_sort(F.collect_list("value")).alias("values"))
-    last = null_safe_join(open_ranks, arrays, group).select(
+    last = null_safe_join(arrays, open_ranks, group).select(
         *keys, "n", "rank", F.get("values", (F.col("rank") - F.col("before")).cast("int")).alias("value"))
     settled = ranks.filter("value is not null").select(*keys, "n", "rank", "value").unionByName(last)
     table = settled.groupBy(*keys).agg(
