@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelops.llm import bitplanes, ecoc_language, html_region, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
+from panelops.llm import bitplanes, ecoc_language, html_region, importance, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
@@ -169,3 +169,54 @@ def op4_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_patience")
 def op5_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patience.scan(read(spark, sf_dir, "documents"))
+
+
+#: CRC-32 by the reflected polynomial EDB88320, byte by byte over the hexadecimal form of a text.
+CRC_TABLE = """SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crc
+    FROM (SELECT unnest(range(256)) AS b)"""
+CRC = """xor(4294967295, list_reduce(
+        [CAST('0x' || code[2 * i + 1:2 * i + 2] AS BIGINT) for i in range(len(code) // 2)],
+        lambda c, b: xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)))"""
+
+
+@query("op13_importance", f"""
+WITH table_of AS MATERIALIZED (
+    {CRC_TABLE}
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {OP7_WORDS} AS words FROM documents
+), items AS (
+    SELECT {OP7_WORDS} AS words FROM benchmark
+), doc_runs AS (
+    SELECT r, array_to_string(words[i:i + n - 1], ' ') AS run
+    FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, (SELECT unnest([1, 2, 3]) AS n))
+), item_runs AS (
+    SELECT array_to_string(words[i:i + n - 1], ' ') AS run
+    FROM (SELECT words, n, unnest(range(1, len(words) - n + 2)) AS i FROM items, (SELECT unnest([1, 2, 3]) AS n))
+), coded AS MATERIALIZED (
+    SELECT run, {CRC} % 10000 AS bucket
+    FROM (SELECT run, hex(encode(run)) AS code FROM (SELECT run FROM doc_runs UNION SELECT run FROM item_runs)), table_of
+), s AS (
+    SELECT bucket, count(*) AS s FROM doc_runs JOIN coded USING (run) GROUP BY 1
+), t AS (
+    SELECT bucket, count(*) AS t FROM item_runs JOIN coded USING (run) GROUP BY 1
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM doc_runs) + 10000) AS DOUBLE)
+        / CAST((s + 1) * ((SELECT count(*) FROM item_runs) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket)
+), sums AS (
+    SELECT r, count(*) AS n, sum(gain) AS weight FROM doc_runs JOIN coded USING (run) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+    SELECT r, doc_id, len(words) AS n_words, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+           CAST('0x' || sha256('42:' || CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) AS h
+    FROM docs LEFT JOIN sums USING (r)
+), placed AS (
+    SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored
+), ranked AS (
+    SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC NULLS LAST, doc_id, weight, n_features) END AS place
+    FROM placed
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= 5 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN place END AS rank FROM ranked
+""")
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
