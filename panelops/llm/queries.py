@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelops.llm import bitplanes, ecoc_language, html_region, importance, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
+from panelops.llm import bitplanes, ecoc_language, gnat, html_region, importance, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
@@ -220,3 +220,30 @@ SELECT doc_id, n_features, weight, score,
 """)
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op11_gnat", """
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, o.r AS other, o.vec_id, a.label = o.label AS same,
+           CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+    FROM rows a JOIN rows o ON a.r <> o.r AND len(a.v) = len(o.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, other) AS place
+    FROM scores WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id, n.other) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor = n.anchor AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+""")
+def op11_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return gnat.hard_negatives(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
