@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelops.llm import bitplanes, ecoc_language, gnat, html_region, importance, jaccard_orders, kdtree, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
+from panelops.llm import bitplanes, ecoc_language, gnat, html_region, importance, jaccard_orders, kdtree, log_bilinear, markov_secrets, patience, soft_mix, suffix_automaton, url_lists
 from panelops.llm.common import read
 from panelops.staging import scratch_path
 
@@ -247,3 +247,8 @@ def op11_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
     return gnat.hard_negatives(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
+@query("op12_log_bilinear")
+def op12_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score(read(spark, sf_dir, "documents"))
