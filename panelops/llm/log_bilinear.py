@@ -17,7 +17,6 @@ import pickle
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +32,10 @@ from panelops.staging import stage_table
 #: Bytes of text in a block, and in one split of a long text.
 BLOCK_BYTES = 8 << 20
 #: Words with a class of their own, and classes of all other words.
-OWN_CLASS, SHARED = 511, 256
+OWN_CLASS, SHARED = 399, 240
 TAIL_BYTES = 3
+#: More than there are classes, which are stored in 16 bits.
+CLASS_CODES = 1 << 16
 DIMS = 16
 #: Each round trains on its share of the blocks; together they see every training token once.
 ROUNDS = 3
@@ -59,10 +60,6 @@ def words(text: str, at_once: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
         start = end
 
 
-def tail_class(word: bytes, shared: int = SHARED) -> int:
-    return crc32(word[-TAIL_BYTES:]) % shared
-
-
 @dataclass
 class Piece:
     """A stretch of a document inside a block: the places of its tokens, after two that come before them."""
@@ -126,8 +123,8 @@ def unpacked(data: bytes) -> object:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
-def numbered_blocks(docs: DataFrame, block_bytes: int, shared: int) -> DataFrame:
-    """(block, local, word, tail, n, data): a row for each word of a block's dictionary with its training count,
+def numbered_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """(block, local, word, n, data): a row for each word of a block's dictionary with its training count,
     and one with `data`, the block's pieces and tokens. Docs: (row, id, learned, held_out, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
@@ -139,11 +136,11 @@ def numbered_blocks(docs: DataFrame, block_bytes: int, shared: int) -> DataFrame
             for a in range(0, len(found), 1 << 16):
                 some = found[a:a + (1 << 16)]
                 yield {"block": pa.array(np.full(len(some), block)), "local": pa.array(np.arange(a, a + len(some), dtype=np.int32)),
-                       "word": pa.array(some, pa.binary()), "tail": pa.array([tail_class(w, shared) for w in some], pa.int32()),
+                       "word": pa.array(some, pa.binary()),
                        "n": pa.array(counts[a:a + len(some)]), "data": pa.nulls(len(some), pa.binary())}
-            yield {"block": [block], "local": [None], "word": [None], "tail": [None], "n": [None], "data": [packed((pieces, ids, numbers.get(START, -1)))]}
+            yield {"block": [block], "local": [None], "word": [None], "n": [None], "data": [packed((pieces, ids, numbers.get(START, -1)))]}
 
-    ddl = "block long, local int, word binary, tail int, n long, data binary"
+    ddl = "block long, local int, word binary, n long, data binary"
     return stage_table(map_batches(docs, run, ddl), "numbered")
 
 
@@ -168,24 +165,26 @@ class Classes:
 
 
 def counted(numbered: DataFrame, own: int, shared: int) -> tuple[DataFrame, Classes]:
-    """(word, c, class) of every word, and the classes. `own` words and the sums of the classes reach the driver."""
+    """(word, code) of every word, and the classes; a code is the training count times CLASS_CODES, and the class.
+    `own` words and the sums of the classes reach the driver."""
     rows = numbered.filter("word is not null")
-    words_ = stage_table(rows.groupBy("word").agg(F.sum("n").alias("c"), F.first("tail").alias("tail")), "words")
+    words_ = stage_table(rows.groupBy("word").agg(F.sum("n").alias("c")), "words")
     frequent = words_.filter((F.col("c") > 0) & (F.length("word") > 0) & (F.col("word") != F.lit(END))).orderBy(
         F.desc("c"), "word").limit(own).collect()
     table = [(bytearray(r["word"]), 1 + i) for i, r in enumerate(frequent)] + [(bytearray(END), 0)]
     given = numbered.sparkSession.createDataFrame(table, "word binary, given int")
+    tail = F.crc32(F.substring("word", -TAIL_BYTES, TAIL_BYTES)) % shared
     classed = words_.join(F.broadcast(given), "word", "left").select(
-        "word", "c", F.coalesce("given", F.col("tail") + 1 + len(frequent)).alias("class"))
+        "word", "c", F.coalesce("given", tail + (1 + len(frequent))).alias("class"))
     counts, kinds = np.zeros(1 + len(frequent) + shared), np.zeros(1 + len(frequent) + shared)
     for r in classed.filter("c > 0").groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         counts[r["class"]], kinds[r["class"]] = r["c"], r["n"]
-    return classed, Classes(len(frequent), counts, kinds)
+    return classed.select("word", (F.col("c") * CLASS_CODES + F.col("class")).alias("code")), Classes(len(frequent), counts, kinds)
 
 
 def coded_blocks(numbered: DataFrame, classed: DataFrame, classes: Classes) -> DataFrame:
     """(block, data): pieces, classes of the tokens, and for each piece what needs the counts of words."""
-    looked = numbered.filter("word is not null").select("block", "local", "word").join(classed, "word").select("block", "local", "c", "class")
+    looked = numbered.filter("word is not null").select("block", "local", "word").join(classed, "word").select("block", "local", "code")
     texts = numbered.filter("data is not null").select(F.col("block").alias("of"), "data")
     total, kinds, within = classes.counts.sum(), classes.kinds.sum(), classes.within()
     schema = arrow_schema("block long, data binary")
@@ -195,7 +194,7 @@ def coded_blocks(numbered: DataFrame, classed: DataFrame, classes: Classes) -> D
         for data in left.column("data"):
             pieces, ids, start = unpacked(data.as_py())
             order = np.argsort(right.column("local").to_numpy())
-            c, kind = right.column("c").to_numpy()[order], right.column("class").to_numpy()[order].astype(np.int64)
+            c, kind = np.divmod(right.column("code").to_numpy()[order], CLASS_CODES)
             base = np.log10((c + SMOOTH) / (total + SMOOTH * (kinds + 1)))
             shares = np.zeros(len(c))
             shared = within[kind] > 0.0
@@ -392,7 +391,7 @@ def score(
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
         F.coalesce(rest != 0, F.lit(False)).alias("learned"), (rest == 0).alias("held_out"), F.col(text_col).alias("text"))
-    numbered = numbered_blocks(rows, block_bytes, shared)
+    numbered = numbered_blocks(rows, block_bytes)
     classed, classes = counted(numbered, own, shared)
     coded = coded_blocks(numbered, classed, classes)
     model = trained(coded, classes, dims, rounds, seed)
