@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,8 @@ from panelops.operators import duplicates
 from panelops.plans import billing, testbed
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import PANEL, RAW_PANEL, r, union, with_
-from panelops.sources import delimited, files, sinks
-from panelops.staging import scratch_path
+from panelops.sources import delimited, files, quoted, sinks
+from panelops.staging import scratch_path, stage_table
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,6 +32,52 @@ def src_delimited(spark, sf):
     return delimited.read_delimited(spark, path, sep=";")
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
+    """Files are read in splits of `size`, so that values of a small table too reach over the ends of splits."""
+    wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k", "spark.sql.files.minPartitionNum": "1000"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _documents_text(spark, sf, path: str, cut: bool = False) -> str:
+    """Documents with their texts, line ends and all, in quotes; with `cut`, every tenth lacks two values."""
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    end = F.concat_ws(";", F.coalesce("source", F.lit("")), F.coalesce(F.col("n_chars").cast("string"), F.lit("")))
+    short = (F.col("doc_id") % 10 == 0) & F.lit(cut)
+    rest = F.when(short, F.coalesce("lang", F.lit(""))).otherwise(F.concat_ws(";", F.coalesce("lang", F.lit("")), end))
+    rows = t(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), quoted.alias("text"), rest.alias("lang;source;n_chars"))
+    return testbed.write_lines(rows, path)
+
+
+@query("src_quoted_lines", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
+def src_quoted_lines(spark, sf):
+    path = _documents_text(spark, sf, scratch_path(spark, "documents"))
+    with small_splits(spark):
+        return stage_table(delimited.read_delimited(spark, path, quoted_line_ends=True), "read")
+
+
+@query("src_malformed", """
+SELECT count(*) + 1 AS n_records, count(*) FILTER (WHERE contains(text, chr(10))) AS n_several_lines,
+       count(*) FILTER (WHERE doc_id % 10 = 0) AS n_other_width, 1 AS n_unclosed, 3 AS n_unclosed_lines FROM documents""")
+def src_malformed(spark, sf):
+    """Records that are too short, and one whose quote is never closed."""
+    path = _documents_text(spark, sf, scratch_path(spark, "documents"), cut=True)
+    open_end = t(spark, sf, "documents").limit(1).select(
+        F.lit("0").alias("doc_id"), F.lit('"no end\nof this\ntext').alias("text"), F.lit("xx").alias("lang;source;n_chars"))
+    unclosed = testbed.write_lines(open_end.coalesce(1), scratch_path(spark, "unclosed"))
+    with small_splits(spark):
+        return stage_table(quoted.count_malformed(spark, [path, unclosed]), "counted")
+
+
 def _comma_text(spark, sf) -> DataFrame:
     """Events as the messy text of a daily series: dd/MM/yyyy, decimal commas, trailing commas."""
     value = F.regexp_replace(F.col("value").cast("decimal(18,2)").cast("string"), r"\.", ",")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -137,7 +139,21 @@ def billing_text(spark: SparkSession, sf_dir: str, path: str) -> str:
     )
     june = F.trim("Mes") == "6"
     twice = text.select("*", F.explode(F.when(june, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_c"))
-    twice.drop("_c").write.option("header", True).option("sep", ";").csv(path)
+    return write_lines(twice.drop("_c"), path)
+
+
+def write_lines(cells: DataFrame, path: str, sep: str = ";") -> str:
+    """Text columns as lines, as they are: nothing is trimmed, quoted or escaped. Each part file begins with the
+    names of the columns."""
+    header = sep.join(cells.columns)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], names=["value"])
+
+    lines = cells.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cells.columns]).alias("value"))
+    lines.mapInArrow(headed, "value string").write.text(path)
     return path
 
 
@@ -147,18 +163,16 @@ def _comma(c: str):
 
 def demand_text(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Daily demand of all systems as decimal-comma text with trailing commas."""
-    demand_daily(spark, sf_dir, system=None).select(
+    return write_lines(demand_daily(spark, sf_dir, system=None).select(
         F.date_format("fecha", "dd/MM/yyyy").alias("fecha"), "sistema",
         _comma("dmin_mw").alias("dmin_mw"), F.concat(_comma("dmax_mw"), F.lit(",,")).alias("dmax_mw,,"),
-    ).write.option("header", True).option("sep", ";").csv(path)
-    return path
+    ), path)
 
 
 def generation_text(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Daily generation as decimal-comma text with trailing commas."""
-    generation_daily(spark, sf_dir).select(
+    return write_lines(generation_daily(spark, sf_dir).select(
         F.date_format("fecha", "dd/MM/yyyy").alias("fecha"),
         *[_comma(c).alias(c) for c in ("hidro", "termo", "ernc")],
         F.concat(_comma("total"), F.lit(",,,,")).alias("total,,,,"),
-    ).write.option("header", True).option("sep", ";").csv(path)
-    return path
+    ), path)

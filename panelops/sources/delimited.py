@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelops.functions import columns as fx
+from panelops.sources.quoted import read_quoted
 
 
 def read_delimited(
@@ -20,13 +21,14 @@ def read_delimited(
 ) -> DataFrame:
     """Header line, all columns STRING, missing-value texts to NULL. No inference pass.
 
-    A doubled quote in a quoted value is a quote. Line ends within quotes need `quoted_line_ends`, with
-    which a file is read by one task.
+    A doubled quote in a quoted value is a quote. Line ends within quotes need `quoted_line_ends`, which
+    reads files in splits too, but shuffles their lines once.
     """
-    raw = spark.read.csv(
-        path, sep=sep, header=True, encoding=encoding, inferSchema=False, enforceSchema=False,
-        quote='"', escape='"', multiLine=quoted_line_ends,
-    )
+    if quoted_line_ends:
+        raw = read_quoted(spark, path, sep, encoding)
+    else:
+        raw = spark.read.csv(
+            path, sep=sep, header=True, encoding=encoding, inferSchema=False, enforceSchema=False, quote='"', escape='"')
     return fx.nullify_tokens(raw, null_tokens)
 
 
