@@ -13,7 +13,7 @@ from panelops.operators import duplicates
 from panelops.plans import billing, testbed
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import PANEL, RAW_PANEL, r, union, with_
-from panelops.sources import delimited, files, quoted, sinks
+from panelops.sources import delimited, digests, files, quoted, sinks
 from panelops.staging import scratch_path, stage_table
 
 
@@ -302,11 +302,36 @@ def cat_separator(spark, sf):
     return _rendered(spark, sf).select("name", "sep")
 
 
+def _bytes_sql(name: str) -> str:
+    """Bytes of a rendered table: its header, its values, and a separator or line end after each."""
+    texts = [f"strftime({c}, '%Y-%m-%dT%H:%M:%S.000')" if c.endswith("date") else f"CAST({c} AS VARCHAR)" for c in TABLE_COLUMNS[name]]
+    cells = " + ".join(f"coalesce(octet_length(encode({x})), 0) + 1" for x in texts)
+    return f"{len(','.join(TABLE_COLUMNS[name])) + 1} + CAST(coalesce(sum({cells}), 0) AS BIGINT)"
+
+
 @query("catalogue", _per_table(
-    lambda folder, name, sep: f"SELECT '{folder}' AS name, count(*) + 1 AS n_lines, "
+    lambda folder, name, sep: f"SELECT '{folder}' AS name, {_bytes_sql(name)} AS bytes, "
+    f"round(({_bytes_sql(name)}) / 1048576.0, 2) AS mb, count(*) + 1 AS n_lines, "
     f"{len(TABLE_COLUMNS[name])} AS n_columns, '{','.join(TABLE_COLUMNS[name])}' AS columns FROM {name}"))
 def catalogue(spark, sf):
-    return _rendered(spark, sf).select("name", "n_lines", "n_columns", F.array_join("columns", ",").alias("columns"))
+    return _rendered(spark, sf).select("name", "bytes", "mb", "n_lines", "n_columns", F.array_join("columns", ",").alias("columns"))
+
+
+@query("file_twins", """
+SELECT n_name || suffix AS name, bytes, 2 AS n_copies
+FROM (SELECT 'documents' AS n_name, CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS bytes FROM documents),
+     (SELECT unnest(['', '(1)']) AS suffix)""")
+def file_twins(spark, sf):
+    """Texts as one file, twice, and once with its lines in another order: the same size, but other bytes."""
+    base = scratch_path(spark, "raw")
+    text = t(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "doc_id")
+    for folder, order in (("documents", F.col("doc_id")), ("documents(1)", F.col("doc_id")), ("documents_reversed", -F.col("doc_id"))):
+        text.coalesce(1).sortWithinPartitions(order).select("value").write.text(f"{base}/{folder}")
+    with small_splits(spark):
+        found = stage_table(digests.identical_files(spark, base), "twins")
+    named = found.select(F.element_at(F.split("path", "/"), -2).alias("name"), "bytes", "digest")
+    copies = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n_copies"))
+    return named.join(copies, "digest").select("name", "bytes", "n_copies")
 
 
 @query("catalogue_keys", union([

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelops.sources.digests import identical_files, plain_path
 from panelops.staging import stage
 
 # Column names that mark a join key, as parts of a name and as whole names.
@@ -50,12 +51,6 @@ def header_columns(header: Column, sep: Column) -> Column:
     return F.when(F.length(header) > 0, cells).otherwise(F.array().cast("array<string>"))
 
 
-def plain_path(path: Column) -> Column:
-    """File addresses come URL-encoded and with one or three slashes; one spelling for both."""
-    one_form = F.replace(F.regexp_replace(path, "^file:/+", "file:/"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(one_form)
-
-
 def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file: size, lines, first line. Lines are counted in parallel inside a file too.
 
@@ -211,17 +206,9 @@ def _members(hashed: DataFrame) -> DataFrame:
 
 
 def file_duplicates(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Byte-identical files: md5, name. A file is one task's read, up to Spark's 2 GB per value.
-
-    Empty files are not scanned; they are the listed files without a hash.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    address = plain_path(F.col("_metadata.file_path"))
-    hashed = stage(_hashed(files.withColumn("address", address), "content", "address"))
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    empty = listed.select(plain_path(F.col("path")).alias("name")).join(hashed, "name", "left_anti")
-    whole = hashed.unionByName(empty.select(F.md5(F.lit("").cast("binary")).alias("md5"), "name"))
-    return _members(whole).select("md5", F.element_at(F.split("name", "/"), -1).alias("name"))
+    """Byte-identical files: md5 (of a file of several splits the root of a tree of MD5s), name."""
+    return identical_files(spark, path).select(
+        F.col("digest").alias("md5"), F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
 def table_catalogue(tables: dict[str, DataFrame]) -> DataFrame:
