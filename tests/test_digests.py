@@ -48,7 +48,8 @@ def test_a_tree_of_several_levels(spark, tmp_path):
     for name in ("a", "b", "swapped"):
         (tmp_path / name).write_bytes(files[name])
     with small_splits(spark, "100"):
-        rows = digests.file_digests(spark, str(tmp_path), [len(files["a"])], width=4).collect()
+        names = digests.listed_files(spark, str(tmp_path))
+        rows = digests.file_digests(spark, str(tmp_path), [len(files["a"])], width=4).join(names, "file").collect()
     by_name = {os.path.basename(r["path"]): r["digest"] for r in rows}
     assert len(by_name) == 3 and by_name["a"] == by_name["b"] != by_name["swapped"]
 
