@@ -2,7 +2,8 @@
 
 `knn_regress`: the train side is a sample of at most `max_train` rows, a declared part of the method, so
 its size is bounded before it is broadcast. Test rows stay where they are and are never paired on disk.
-`knn_vectors`: all vectors against all, in blocks of bounded size that meet by a shuffle.
+`knn_vectors`: exact neighbours of all vectors, in blocks of bounded size; pairs of blocks that triangle bounds
+rule out never meet.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ BLOCK_CELLS = 4_000_000
 #: Bytes of a block's vectors as doubles, and tasks that the pairs of blocks are dealt to at most.
 BLOCK_BYTES = 1 << 22
 PAIR_TASKS = 10_000
+#: Points that vectors are dealt by, and the vectors they are chosen from.
+POINTS, POINT_SAMPLE = 32, 1024
 
 
 def nearest_mean(d: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
@@ -163,41 +167,159 @@ def nearest_rows(v: np.ndarray, own: np.ndarray, m: np.ndarray, code: np.ndarray
 def _block(held: pa.ListArray, i: int) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """Ids, vectors and targets of the i-th block."""
     rows = held[i].values
-    vectors = rows.field("v")
+    return rows.field("id"), _matrix(rows.field("v")), rows.field("y")
+
+
+def to_points(v: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Distances (rows, points), each from differences, which keep their digits far from the origin."""
+    with np.errstate(all="ignore"):
+        return np.stack([np.sqrt(((v - p) ** 2).sum(1)) for p in points], 1)
+
+
+def spread_points(v: np.ndarray, count: int) -> np.ndarray:
+    """Up to `count` unlike rows, each the farthest from those before it."""
+    chosen, gap = [v[0]], to_points(v, v[:1])[:, 0]
+    while len(chosen) < count and np.nanmax(gap, initial=0.0) > 0:
+        chosen.append(v[int(np.nanargmax(gap))])
+        gap = np.fmin(gap, to_points(v, chosen[-1][None])[:, 0])
+    return np.array(chosen)
+
+
+def _in_cells(rows: DataFrame, points: np.ndarray, size: int) -> DataFrame:
+    """(block, cell, least, most, rows): rows dealt to the cell of their nearest point, and each cell cut into
+    rings around it of at most `size` rows, with the least and largest distance to the point."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                v = _matrix(batch.column("v"))
+                if v.shape[1] != points.shape[1]:
+                    raise ValueError("vectors of different lengths")
+                away = to_points(v, points)
+                cell = np.argmin(np.nan_to_num(away, nan=np.inf), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(cell, pa.int32()), pa.array(away[np.arange(len(v)), cell])], [*batch.schema.names, "cell", "r"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, held, key = TaskContext.get().partitionId(), 0, [], None
+
+        def out() -> pa.RecordBatch:
+            nonlocal number
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            r = table.column("r").to_numpy()
+            least, most = (r.min(), r.max()) if np.isfinite(r).all() else (-np.inf, np.inf)
+            own = pa.StructArray.from_arrays([table.column(c) for c in ("id", "v", "y")], ["id", "v", "y"])
+            number += 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([(part << 32) + number]), pa.array([key], pa.int32()), pa.array([float(least)]), pa.array([float(most)]),
+                 pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), own)], ["block", "cell", "least", "most", "rows"])
+
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            at = 0
+            while at < len(cells):
+                if held and (cells[at] != key or sum(map(len, held)) == size):
+                    yield out()
+                    held = []
+                key = int(cells[at])
+                room = size - sum(map(len, held))
+                end = min(at + room, at + int(np.searchsorted(cells[at:], key, "right")))
+                held.append(batch.slice(at, end - at))
+                at = end
+        if held:
+            yield out()
+
+    placed = rows.mapInArrow(place, f"id {kind}, v array<double>, y double, cell int, r double")
+    # Rows at one distance, such as copies, are told apart by their id, so that they need not share a task.
+    dealt = placed.repartitionByRange("cell", "r", F.xxhash64("id")).sortWithinPartitions("cell", "r")
+    return stage_table(dealt.mapInArrow(
+        pack, f"block long, cell int, least double, most double, rows array<struct<id: {kind}, v: array<double>, y: double>>"), "blocks")
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
     sizes = pc.list_value_length(vectors).to_numpy()
     if (sizes != sizes[0]).any():
         raise ValueError("vectors of different lengths")
-    return rows.field("id"), vectors.flatten().to_numpy().astype(float).reshape(len(rows), sizes[0]), rows.field("y")
+    return vectors.flatten().to_numpy().astype(float).reshape(len(vectors), sizes[0])
+
+
+def _in_order(ids: pa.Array, c_ids: pa.Array, c_y: pa.Array, m: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of ids, and the candidates that may be neighbours, in order of code and target, with theirs."""
+    code = pc.rank(pa.concat_arrays([ids, c_ids]), tiebreaker="dense").to_numpy().astype(np.int64)
+    c_code = code[len(ids):]
+    order = np.lexsort((c_y.to_numpy(zero_copy_only=False), c_code))
+    order = order[needed(m[order], c_code[order], k)]
+    return code[: len(ids)], order, c_code[order]
+
+
+def neighbour_pairs(held: DataFrame, points: np.ndarray, k: int) -> DataFrame:
+    """(a, b): for each block the blocks that can hold one of the k nearest neighbours of one of its rows.
+
+    The k-th distance within a row's own block bounds that of its neighbours. By the triangle inequality a
+    neighbour at most u away from a row at distance d from a point is at distance d - u to d + u from it.
+    """
+    cells = held.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most")).collect()  # one row a point
+    rings = [(r["cell"], r["least"], r["most"]) for r in cells]
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                ids, v, y = _block(batch.column("rows"), i)
+                own, order, code = _in_order(ids, ids, y, v, k)
+                at, _, d = nearest_rows(v, own, v[order], code, k)
+                u = np.full(len(v), np.inf)
+                last = np.flatnonzero(_places(at) == k - 1)
+                u[at[last]] = d[last]
+                away = to_points(v, points)
+                out: list[tuple[int, float, float]] = []
+                for cell, least, most in rings:
+                    wide = u + 1e-9 * (u + away[:, cell]) + 1e-300
+                    near = ~((away[:, cell] - wide > most) | (away[:, cell] + wide < least))
+                    if near.any():
+                        low, high = away[near, cell] - wide[near], away[near, cell] + wide[near]
+                        sure = not (np.isnan(low).any() or np.isnan(high).any())
+                        out.append((cell, float(low.min()) if sure else -np.inf, float(high.max()) if sure else np.inf))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(batch.column("block")[i], len(out)), pa.array([o[0] for o in out], pa.int32()),
+                     pa.array([o[1] for o in out], pa.float64()), pa.array([o[2] for o in out], pa.float64())], ["a", "at", "low", "high"])
+
+    wanted = held.select("block", "rows").mapInArrow(reach, "a long, at int, low double, high double")
+    rings_of = held.select(F.col("block").alias("b"), "cell", "least", "most")
+    return wanted.join(rings_of, F.col("at") == F.col("cell")).filter("most >= low AND least <= high").select("a", "b")
 
 
 def knn_vectors(df: DataFrame, id_col: str, vector: str, target: str, k: int = 5, block_rows: int | None = None) -> DataFrame:
     """Leave-one-out regression on dense vectors: (id, y, yhat), the row itself is no neighbour.
 
-    Every row is compared with all others; rows of its own id are no neighbours. Smaller ids, then smaller
-    targets, win distance ties. Rows with a NULL id, or a vector that is NULL or holds NULL, take no part;
-    a row without any neighbour is left out. A task holds two blocks of vectors at a time.
+    Rows of the same id are no neighbours. Smaller ids, then smaller targets, win distance ties. Rows with a
+    NULL id, or a vector that is NULL or holds NULL, take no part; a row without any neighbour is left out.
+    Vectors are cut into blocks by their nearest of POINTS sampled vectors and their distance to it; pairs of
+    blocks that cannot hold a neighbour do not travel. A task holds two blocks of vectors at a time.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.col(target).cast("double").alias("y")).filter(
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(target).cast("double").alias("y")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
-    n, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
-    size = block_rows or max(1, BLOCK_BYTES // (8 * max(64, dims or 0)))
-    blocks, row = max(1, -(-n // size)), F.struct("id", "v", "y")
-    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
-    held = stage_table(rows.groupBy(number.alias("block")).agg(F.collect_list(row).alias("rows")), "vectors")
-    tasks, numbers = min(blocks * blocks, PAIR_TASKS), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
-    left = held.select(F.col("block").alias("a"), numbers.alias("b"), F.col("rows").alias("left")).repartition(tasks, "a", "b")
-    right = held.select(numbers.alias("a"), F.col("block").alias("b"), F.col("rows").alias("right")).repartition(tasks, "a", "b")
+    kind = df.schema[id_col].dataType.simpleString()
+    sample = [r["v"] for r in rows.select("v").orderBy(F.xxhash64("id", "v")).limit(POINT_SAMPLE).collect()]
+    if not sample:
+        return rows.select(F.col("id").alias(id_col), "y", F.col("y").alias("yhat")).limit(0)
+    if len({len(v) for v in sample}) > 1:
+        raise ValueError("vectors of different lengths")
+    dims = len(sample[0])
+    points = spread_points(np.array(sample, float).reshape(len(sample), dims), POINTS)
+    held = _in_cells(rows, points, block_rows or max(1, BLOCK_BYTES // (8 * max(64, dims))))
+    pairs = stage_table(neighbour_pairs(held, points, k), "pairs")
+    left = held.select(F.col("block").alias("a"), F.col("rows").alias("left"))
+    right = held.select(F.col("block").alias("b"), F.col("rows").alias("right"))
+    tasks = max(1, min(pairs.count(), PAIR_TASKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 ids, v, y = _block(batch.column("left"), i)
                 c_ids, m, c_y = _block(batch.column("right"), i)
-                code = pc.rank(pa.concat_arrays([ids, c_ids]), tiebreaker="dense").to_numpy().astype(np.int64)
-                own, c_code = code[: len(ids)], code[len(ids) :]
-                order = np.lexsort((c_y.to_numpy(zero_copy_only=False), c_code))
-                order = order[needed(m[order], c_code[order], k)]
-                at, found, d = nearest_rows(v, own, m[order], c_code[order], k)
+                own, order, code = _in_order(ids, c_ids, c_y, m, k)
+                at, found, d = nearest_rows(v, own, m[order], code, k)
                 found = pa.array(order[found])
                 near = pa.StructArray.from_arrays([pa.array(d), c_ids.take(found), c_y.take(found)], ["d", "id", "y"])
                 ends = np.searchsorted(at, np.arange(len(v) + 1)).astype(np.int32)
@@ -205,9 +327,8 @@ def knn_vectors(df: DataFrame, id_col: str, vector: str, target: str, k: int = 5
                     [pa.repeat(batch.column("a")[i], len(v)), pa.array(np.arange(len(v), dtype=np.int32)), ids, y, pa.ListArray.from_arrays(pa.array(ends), near)],
                     ["block", "place", "id", "y", "near"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    found = left.join(right.hint("merge"), ["a", "b"]).mapInArrow(
-        run, f"block long, place int, id {kind}, y double, near array<struct<d: double, id: {kind}, y: double>>")
+    met = pairs.join(left, "a").join(right, "b").select("a", "left", "right").repartition(tasks)
+    found = met.mapInArrow(run, f"block long, place int, id {kind}, y double, near array<struct<d: double, id: {kind}, y: double>>")
     best = found.groupBy("block", "place").agg(
         F.first("id").alias("id"), F.first("y").alias("y"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
     known = F.filter(F.col("near")["y"], lambda x: x.isNotNull())

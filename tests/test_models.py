@@ -157,6 +157,23 @@ def test_knn_vectors_has_no_limit_of_rows(spark):
     assert got.filter("yhat <> y").count() == 0 and got.count() == n - 2
 
 
+def test_knn_vectors_leaves_out_pairs_of_far_blocks(spark):
+    """Of well separated groups, blocks meet those of their own group only."""
+    rng = np.random.default_rng(6)
+    v = np.repeat(rng.normal(0, 100, (12, 6)), 60, 0) + rng.normal(0, 1, (720, 6))
+    rows = spark.createDataFrame([(i, w, float(i)) for i, w in enumerate(v.tolist())], "id long, v array<double>, y double")
+    held = knn._in_cells(rows, knn.spread_points(v, 12), 20)
+    blocks, pairs = held.count(), knn.neighbour_pairs(held, knn.spread_points(v, 12), 5).count()
+    assert blocks >= 36 and pairs < blocks * blocks / 6
+    got = {r["id"]: r["yhat"] for r in knn.knn_vectors(rows, "id", "v", "y", block_rows=20).collect()}
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    assert got == {a: np.mean([r for r in np.lexsort((range(720), d[a])) if r != a][:5]) for a in range(720)}
+
+
+def test_knn_vectors_of_no_rows(spark):
+    assert knn.knn_vectors(spark.createDataFrame([], "id long, v array<double>, y double"), "id", "v", "y").count() == 0
+
+
 def test_knn_vectors_nearly_equal_distances(spark):
     rng = np.random.default_rng(5)
     v = 1e6 + rng.random((300, 8)) * 1e-4  # products of matrices round these off
