@@ -1,7 +1,7 @@
 """k-nearest-neighbour regression.
 
-`knn_regress`: the train side is a sample of at most `max_train` rows, a declared part of the method, so
-its size is bounded before it is broadcast. Test rows stay where they are and are never paired on disk.
+`knn_regress`: the train side is a sample of at most `max_train` rows, a declared part of the method; its
+blocks meet those of the test rows by a shuffle.
 `knn_vectors`: exact neighbours of all vectors, in blocks of bounded size; pairs of blocks that triangle bounds
 rule out never meet.
 """
@@ -11,19 +11,21 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelops.operators.prep import Preparation
+from panelops.operators.ranks import numbered
 from panelops.operators.views import hash_sample
 from panelops.staging import stage_table
 
 MAX_TRAIN = 50_000
 BLOCK_CELLS = 4_000_000
+#: Train and test rows of a block of `knn_regress`.
+BLOCK_ROWS, ASKED_ROWS = 8192, 512
 #: Bytes of a block's vectors as doubles, and tasks that the pairs of blocks are dealt to at most.
 BLOCK_BYTES = 1 << 22
 PAIR_TASKS = 10_000
@@ -31,15 +33,14 @@ PAIR_TASKS = 10_000
 POINTS, POINT_SAMPLE = 32, 1024
 
 
-def nearest_mean(d: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
-    """Mean of y over the k smallest distances of each row; the earlier column wins a tie."""
+def nearest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k smallest distances of each row, nearest first; the earlier column wins a tie."""
     k = min(k, d.shape[1])
     edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
     rows, cols = np.nonzero(d <= edge)  # k per row, and more where the edge is tied
     order = np.lexsort((cols, d[rows, cols], rows))
-    first = np.searchsorted(rows, np.arange(len(d)))
-    picked = cols[order[first[:, None] + np.arange(k)]]
-    return y[picked].mean(axis=1)
+    order = order[_places(rows[order]) < k]
+    return rows[order], cols[order]
 
 
 def level_cost(b: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -52,11 +53,11 @@ def level_cost(b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return cost
 
 
-def _sample(train: DataFrame, cols: Sequence[str], max_train: int) -> pd.DataFrame:
-    """At most max_train rows, in the order that breaks distance ties."""
-    few = train.count() <= max_train
-    rows = train.select(*cols) if few else hash_sample(train.select(*cols), max_train)
-    return rows.orderBy(*cols).toPandas()
+def _cut(train: DataFrame, cols: Sequence[str], max_train: int) -> DataFrame:
+    """At most max_train rows as a stored table, numbered in the order that breaks distance ties."""
+    rows = train.select(*cols)
+    few = rows.count() <= max_train
+    return numbered(stage_table(rows if few else hash_sample(rows, max_train), "train"), [F.col(c) for c in cols], "place")
 
 
 def knn_regress(
@@ -73,46 +74,63 @@ def knn_regress(
     z-differences plus, per category, 0 if equal, 1 if one side is the zero vector, else 2.
 
     `prep` is fitted with scaling; its deviations divide raw differences, so that equal raw
-    distances stay equal after rounding. `tie` orders train rows at equal distance.
+    distances stay equal after rounding. `tie` orders train rows at equal distance. Beyond `max_train` rows
+    a hash sample of the train rows is used. Blocks of both sides meet by a shuffle, and the k best of each
+    meeting are merged.
     """
     numeric, codes = list(prep.numeric), [f"_code_{c}" for c in prep.categorical]
     unscaled = Preparation(prep.numeric, prep.categorical, prep.medians, prep.modes, {}, {}, prep.levels)
+    sd = np.array([prep.scale[c] for c in numeric])
 
     def encoded(df: DataFrame) -> DataFrame:
         return prep.codes(unscaled.fill(df))
 
+    def features(*more: Column) -> Column:
+        x = F.array(*[F.col(c).cast("double") for c in numeric]) if numeric else F.array().cast("array<double>")
+        c = F.array(*[F.col(c).cast("int") for c in codes]) if codes else F.array().cast("array<int>")
+        return F.struct(*more, x.alias("x"), c.alias("c"))
+
     cols = list(dict.fromkeys([*tie, *numeric, *codes, target]))
-    pdf = _sample(encoded(train), cols, max_train)
-    held = train.sparkSession.sparkContext.broadcast(
-        (
-            pdf[numeric].to_numpy(dtype=float),
-            pdf[codes].to_numpy(dtype=np.int32),
-            pdf[target].to_numpy(dtype=float),
-            np.array([prep.scale[c] for c in numeric]),
-        )
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, c, y, sd = held.value
-        combos, combo = np.unique(c, axis=0, return_inverse=True)
-        step = max(1, BLOCK_CELLS // max(1, len(y)))
+    held = _cut(encoded(train), cols, max_train)
+    base = held.groupBy(F.floor((F.col("place") - 1) / BLOCK_ROWS).alias("number")).agg(
+        F.collect_list(features("place", F.col(target).cast("double").alias("y"))).alias("base"))
+    work = stage_table(encoded(test).select(*dict.fromkeys([*keep, target, *numeric, *codes])).withColumn(
+        "_row", F.monotonically_increasing_id()), "test")
+    last = (held.count() - 1) // BLOCK_ROWS
+    parts = max(1, -(-work.count() // ASKED_ROWS))
+    asked = work.groupBy(F.pmod(F.xxhash64("_row"), F.lit(parts)).alias("part")).agg(
+        F.collect_list(features(F.col("_row").alias("row"))).alias("asked"))
+    asked = asked.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>") if last >= 0 else F.array().cast("array<bigint>")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a = batch[numeric].to_numpy(dtype=float)
-            b = batch[codes].to_numpy(dtype=np.int32)
-            out = np.empty(len(batch))
-            for lo in range(0, len(batch), step):
-                rows = slice(lo, lo + step)
-                d = np.zeros((len(a[rows]), len(y)))
-                for j in range(len(numeric)):
-                    z = (a[rows, j, None] - x[None, :, j]) / sd[j]
-                    d += z * z
-                out[rows] = nearest_mean(d + level_cost(b[rows], combos)[:, combo], y, k)
-            yield batch[list(keep)].assign(y=batch[target].astype(float), yhat=out)
-
-    work = encoded(test).select(*dict.fromkeys([*keep, target, *numeric, *codes]))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in work.select(*keep).schema)
-    schema = ", ".join([fields, "y double", "yhat double"]) if keep else "y double, yhat double"
-    return work.mapInPandas(run, schema).select(F.lit("knn").alias("model"), "*")
+            for mine, theirs in zip(batch.column("asked"), batch.column("base"), strict=True):
+                q, m = mine.values, theirs.values
+                order = np.argsort(m.field("place").to_numpy())
+                a, x = (s.field("x").flatten().to_numpy().reshape(len(s), len(numeric)) for s in (q, m))
+                b, c = (s.field("c").flatten().to_numpy().reshape(len(s), len(codes)) for s in (q, m))
+                x, c = x[order], c[order]
+                place, y = (pa.array(m.field(n).take(pa.array(order))) for n in ("place", "y"))
+                combos, combo = np.unique(c, axis=0, return_inverse=True)
+                step = max(1, BLOCK_CELLS // len(m))
+                for lo in range(0, len(q), step):
+                    rows = slice(lo, lo + step)
+                    d = level_cost(b[rows], combos)[:, combo.ravel()]
+                    for j in range(len(numeric)):
+                        z = (a[rows, j, None] - x[None, :, j]) / sd[j]
+                        d += z * z
+                    at, found = nearest(d, k)
+                    near = pa.StructArray.from_arrays([pa.array(d[at, found]), place.take(pa.array(found)), y.take(pa.array(found))], ["d", "place", "y"])
+                    ends = np.searchsorted(at, np.arange(len(d) + 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([q.field("row")[rows], pa.ListArray.from_arrays(pa.array(ends), near)], ["row", "near"])
+
+    met = asked.join(base, "number").repartition("part", "number").select("asked", "base")
+    found = met.mapInArrow(run, "row long, near array<struct<d: double, place: bigint, y: double>>")
+    best = found.groupBy("row").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+    total = F.aggregate(F.col("near")["y"], F.lit(0.0), lambda s, y: s + y)
+    means = best.select("row", (total / F.size("near")).alias("yhat"))
+    return work.join(means, F.col("_row") == F.col("row")).select(
+        F.lit("knn").alias("model"), *keep, F.col(target).cast("double").alias("y"), "yhat")
 
 
 def _places(group: np.ndarray) -> np.ndarray:

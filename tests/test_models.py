@@ -118,9 +118,17 @@ def test_knn_matches_brute_force(spark, data):
 
 def test_knn_ties_and_small_train():
     d = np.array([[1.0, 0.0, 1.0, 1.0], [2.0, 2.0, 2.0, 2.0]])
-    y = np.array([10.0, 20.0, 30.0, 40.0])
-    np.testing.assert_allclose(knn.nearest_mean(d, y, 2), [15.0, 15.0])
-    np.testing.assert_allclose(knn.nearest_mean(d, y, 9), [25.0, 25.0])
+    assert [x.tolist() for x in knn.nearest(d, 2)] == [[0, 0, 1, 1], [1, 0, 0, 1]]
+    assert knn.nearest(d, 9)[1].tolist() == [1, 0, 2, 3, 0, 1, 2, 3]
+
+
+def test_knn_blocks_give_the_same(spark, data, monkeypatch):
+    pdf, df, p = data
+    test = sample(80, seed=9)
+    whole = knn.knn_regress(df, spark.createDataFrame(test), p, "y", ["x"], tie=["x"]).toPandas().sort_values("x")
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 37)
+    parts = knn.knn_regress(df, spark.createDataFrame(test), p, "y", ["x"], tie=["x"]).toPandas().sort_values("x")
+    assert whole["yhat"].tolist() == parts["yhat"].tolist() and len(parts) == 80
 
 
 def test_knn_samples_a_large_train(spark, data):
