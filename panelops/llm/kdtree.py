@@ -21,6 +21,8 @@ from panelops.staging import stage_table
 SHARD = 8192
 LEAF = 64
 QUERIES = 1024
+#: Sums of products below this are exact in doubles.
+EXACT = 2.0**53
 TREES = "shard long, dims int, uids binary, ids binary, vectors binary, nodes binary, lows binary, highs binary"
 BLOCKS = "block long, dims int, uids binary, ids binary, vectors binary"
 
@@ -94,6 +96,8 @@ def packed(df: DataFrame, limit: int, ddl: str, trees: bool) -> DataFrame:
         def out(dims: int) -> dict[str, list]:
             rows = held.pop(dims)
             vectors = np.array([r[2] for r in rows], np.int64).reshape(len(rows), dims)
+            if dims * np.abs(vectors.astype(float)).max(initial=0.0) ** 2 >= EXACT:
+                raise ValueError("inner products of integer vectors may reach 2^53, where scores are no longer exact")
             uids, ids = (np.array([r[j] for r in rows], np.int64) for j in (0, 1))
             made = {"dims": [dims], "shard" if trees else "block": [int(uids[0])]}
             if trees:
@@ -122,9 +126,9 @@ def searched(pairs: DataFrame, k: int) -> DataFrame:
             for row in batch.to_pylist():
                 dims = row["dims"]
                 ints = {n: np.frombuffer(row[n], np.int64) for n in ("uids", "ids", "vectors", "nodes", "lows", "highs", "q_uids", "q_ids", "q_vectors")}
-                shape = lambda n: ints[n].reshape(-1, dims)  # noqa: B023, E731
-                vectors, queries, nodes = shape("vectors").astype(float), shape("q_vectors").astype(float), ints["nodes"].reshape(-1, 4).tolist()
-                lows, highs = shape("lows").astype(float), shape("highs").astype(float)
+                nodes = ints["nodes"].reshape(-1, 4).tolist()
+                rows = {"vectors": len(ints["uids"]), "q_vectors": len(ints["q_uids"]), "lows": len(nodes), "highs": len(nodes)}
+                vectors, queries, lows, highs = (ints[n].reshape(m, dims).astype(float) for n, m in rows.items())
                 bounds = np.maximum(queries, 0) @ highs.T + np.minimum(queries, 0) @ lows.T
                 least = row["least"] or [None] * len(queries)
                 out = {n: [] for n in ("block", "place", "query_uid", "query_id", "id", "uid", "score")}
@@ -146,8 +150,9 @@ def nearest(
     query_id, rank, vec_id, score. Ties go to the smaller id.
 
     Components x become floor(256 x). Vectors that are NULL or hold NULL or non-finite numbers take no
-    part; vectors are compared with those of their own length. Rows with equal ids are rows of their own.
-    A task holds one tree and one block of queries. Scores are exact as long as they stay below 2^53.
+    part; vectors are compared with those of their own length, an empty one has score 0. Rows with equal ids
+    are rows of their own. An empty table gives no rows; other columns may have any name. A task holds one tree
+    and one block of queries. Scores are exact; vectors whose scores could reach 2^53 raise an error.
     """
     made = rows.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col)).alias("vector"), is_query.alias("query"))
