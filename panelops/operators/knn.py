@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from panelops.operators.prep import Preparation
 from panelops.operators.ranks import numbered
 from panelops.operators.views import hash_sample
-from panelops.staging import stage_table
+from panelops.staging import broadcast_checked, stage_table
 
 MAX_TRAIN = 50_000
 BLOCK_CELLS = 4_000_000
@@ -324,12 +324,16 @@ def knn_vectors(df: DataFrame, id_col: str, vector: str, target: str, k: int = 5
     if len({len(v) for v in sample}) > 1:
         raise ValueError("vectors of different lengths")
     dims = len(sample[0])
-    points = spread_points(np.array(sample, float).reshape(len(sample), dims), POINTS)
-    held = _in_cells(rows, points, block_rows or max(1, BLOCK_BYTES // (8 * max(64, dims))))
+    size = block_rows or max(1, BLOCK_BYTES // (8 * max(64, dims)))
+    # More points than full blocks would only make blocks smaller and their pairs more.
+    wanted = max(1, min(POINTS, rows.count() // (2 * size)))
+    points = spread_points(np.array(sample, float).reshape(len(sample), dims), wanted)
+    held = _in_cells(rows, points, size)
     pairs = stage_table(neighbour_pairs(held, points, k), "pairs")
-    left = held.select(F.col("block").alias("a"), F.col("rows").alias("left"))
-    right = held.select(F.col("block").alias("b"), F.col("rows").alias("right"))
     tasks = max(1, min(pairs.count(), PAIR_TASKS))
+    few = broadcast_checked(pairs)
+    left = held.withColumnsRenamed({"block": "a", "rows": "left"}).select("a", "left").join(few, "a").repartition(tasks, "a", "b")
+    right = held.withColumnsRenamed({"block": "b", "rows": "right"}).select("b", "right").join(few, "b").repartition(tasks, "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,7 +349,7 @@ def knn_vectors(df: DataFrame, id_col: str, vector: str, target: str, k: int = 5
                     [pa.repeat(batch.column("a")[i], len(v)), pa.array(np.arange(len(v), dtype=np.int32)), ids, y, pa.ListArray.from_arrays(pa.array(ends), near)],
                     ["block", "place", "id", "y", "near"])
 
-    met = pairs.join(left, "a").join(right, "b").select("a", "left", "right").repartition(tasks)
+    met = left.join(right.hint("merge"), ["a", "b"]).select("a", "left", "right")
     found = met.mapInArrow(run, f"block long, place int, id {kind}, y double, near array<struct<d: double, id: {kind}, y: double>>")
     best = found.groupBy("block", "place").agg(
         F.first("id").alias("id"), F.first("y").alias("y"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
