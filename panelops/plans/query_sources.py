@@ -14,6 +14,7 @@ from panelops.plans import billing, testbed
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import PANEL, RAW_PANEL, r, union, with_
 from panelops.sources import delimited, digests, files, quoted, sinks
+from panelops.spec import BILLING
 from panelops.staging import scratch_path, stage_table
 
 
@@ -148,6 +149,16 @@ def sink_verify(spark, sf):
     return sinks.verify_written(spark, panel, path, "e1_kwh")
 
 
+@query("sink_ordered", with_(PANEL, """
+, months AS (SELECT fecha, CAST(count(*) AS BIGINT) AS n_rows FROM panel GROUP BY fecha),
+placed AS (SELECT *, CAST(sum(n_rows) OVER (ORDER BY fecha) AS BIGINT) AS rows_up_to FROM months)
+SELECT fecha, n_rows, rows_up_to - n_rows AS first_row, rows_up_to - 1 AS last_row, true AS ordered FROM placed"""))
+def sink_ordered(spark, sf):
+    """Where each month lies in files that were written in the order of the date."""
+    path = sinks.write_ordered(testbed.panel(spark, sf), scratch_path(spark, "ordered"), BILLING.time, BILLING.keys, files=16)
+    return sinks.ordered_check(spark, path, BILLING.time)
+
+
 # --- cleaning -----------------------------------------------------------------------------
 
 

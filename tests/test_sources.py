@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,29 @@ def test_parquet_sink_partitions_and_verifies(spark, tmp_path):
     assert not fewer["n_rows"]
 
 
+def test_ordered_sink(spark, tmp_path):
+    month = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 50 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(20))).cast("int")
+    df = spark.range(20_000).select(month.alias("m"), (F.col("id") % 7).alias("k"))  # one month holds a third, in seven kinds of rows
+    path = sinks.write_ordered(df, str(tmp_path / "t"), "m", ["k"], files=8)
+    found = spark.read.parquet(path)
+    assert sorted(map(str, found.collect())) == sorted(map(str, df.collect()))
+    spans = []
+    for file in sorted((tmp_path / "t").glob("part-*")):
+        column = pq.ParquetFile(file).read()["m"].to_pylist()
+        assert column == sorted(column, key=lambda v: -1 if v is None else v) and len(column) < 6000
+        stats = pq.ParquetFile(file).metadata.row_group(0).column(0).statistics
+        spans.append((stats.min, stats.max))
+    assert len(spans) == 8 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(a <= 5 <= b for a, b in spans) > 2 and sum(a <= 19 <= b for a, b in spans) == 1
+    rows = sinks.ordered_check(spark, path, "m").collect()
+    assert len(rows) == 21 and all(r.ordered for r in rows) and sum(r.n_rows for r in rows) == 20_000
+    loose = str(tmp_path / "loose")
+    df.write.parquet(loose)
+    assert not all(r.ordered for r in sinks.ordered_check(spark, loose, "m").collect())
+    empty = sinks.write_ordered(df.limit(0), str(tmp_path / "none"), "m")
+    assert sinks.ordered_check(spark, empty, "m").collect() == []
+
+
 def test_infer_frequency(spark):
     def label(sql):
         return files.infer_frequency(spark.sql(sql), "d").first()["frequency"]
