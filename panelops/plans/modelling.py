@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelops.operators import evaluate, extra_trees, knn, models, prep, views
+from panelops.operators import association, evaluate, extra_trees, knn, models, prep, views
 from panelops.operators.lags import lag_names
 from panelops.spec import PanelSpec, Scenario
 from panelops.staging import spread, stage, stage_table
@@ -29,6 +30,9 @@ class SplitData:
         self.numeric, self.categorical, self.target, self.time = list(numeric), list(categorical), target, time
         cols = list(dict.fromkeys([time, *numeric, *categorical, target, "split"]))
         staged = stage_table(split.filter("split is not null").select(*cols), "split")
+        found = views.split_check(staged, time).first()
+        if found["shared_months"] or not (found["train_rows"] and found["test_rows"] and found["ordered"]):
+            raise ValueError(f"the split is not one by month: {found.asDict()}")
         self.train = spread(staged.filter("split = 'train'"))
         self.test = spread(staged.filter("split = 'test'"))
         self._fitted: dict[bool, prep.Preparation] = {}
@@ -88,17 +92,93 @@ def fit_predict(data: SplitData, name: str, trees: int = models.N_TREES, depth:
     raise ValueError(f"unknown model {name!r}")
 
 
+@dataclass(frozen=True)
+class Comparison:
+    """What was fitted: the predictions of all models on the test months as one stored table, their metrics,
+    and by name the importances of the models that have them."""
+
+    predictions: DataFrame
+    metrics: DataFrame
+    importances: dict[str, dict[str, float]]
+
+    def winner(self) -> tuple[str, int]:
+        """Name of the selected model, and how many models were within the tie."""
+        row = evaluate.select_model(self.metrics).first()
+        if row is None:
+            raise ValueError("no model but the baseline can be judged")
+        return row["model"], row["n_tied"]
+
+    def of(self, model: str) -> DataFrame:
+        return self.predictions.filter(F.col("model") == model)
+
+
+def compare_models(
+    split: DataFrame, spec: PanelSpec, names: Sequence[str] = ALL_MODELS, trees: int = models.N_TREES,
+    depth: int = models.TREE_DEPTH, columns: tuple[Sequence[str], Sequence[str]] | None = None,
+) -> Comparison:
+    """Fits every model once. `columns` are numeric and categorical features, else those of the base model."""
+    numeric, categorical = columns or features(spec)
+    data = SplitData(split, numeric, categorical, spec.target, spec.time)
+    found = {n: fit_predict(data, n, trees, depth) for n in names}
+    out = stage_table(reduce(DataFrame.unionByName, [p for p, _ in found.values()]), "predictions")
+    data.release()
+    metrics = stage(evaluate.regression_metrics(out))
+    return Comparison(out, metrics, {n: weights for n, (_, weights) in found.items() if weights})
+
+
 def compare(
     split: DataFrame, spec: PanelSpec, names: Sequence[str] = ALL_MODELS, trees: int = models.N_TREES,
     depth: int = models.TREE_DEPTH,
 ) -> DataFrame:
     """Predictions of all models on the test months: (model, month, y, yhat)."""
-    numeric, categorical = features(spec)
-    data = SplitData(split, numeric, categorical, spec.target, spec.time)
-    found = [fit_predict(data, n, trees, depth)[0] for n in names]
-    out = stage_table(reduce(DataFrame.unionByName, found), "predictions")
-    data.release()
-    return out
+    return compare_models(split, spec, names, trees, depth).predictions
+
+
+def winner_report(found: Comparison, top: int = 20, sample: int = 20_000) -> DataFrame:
+    """(part, position, item, value) of the selected model: its residuals and their histogram, its most important
+    features if it has importances, and the rows and error of the sample that a plot would show. Nothing is
+    fitted again: the stored predictions and importances are those of the comparison."""
+    name, n_tied = found.winner()
+    own = found.of(name)
+    spark = own.sparkSession
+    stats = evaluate.residual_summary(own).unpivot([], ["mean", "median", "std", "p90_abs"], "item", "value")
+    bins = evaluate.residual_histogram(own)
+    shown = evaluate.prediction_sample(own, sample).agg(
+        F.count(F.lit(1)).cast("double").alias("rows"), F.avg(F.abs("resid")).alias("mae")
+    ).unpivot([], ["rows", "mae"], "item", "value")
+    parts = [
+        found.metrics.filter(F.col("model") == name).select(
+            F.lit("winner").alias("part"), F.lit(n_tied).alias("position"), F.col("model").alias("item"), F.col("r2").alias("value")),
+        stats.select(F.lit("residual"), F.lit(0), "item", "value"),
+        bins.select(F.lit("histogram"), F.col("bin").cast("int"), F.lit("n"), F.col("n").cast("double")),
+        shown.select(F.lit("sample"), F.lit(0), "item", "value"),
+    ]
+    if name in found.importances:
+        ranked = evaluate.feature_importance(spark, found.importances[name], top)
+        parts.append(ranked.select(F.lit("importance"), "position", "feature", "importance"))
+    return reduce(DataFrame.union, parts)
+
+
+def run_record(found: Comparison, split: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row for a JSON sink: the selected model and its ties, cohort, size and split of the view, the
+    correlations of target and exposure, R2 of the line on the exposure alone, and all metrics as `results`.
+    Ranks do not change under a logarithm, so one rank correlation serves raw and log values."""
+    name, n_tied = found.winner()
+    x, y, t = spec.exposure, spec.target, spec.time
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    facts = views.split_check(split, t).select(F.struct("train_rows", "test_rows", "last_train", "first_test").alias("f")).scalar()
+    rank = association.spearman(split, x, y).select("spearman").scalar()
+    line = evaluate.regression_metrics(models.ols_univariate(train, test, x, y)).select("r2").scalar()
+    results = found.metrics.agg(F.array_sort(F.collect_list(F.struct(*found.metrics.columns)))).scalar()
+    seen = split.agg(
+        F.min(t).alias("cohort_start"), F.max(t).alias("cohort_end"), F.count(F.lit(1)).alias("n_view"),
+        F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr_pearson"),
+        F.corr(F.log1p(F.col(x).cast("double")), F.log1p(F.col(y).cast("double"))).alias("corr_pearson_log"),
+    )
+    return seen.select(
+        F.lit(name).alias("best_name"), F.lit(n_tied).alias("n_tied"), "*", rank.alias("corr_spearman"),
+        line.alias("r2_exposure_only"), facts.alias("f"), results.alias("results"),
+    ).select("*", "f.*").drop("f")
 
 
 def scenarios(spec: PanelSpec) -> list[Scenario]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelops.operators.association import ols_line
 from panelops.operators import evaluate, knn, models, prep, views
-from panelops.plans import modelling
+from panelops.plans import certificates, modelling
 from panelops.plans.query_panel import EXPOSURE, TARGET, TIME, lagged_panel, split_rows, stored_panel
 from panelops.plans.query_sources import t
 from panelops.plans.registry import query, rounded
@@ -197,7 +197,40 @@ for _name, _model in (
     _fit_query(_name, _model)
 
 
-def _solve3(alpha: float) -> str:
+# Sums over train rows that the equations of a fit must give: standardised numbers, and dummies without the first level.
+_LINEAR_SUMS = union(
+    [f"SELECT '(intercept)' AS equation, count(*) AS n, {r('CAST(sum(energia_kwh) AS DOUBLE)', 'value', 3)} FROM train"]
+    + [f"SELECT '{c}', count(*) FILTER (WHERE z <> 0), round(sum(z * energia_kwh), 3) FROM "
+       f"(SELECT energia_kwh, ({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train) AS z FROM train)" for c in NUMERIC]
+    + [f"SELECT '{c}_' || {c}, count(*), round(CAST(sum(energia_kwh) AS DOUBLE), 3) FROM train "
+       f"WHERE {c} > (SELECT min({c}) FROM train) GROUP BY {c}" for c in CATEGORICAL])
+
+
+def _certified(spark, sf, *names: str) -> DataFrame:
+    data = modelling.SplitData(split_rows(spark, sf), NUMERIC, CATEGORICAL, TARGET, TIME)
+    out = stage_table(certificates.certify_all(data, names), "certificates")
+    data.release()
+    return rounded(out, 3)
+
+
+@query("cert_linear", with_(SPLIT, f"""
+SELECT model, s.*, true AS holds FROM ({_LINEAR_SUMS}) s, (VALUES ('linear'), ('ridge')) m(model)"""))
+def cert_linear(spark, sf):
+    """Normal equations of the full linear and ridge design."""
+    return _certified(spark, sf, "linear", "ridge")
+
+
+@query("cert_trees", with_(SPLIT, """
+, facts AS (SELECT count(*) AS n, CAST(sum(energia_kwh) AS DOUBLE) AS total, CAST(max(energia_kwh) AS DOUBLE) AS most FROM train)
+SELECT model, equation, n, CASE equation WHEN 'importances' THEN 1.0 WHEN 'range' THEN most ELSE round(total, 3) END AS value, true AS holds
+FROM facts, (VALUES ('tree', 'leaf means'), ('tree', 'importances'), ('forest', 'range'), ('forest', 'importances'),
+                    ('extra_trees', 'sum of predictions'), ('extra_trees', 'importances')) e(model, equation)"""))
+def cert_trees(spark, sf):
+    """Leaf means, ranges, sums and importances of the tree models."""
+    return _certified(spark, sf, "tree", "forest", "extra_trees")
+
+
+def _solve3(alpha: float, tag: str = "") -> str:
     """CTEs that solve the penalised normal equations of three standardised numbers by determinants."""
     z = {f"z{i}": f"({c} - {c}_m) / {c}_s" for i, c in enumerate(NUMERIC)}
     stats = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in NUMERIC)
@@ -215,12 +248,12 @@ def _solve3(alpha: float) -> str:
         )
 
     zs = ", ".join(f"{e} AS {n}" for n, e in z.items())
-    return SPLIT + f""",
-s AS (SELECT {stats}, avg(energia_kwh) AS y_m FROM train),
-zt AS (SELECT energia_kwh, y_m, {zs} FROM train, s),
-normal AS (SELECT {cells} FROM zt),
-beta AS (SELECT {", ".join(f"({det(i)}) / ({det(None)}) AS w{i}" for i in range(3))} FROM normal),
-fitted AS (SELECT fecha, CAST(energia_kwh AS DOUBLE) AS y, y_m + {" + ".join(f"w{i} * {z[f'z{i}']}" for i in range(3))} AS yhat FROM test, s, beta)"""
+    return f""",
+s{tag} AS (SELECT {stats}, avg(energia_kwh) AS y_m FROM train),
+zt{tag} AS (SELECT energia_kwh, y_m, {zs} FROM train, s{tag}),
+normal{tag} AS (SELECT {cells} FROM zt{tag}),
+beta{tag} AS (SELECT {", ".join(f"({det(i)}) / ({det(None)}) AS w{i}" for i in range(3))} FROM normal{tag}),
+fitted{tag} AS (SELECT fecha, CAST(energia_kwh AS DOUBLE) AS y, y_m + {" + ".join(f"w{i} * {z[f'z{i}']}" for i in range(3))} AS yhat FROM test, s{tag}, beta{tag})"""
 
 
 def _numeric_fit(spark, sf, name: str) -> DataFrame:
@@ -229,13 +262,13 @@ def _numeric_fit(spark, sf, name: str) -> DataFrame:
     return rounded(found.drop("model"), 4)
 
 
-@query("fit_linear_numeric", with_(_solve3(0.0), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
+@query("fit_linear_numeric", with_(SPLIT + _solve3(0.0), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
 def fit_linear_numeric(spark, sf):
     """Least squares on the three numbers alone, which SQL can solve too."""
     return _numeric_fit(spark, sf, "linear")
 
 
-@query("fit_ridge_numeric", with_(_solve3(models.RIDGE_ALPHA), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
+@query("fit_ridge_numeric", with_(SPLIT + _solve3(models.RIDGE_ALPHA), f"SELECT fecha, y, {r('yhat', 'yhat', 4)} FROM fitted"))
 def fit_ridge_numeric(spark, sf):
     """Ridge on the three numbers alone; the penalty moves the predictions by more than the rounding."""
     return _numeric_fit(spark, sf, "ridge")
@@ -285,6 +318,73 @@ def model_comparison(spark, sf):
     return evaluate.leaderboard(evaluate.regression_metrics(_fitted(spark, sf, *modelling.ALL_MODELS)))
 
 
+# --- the selected model -------------------------------------------------------------------
+
+# Three models that SQL can fit, judged and selected like the seven.
+_NUMERIC_MODELS = ("mean", "linear", "ridge")
+_CHOSEN = SPLIT + _solve3(0.0, "_linear") + _solve3(models.RIDGE_ALPHA, "_ridge") + """,
+predictions AS (
+  SELECT 'mean' AS model, CAST(energia_kwh AS DOUBLE) AS y, (SELECT avg(energia_kwh) FROM train) AS yhat FROM test
+  UNION ALL SELECT 'linear', y, yhat FROM fitted_linear
+  UNION ALL SELECT 'ridge', y, yhat FROM fitted_ridge),
+metrics AS (
+  SELECT model, avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) * (y - yhat))) AS rmse,
+         1 - avg((y - yhat) * (y - yhat)) / var_pop(y) AS r2 FROM predictions GROUP BY model),
+tied AS (SELECT * FROM metrics WHERE model <> 'mean' AND r2 >= (SELECT max(r2) FROM metrics WHERE model <> 'mean') - 0.001),
+best AS (SELECT *, CAST((SELECT count(*) FROM tied) AS INTEGER) AS n_tied FROM tied ORDER BY mae, rmse, model LIMIT 1),
+own AS (SELECT y - yhat AS e FROM predictions WHERE model = (SELECT model FROM best)),
+slog AS (SELECT sign(e) * ln(1 + abs(e)) AS x FROM own),
+span AS (SELECT min(x) AS lo, (max(x) - min(x)) / 80.0 AS width FROM slog)"""
+
+
+def _numeric_comparison(spark, sf) -> tuple[modelling.Comparison, DataFrame]:
+    rows = stage_table(split_rows(spark, sf), "split")
+    return modelling.compare_models(rows, BILLING, _NUMERIC_MODELS, columns=(NUMERIC, ())), rows
+
+
+@query("winner_numeric", with_(_CHOSEN, f"""
+SELECT 'winner' AS part, n_tied AS position, model AS item, {r("r2", "value", 4)} FROM best
+UNION ALL SELECT 'residual', 0, 'mean', {r("avg(e)", "value", 4)} FROM own
+UNION ALL SELECT 'residual', 0, 'median', {r("quantile_cont(e, 0.5)", "value", 4)} FROM own
+UNION ALL SELECT 'residual', 0, 'std', {r("stddev_pop(e)", "value", 4)} FROM own
+UNION ALL SELECT 'residual', 0, 'p90_abs', {r("quantile_cont(abs(e), 0.9)", "value", 4)} FROM own
+UNION ALL SELECT 'sample', 0, 'rows', CAST(count(*) AS DOUBLE) FROM own
+UNION ALL SELECT 'sample', 0, 'mae', {r("avg(abs(e))", "value", 4)} FROM own
+UNION ALL SELECT 'histogram', CAST(least(floor((x - lo) / width) + 1, 80) AS INTEGER), 'n', CAST(count(*) AS DOUBLE) FROM slog, span GROUP BY ALL"""))
+def winner_numeric(spark, sf):
+    """Selection and report over three models on the numbers alone; all test rows are in the sample."""
+    found, rows = _numeric_comparison(spark, sf)
+    return rounded(modelling.winner_report(found, sample=rows.count()), 4)
+
+
+@query("selection_record", with_(_CHOSEN, f"""
+, ranked AS (SELECT rank() OVER (ORDER BY energia_kwh) + (count(*) OVER (PARTITION BY energia_kwh) - 1) / 2.0 AS a,
+                    rank() OVER (ORDER BY clientes_facturados) + (count(*) OVER (PARTITION BY clientes_facturados) - 1) / 2.0 AS b FROM split_rows),
+line AS (SELECT regr_slope(energia_kwh, clientes_facturados) AS a, regr_intercept(energia_kwh, clientes_facturados) AS b FROM train)
+SELECT (SELECT model FROM best) AS best_name, (SELECT n_tied FROM best) AS n_tied,
+       min(fecha) AS cohort_start, max(fecha) AS cohort_end, count(*) AS n_view,
+       {r("corr(clientes_facturados, energia_kwh)", "corr_pearson")},
+       {r("corr(ln(1 + clientes_facturados), ln(1 + energia_kwh))", "corr_pearson_log")},
+       (SELECT {r("corr(CAST(a AS DOUBLE), CAST(b AS DOUBLE))", "c")} FROM ranked) AS corr_spearman,
+       (SELECT round(1 - avg((energia_kwh - b - a * clientes_facturados) * (energia_kwh - b - a * clientes_facturados)) / var_pop(energia_kwh), 6)
+        FROM test, line) AS r2_exposure_only,
+       (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM test) AS test_rows,
+       (SELECT max(fecha) FROM train) AS last_train, (SELECT min(fecha) FROM test) AS first_test, 3 AS n_models FROM split_rows"""))
+def selection_record(spark, sf):
+    """The run record over three models, written as JSON and read back."""
+    found, rows = _numeric_comparison(spark, sf)
+    record = modelling.run_record(found, rows, BILLING)
+    path = sinks.write_json(record, scratch_path(spark, "record"))
+    back = spark.read.schema(record.schema).json(path)
+    return rounded(back.withColumn("n_models", F.size("results")).drop("results"))
+
+
+@query("winner_report")
+def winner_report(spark, sf):
+    """Report of the model selected among the seven."""
+    return modelling.winner_report(modelling.compare_models(split_rows(spark, sf), BILLING))
+
+
 # --- scenarios ----------------------------------------------------------------------------
 
 _FAIR = LAGGED_PANEL + ",\ncomplete AS (SELECT * FROM lagged_panel WHERE " + " AND ".join(

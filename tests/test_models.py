@@ -7,9 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from panelops.operators import evaluate, extra_trees, knn, models, prep
-from panelops.plans import modelling
-from panelops.spec import BILLING
+from panelops.operators import evaluate, extra_trees, knn, models, prep, views
+from panelops.plans import certificates, modelling
+from panelops.spec import BILLING, PanelSpec
 
 LEVELS = ["alfa", "beta", "gama"]
 
@@ -292,6 +292,58 @@ def test_importance_table(spark):
     assert [(r["position"], r["feature"]) for r in rows] == [(1, "b"), (2, "c")]
 
 
+# A panel of three columns, in the roles that the comparison asks for.
+SMALL = PanelSpec(time="t", keys=("c",), target="y", exposure="x")
+
+
+def test_winner_flow(spark, data):
+    split = views.temporal_split(data[1], "t")
+    found = modelling.compare_models(split, SMALL, ("mean", "linear", "tree"), depth=4, columns=(["x", "w"], ["c"]))
+    assert found.winner() == ("tree", 1) and set(found.importances) == {"tree"}
+    report = {(r.part, r.position, r["item"]): r.value for r in modelling.winner_report(found, sample=50).collect()}
+    test = split.filter("split = 'test'").count()
+    assert sum(v for k, v in report.items() if k[0] == "histogram") == test
+    assert report["sample", 0, "rows"] == 50 and [k for k in report if k[:2] == ("importance", 1)][0][2] in ("x", "c_beta")
+    assert report["winner", 1, "tree"] == pytest.approx(found.metrics.filter("model = 'tree'").first()["r2"])
+    record = modelling.run_record(found, split, SMALL).first()
+    assert record.best_name == "tree" and record.n_view == 600 and record.train_rows + record.test_rows == 600
+    assert record.cohort_start < record.last_train < record.first_test < record.cohort_end
+    assert record.corr_pearson == pytest.approx(data[0]["x"].corr(data[0]["y"]))
+    assert record.corr_spearman == pytest.approx(data[0]["x"].rank().corr(data[0]["y"].rank()))
+    assert [r.model for r in record.results] == ["linear", "mean", "tree"]
+
+
+def test_winner_of_a_linear_model_has_no_importance(spark, data):
+    split = views.temporal_split(data[1], "t")
+    found = modelling.compare_models(split, SMALL, ("mean", "linear"), columns=(["x", "w"], []))
+    assert {r.part for r in modelling.winner_report(found).collect()} == {"winner", "residual", "histogram", "sample"}
+    with pytest.raises(ValueError, match="no model"):
+        modelling.compare_models(split, SMALL, ("mean",), columns=(["x"], [])).winner()
+
+
+def test_a_split_that_shares_months_is_refused(spark, data):
+    mixed = data[1].withColumn("split", F.when(F.col("x") > 5, "train").otherwise("test"))
+    with pytest.raises(ValueError, match="by month"):
+        modelling.SplitData(mixed, ["x"], [], "y", "t")
+    with pytest.raises(ValueError, match="by month"):
+        modelling.SplitData(data[1].withColumn("split", F.lit("train")), ["x"], [], "y", "t")
+
+
+@pytest.mark.parametrize("name", ["linear", "ridge", "tree", "forest", "extra_trees"])
+def test_certificates(spark, data, name):
+    split = views.temporal_split(data[1], "t")
+    held = modelling.SplitData(split, ["x", "w"], ["c"], "y", "t")
+    rows = certificates.certify(held, name, trees=5, depth=4).collect()
+    assert rows and all(r.holds for r in rows), [r for r in rows if not r.holds]
+
+
+def test_certificates_of_a_wrong_fit_fail(spark, data, monkeypatch):
+    split = views.temporal_split(data[1], "t")
+    held = modelling.SplitData(split, ["x", "w"], ["c"], "y", "t")
+    monkeypatch.setattr(models, "fit_linear", lambda train, t: models.fit_ridge(train, t, alpha=5.0))
+    assert not all(r.holds for r in certificates.certify(held, "linear").collect())
+
+
 def test_scenario_matrix_end_to_end(spark, sf):
     from panelops.plans.query_panel import lagged_panel, stored_panel
 

@@ -14,7 +14,7 @@ import __spark_entry__ as entry_module
 
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 # Fits of many trees: their parts are tested in test_models.py.
-SLOW = {"fit_forest", "fit_extra_trees", "scenario_matrix", "scenario_delta"}
+SLOW = {"fit_forest", "fit_extra_trees", "scenario_matrix", "scenario_delta", "winner_report"}
 
 
 @pytest.fixture(scope="module")
