@@ -89,10 +89,15 @@ def random_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray,
     """Runs of at least `LEAST_RUN` characters that touch no base match and whose ratio is above the threshold."""
     if b"x" * LEAST_RUN not in text.encode().translate(RUN_BYTES):
         return []
-    return [
-        (m.start(), 3, m.end()) for m in RUN.finditer(text)
-        if all(m.end() <= a or b <= m.start() for a, _, b in base) and ratio[moves(m[0])].sum() > threshold
-    ]
+    found, at, reach = [], 0, 0
+    for m in RUN.finditer(text):
+        # Base spans are in the order of their starts: those that begin before the run ends touch it if one reaches into it.
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= m.start() and ratio[moves(m[0])].sum() > threshold:
+            found.append((m.start(), 3, m.end()))
+    return found
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 import string
+import time
 from hashlib import sha256
 
+import numpy as np
+
 from panelops.llm import markov_secrets as ms
 
 AKIA = "AKIA" + "Q7" * 8
@@ -34,6 +37,22 @@ def test_models_add_random_strings_only(spark):
     assert all(got[i].spans.count("assign") == 1 and "random" not in got[i].spans for i in range(2, 40))
 
 
+def test_runs_that_touch_base_spans():
+    rng, ratio = random.Random(7), np.ones(ms.STATES ** 2)
+    for _ in range(300):
+        text = "".join(rng.choices(["x" * 25, " ", "token=abcdefgh1", AKIA, HEX, "é", "-" * 20], k=rng.randint(0, 25)))
+        base = ms.base_spans(text)
+        want = [(m.start(), 3, m.end()) for m in ms.RUN.finditer(text) if all(m.end() <= a or b <= m.start() for a, _, b in base)]
+        assert ms.random_spans(text, base, ratio, 15.0) == want
+
+
+def test_many_spans_take_linear_time():
+    text = f"token=abcdefgh1 {'x' * 25} " * 20_000
+    begin = time.perf_counter()
+    assert len(ms.random_spans(text, ms.base_spans(text), np.ones(ms.STATES ** 2), 15.0)) == 20_000
+    assert time.perf_counter() - begin < 5
+
+
 def test_nothing_known(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ms.scan(docs).collect() == []
