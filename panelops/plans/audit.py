@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelops.operators import profile
@@ -15,6 +16,26 @@ from panelops.spec import PanelSpec
 JOIN_LEFTOVERS = ("anio_x", "mes_x", "anio_y", "mes_y")
 
 
+# Conditions under which a dataset counts as missing; every other error is one of the job and is raised.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def source_findings(spark: SparkSession, sources: Mapping[str, tuple[str, Sequence[str]]]) -> DataFrame:
+    """(dataset, check, level, value) of Parquet datasets by name, each a path and its required columns. A path that does
+    not exist, or holds no table, is an ERROR row of its own and does not end the audit; a table without rows
+    exists. Each dataset is scanned once, of its columns only the required ones."""
+    parts = []
+    for name, (path, required) in sources.items():
+        try:
+            found = profile.contract_findings(spark.read.parquet(path), required)
+        except AnalysisException as error:
+            if error.getCondition() not in ABSENT:
+                raise
+            found = profile.missing_dataset(spark)
+        parts.append(found.select(F.lit(name).alias("dataset"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def file_findings(members: DataFrame) -> DataFrame:
     """One finding for the byte-identical files of `files.file_duplicates`."""
     n = F.count(F.lit(1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelops.functions import columns as fx
 from panelops.operators import duplicates
-from panelops.plans import billing, testbed
+from panelops.plans import audit, billing, testbed
 from panelops.plans.registry import query, rounded
 from panelops.plans.sql_text import PANEL, RAW_PANEL, r, union, with_
 from panelops.sources import delimited, digests, files, quoted, sinks
@@ -345,6 +345,29 @@ def file_twins(spark, sf):
     return named.join(copies, "digest").select("name", "bytes", "n_copies")
 
 
+@query("audit_sources", with_(PANEL, """
+SELECT 'panel' AS dataset, 'exists' AS "check", 'OK' AS level, count(*) AS value FROM panel
+UNION ALL SELECT 'panel', 'energia_kwh', 'OK', count(energia_kwh) FROM panel
+UNION ALL SELECT 'panel', 'e1_kwh', 'OK', count(e1_kwh) FROM panel
+UNION ALL SELECT 'panel', 'not_a_column', 'ERROR', 0
+UNION ALL SELECT 'absent', 'exists', 'ERROR', 0
+UNION ALL SELECT 'files', 'identical_files', 'WARNING', 2"""))
+def audit_sources(spark, sf):
+    """A stored dataset, a path without one, and files of which two are identical, probed as they lie on disk."""
+    base = scratch_path(spark, "probed")
+    panel = testbed.panel(spark, sf)
+    panel.write.parquet(f"{base}/panel")
+    rows = audit.source_findings(spark, {
+        "panel": (f"{base}/panel", ["energia_kwh", "e1_kwh", "not_a_column"]), "absent": (f"{base}/absent", ["energia_kwh"]),
+    })
+    raw = scratch_path(spark, "raw")
+    lines = t(spark, sf, "customer").select(F.concat_ws(";", "c_custkey", "c_name").alias("value"), "c_custkey")
+    for folder, order in (("customer", F.col("c_custkey")), ("customer(1)", F.col("c_custkey")), ("customer_reversed", -F.col("c_custkey"))):
+        lines.coalesce(1).sortWithinPartitions(order).select("value").write.text(f"{raw}/{folder}")
+    twins = audit.file_findings(stage_table(files.file_duplicates(spark, raw), "twins"))
+    return rows.unionByName(twins.select(F.lit("files").alias("dataset"), "*"))
+
+
 @query("catalogue_keys", union([
     f"SELECT '{folder}' AS name, '{c}' AS key_column FROM (SELECT count(*) FROM {name})"
     for folder, name, _ in RENDERED for c in TABLE_COLUMNS[name] if "key" in c]))

@@ -249,6 +249,19 @@ def test_contracts(spark):
     assert [tuple(r) for r in profile.missing_dataset(spark).collect()] == [("exists", "ERROR", 0)]
 
 
+def test_source_findings(spark, tmp_path):
+    spark.createDataFrame([(1, None), (2, 3)], "a int, b int").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([], "a int").write.parquet(str(tmp_path / "none"))
+    (tmp_path / "folder").mkdir()
+    sources = {n: (str(tmp_path / n), ["a", "b"]) for n in ("t", "none", "folder", "absent")}
+    got = {(r.dataset, r.check): (r.level, r.value) for r in audit.source_findings(spark, sources).collect()}
+    assert got == {
+        ("t", "exists"): ("OK", 2), ("t", "a"): ("OK", 2), ("t", "b"): ("OK", 1),
+        ("none", "exists"): ("OK", 0), ("none", "a"): ("OK", 0), ("none", "b"): ("ERROR", 0),
+        ("folder", "exists"): ("ERROR", 0), ("absent", "exists"): ("ERROR", 0),
+    }
+
+
 def test_lag_and_file_findings(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1), (None, 1.0, 2)], "a_L1 double, a double, anio_x int")
     got = {r["check"]: (r["level"], r["value"]) for r in audit.lag_findings(df, ["a_L1", "b_L1"], ["a"]).collect()}
