@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Rows of a batch that are in work at once where each row is worked on alone. Bounds memory only.
+PIECE_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,6 +71,13 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.name, kind(f.dataType)) for f in T.StructType.fromDDL(ddl).fields])
 
 
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, at most `rows` at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict[str, list] | None]], ddl: str
 ) -> DataFrame:
@@ -91,7 +102,7 @@ def with_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]],
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             new = fn(batch)
             arrays = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in schema]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *schema.names])

@@ -2,9 +2,11 @@
 several global orders of the shingles.
 
 Two sets of similarity t share a shingle among the first |s| - ceil(t |s|) + 1 of each under any one
-order. Pairs are found by equal prefix shingles under a first order (rare shingles come first), must
-also share a prefix shingle under every further order, and are then compared exactly. Before texts are
-fetched for that, bit tables of the sets rule out most pairs that are not similar enough.
+order; of the smaller one, the first |s| - ceil(2 t |s| / (1 + t)) + 1 do. Pairs are found by equal prefix
+shingles under a first order (rare shingles come first), must also share a prefix shingle under every
+further order, and are then compared exactly. Within the join, the places of the shared shingle and
+parity tables of the sets rule out nearly all pairs that are not similar enough, so few are listed;
+before texts are fetched, larger bit tables of the sets rule out more.
 
 Documents with equal sets form one class. Links within classes are not spelled out, and a pair whose
 classes are known to be connected is not compared, so a group of thousands of copies costs about as
@@ -26,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelops.llm.common import fresh, map_batches, text_bytes, with_columns
+from panelops.llm.common import fresh, map_batches, pieces, text_bytes, with_columns
 from panelops.llm.components import components
 from panelops.staging import stage_table
 
@@ -44,6 +46,8 @@ ROUNDS = 8
 #: A round that leaves more than this share of the pairs is the last before they are listed.
 FALLS_TO = 0.9
 AT_ONCE = 1 << 19
+#: 64-bit words of a set's parity table.
+PARITIES = 8
 #: Bits of the table that tells which documents' texts may be wanted, as a power of two: 8 MB.
 BIT_TABLE = 26
 LONG_WORD = 64
@@ -120,7 +124,7 @@ def bucket_counts(docs: DataFrame, text_col: str, words: int, bits: int = BUCKET
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         total = np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in pieces(batches):
             for s in shingle_sets(*text_bytes(batch.column(0)), words):
                 np.add.at(total, s >> np.uint64(64 - bits), 1)
         pack = zstandard.ZstdCompressor(level=1)
@@ -159,20 +163,22 @@ def digest_of(s: np.ndarray) -> bytes | None:
 
 def with_prefixes(docs: DataFrame, text_col: str, classes: Broadcast, words: int, percent: int) -> DataFrame:
     """The table with the size of each document's set, a 128-bit digest of it (NULL for no words), and
-    its prefix under the first order: 48 bits of each shingle's hash, then 16 of its place."""
+    its prefix under the first order: 48 bits of each shingle's hash, then 16 of its place; bit and parity
+    tables of the set."""
     place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        size, digest, prefix, bits = [], [], [], []
+        size, digest, prefix, bits, odd = [], [], [], [], []
         for s in shingle_sets(*text_bytes(batch.column(place)), words):
             size.append(len(s))
             digest.append(digest_of(s))
             bits.append(bitmap(s))
+            odd.append(parities(s))
             first = s[prefix_places(s, classes.value, 0, percent)] if len(s) else s
             prefix.append((first >> LOW_BITS << LOW_BITS | np.minimum(np.arange(len(first)), 0xFFFF).astype(np.uint64)).view(np.int64))
-        return {"n_set": size, "digest": digest, "prefix": prefix, "bits": bits}
+        return {"n_set": size, "digest": digest, "prefix": prefix, "bits": bits, "odd": odd}
 
-    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>, bits array<long>")
+    return with_columns(docs, run, "n_set long, digest binary, prefix array<long>, bits array<long>, odd array<long>")
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -182,6 +188,15 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Of each of a fixed number of hash buckets, a bit that tells whether it holds an odd number of the
+    set's shingles, as 64-bit integers. Two sets differ by as many shingles as their tables differ by bits,
+    at least."""
+    n = 64 * PARITIES
+    odd = np.bincount((mixed(s, 98) & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def most_common(na: Column, nb: Column, a: Column, b: Column) -> Column:
     """An upper bound of the shingles two sets share: a shingle whose bit the other table lacks is not
     shared. Of tables of unequal length the longer one is folded."""
@@ -203,16 +218,34 @@ def pairs_in_size(na: F.Column, nb: F.Column, percent: int) -> F.Column:
 
 
 def by_size(rows: DataFrame, percent: int) -> DataFrame:
-    """Each row twice, in the size class of its set and, as an `upper` one, in the class below. Classes are
-    so wide that sets of similar size are in one class or in neighbouring ones, so they meet in one that
-    holds at most one of the two as upper."""
+    """Each row twice: in the size class of its set, and in the class below. Classes are so wide that a
+    set's smaller partners are in one of the two. As a smaller partner, a set is `short`: it stands in its
+    own class only, by its first shingles, one of which every set as large or larger must share."""
     wide = math.log(100 / percent) * (1 + 1e-6) if percent < 100 else 1e-12
     own = F.floor(F.log("n_set") / wide)
+    short = (F.col("n_set") - F.col("pos")) * (100 + percent) >= 2 * percent * F.col("n_set")
     return rows.select("*", F.explode(F.array(
-        F.struct(own.alias("size_class"), F.lit(False).alias("upper")), F.struct((own - 1).alias("size_class"), F.lit(True).alias("upper")))).alias("cell")
+        F.struct(own.alias("size_class"), short.alias("short")), F.struct((own - 1).alias("size_class"), F.lit(False).alias("short")))).alias("cell")
     ).select(*rows.columns, "cell.*")
 
 
+def listed(members: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """The pairs of different components that meet in a cell, a being the larger set, and can be similar
+    enough by the first shingle they share, before which none is shared, and by their parity tables."""
+    words = range(PARITIES)
+    rows = members.join(odd.select("cid", *[F.col("odd")[i].alias(f"o{i}") for i in words]), "cid")
+    a = rows.select("token", "size_class", *[F.col(c).alias(f"{c}_a") for c in ("cid", "n_set", "pos", "comp", *[f"o{i}" for i in words])])
+    b = rows.filter("short").select("token", "size_class", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n_set", "pos", "comp", *[f"o{i}" for i in words])])
+    both = F.col("n_set_a") + F.col("n_set_b")
+    unlike = sum((F.bit_count(F.col(f"o{i}_a").bitwiseXOR(F.col(f"o{i}_b"))) for i in words), F.lit(0))
+    return a.join(b, ["token", "size_class"]).filter("comp_a <> comp_b").filter(
+        "n_set_a > n_set_b or n_set_a = n_set_b and cid_a < cid_b"
+    ).filter(pairs_in_size(F.col("n_set_a"), F.col("n_set_b"), percent)).filter(
+        (F.col("n_set_a") - F.col("pos_a")) * (100 + percent) >= both * percent
+    ).filter((F.col("n_set_b") - F.col("pos_b")) * (100 + percent) >= both * percent
+    ).filter(unlike * (100 + percent) <= both * (100 - percent)).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
+
+
 def texts_of_ids(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """`wanted` with the texts of its documents, joined on the id `key`. Before texts are shuffled, most
     others are left out by a bit table of hashed ids, which has a fixed size."""
@@ -235,7 +268,7 @@ def linked(pairs: DataFrame, named: DataFrame, docs: DataFrame, shared: Broadcas
     wanted = stage_table(members.unionByName(centers).select("cid", "center", "digest", "key"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = {"cid": [], "center": [], "hashes": [], "others": []}
             cids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for cid, center, digest, s in zip(cids, batch.column(1).to_pylist(), digests, shingle_sets(*text_bytes(batch.column(3)), words), strict=True):
@@ -272,7 +305,8 @@ def class_components(
     shared = size_classes(slim, "text", words)
     marked = stage_table(with_prefixes(slim, "text", shared, words, percent).drop("text"), "prefixes")
     classes = marked.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        F.min("doc_id").alias("doc_id"), F.first("n_set").alias("n_set"), F.first("prefix").alias("prefix"),
+        F.first("bits").alias("bits"), F.first("odd").alias("odd"))
     classes = stage_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     named = classes.select("cid", "digest", "doc_id")
 
@@ -288,10 +322,9 @@ def class_components(
             now = rows.withColumn("comp", F.col("cid"))
         else:
             now = rows.join(labels.withColumnsRenamed({"node": "cid", "label": "comp"}), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        by_comp = now.groupBy("token", "size_class", "comp").agg(F.count(F.lit(1)).alias("m"), F.count_if("upper").alias("u"))
-        open_cells = by_comp.groupBy("token", "size_class").agg(((
-            F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m")) - F.sum("u") * F.sum("u") + F.sum(F.col("u") * F.col("u"))) / 2).alias("n")
-        ).filter("n > 0")
+        by_comp = now.groupBy("token", "size_class", "comp").agg(F.count(F.lit(1)).alias("m"), F.count_if("short").alias("s"))
+        open_cells = by_comp.groupBy("token", "size_class").agg(
+            (F.sum("m") * F.sum("s") - F.sum(F.col("m") * F.col("s"))).alias("n")).filter("n > 0")
         open_cells = stage_table(open_cells, "open")
         left = open_cells.agg(F.sum("n")).first()[0]
         if not left:
@@ -299,26 +332,23 @@ def class_components(
         now = stage_table(now.join(open_cells.select("token", "size_class"), ["token", "size_class"]), "members")
         rows = now.drop("comp")
         stuck, before = before is not None and left > FALLS_TO * before, left
-        last = left <= pairs_per_row * n_rows or stuck or k == rounds
+        last = k > 0 and (left <= pairs_per_row * n_rows or stuck) or k == rounds
         if last:
-            other = now.select("token", "size_class", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb"), F.col("upper").alias("ub"))
-            found = now.select("token", "size_class", F.col("cid").alias("a"), F.col("n_set").alias("na"), F.col("comp").alias("ca"), "upper").join(
-                other, ["token", "size_class"]).filter("a < b and not (upper and ub)")
+            found = listed(now, classes, percent).distinct()
         else:  # the member with the fewest rarer shingles, then others by chance
             rank = F.col("pos") if k == 0 else F.xxhash64("cid", F.lit(k))
             middle = now.groupBy("token", "size_class").agg(
                 F.min_by("cid", rank).alias("a"), F.min_by("n_set", rank).alias("na"), F.min_by("comp", rank).alias("ca"))
             found = now.select("token", "size_class", F.col("cid").alias("b"), F.col("n_set").alias("nb"), F.col("comp").alias("cb")).join(
-                middle, ["token", "size_class"])
-        found = found.filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-        found = stage_table(found.select("a", "b", "n"), "pairs")
+                middle, ["token", "size_class"]).filter("ca <> cb").filter(pairs_in_size(F.col("na"), F.col("nb"), percent))
+            # of a member's middles, that which shares most; the others if that does not link them
+            found = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+        found = stage_table(found.select("a", "b"), "pairs")
         sides = classes.select("cid", "n_set", "bits")
         found = found.join(sides.toDF("a", "na", "ba"), "a").join(sides.toDF("b", "nb", "bb"), "b")
         found = found.withColumn("most", most_common(F.col("na"), F.col("nb"), F.col("ba"), F.col("bb")))
-        found = found.filter(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent).select("a", "b", "n")
-        if not last:  # of a member's middles, that which shares most; the others if that does not link them
-            found = found.groupBy("b").agg(F.max_by("a", "n").alias("a"))
-        new = stage_table(linked(found.select("a", "b"), named, slim, shared, words, percent, orders), "links")
+        found = found.filter(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent).select("a", "b")
+        new = stage_table(linked(found, named, slim, shared, words, percent, orders), "links")
         edges = new if edges is None else edges.union(new)
         labels = components(edges)
         if last:

@@ -142,3 +142,60 @@ def test_bit_tables_bound_the_overlap(spark):
     for r in most:
         common = len(set(sets[r.i].tolist()) & set(sets[r.j].tolist()))
         assert common <= r.most <= min(len(sets[r.i]), len(sets[r.j]))
+
+
+def staged(monkeypatch):
+    """The tables the operator stores, by name; its listed pairs and links can be counted."""
+    found, store = {}, jo.stage_table
+
+    def kept(df, name):
+        found.setdefault(name, []).append(out := store(df, name))
+        return out
+
+    monkeypatch.setattr(jo, "stage_table", kept)
+    return found
+
+
+def test_unlike_documents_that_share_passages_are_not_listed(spark, monkeypatch):
+    halves = [[[f"{side}{i}x{k}" for k in range(30)] for i in range(20)] for side in "ab"]
+    rows = [(20 * i + j, " ".join(a + b)) for i, a in enumerate(halves[0]) for j, b in enumerate(halves[1])]
+    rows.append((1000, f"{rows[7][1]} end"))
+    tables = staged(monkeypatch)
+    got = {r.doc_id: r.component_id for r in jo.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k for k in range(400)} | {1000: 7}
+    assert sum(t.count() for t in tables["pairs"]) <= 2 * len(rows)  # of 7 600 that share a half
+
+
+def test_groups_of_copies_that_are_all_alike_are_linked_about_once_each(spark, monkeypatch):
+    rng, rows = random.Random(9), []
+    for g in range(20):
+        base = [f"g{g}x{k}" for k in range(200)]
+        for k in range(12):
+            copy = list(base)
+            copy[rng.randrange(200)] = f"own{g}x{k}"
+            rows.append((100 * g + k, " ".join(copy)))
+    tables = staged(monkeypatch)
+    got = {r.doc_id: r.component_id for r in jo.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 100 * 100 for k, _ in rows}
+    assert sum(t.count() for t in tables["links"]) <= 2 * len(rows)  # of 1 320 pairs
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_places_and_parities_lose_no_pair(spark, percent):
+    rng, texts = random.Random(percent), []
+    for k in range(12):
+        base = [f"w{k}x{i}" for i in range(rng.choice([4, 12, 50, 120]))]
+        texts += [" ".join(base)] + [" ".join(base[:a] + ["own"] * rng.randrange(3) + base[a + rng.randrange(4):]) for a in rng.sample(range(len(base)), 4)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id long")
+    got = [tuple(r) for r in jo.join(docs, percent=percent).collect()]
+    assert sorted(got) == sorted(brute(rows, percent))
+
+
+def test_parity_tables_differ_by_no_more_bits_than_the_sets():
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice([1, 3, 30, 300, 2000]))) for _ in range(40)]
+    sets = list(jo.shingle_sets(*text_bytes(pa.array(texts))))
+    for a, b in combinations(sets, 2):
+        bits = sum(int(x).bit_count() for x in (jo.parities(a) ^ jo.parities(b)).view("uint64").tolist())
+        assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
