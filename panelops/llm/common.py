@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -78,6 +79,15 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterato
             yield batch.slice(a, rows)
 
 
+def released(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last, memory that is free goes back to the system, as Python workers stay
+    for later tasks."""
+    yield from made
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict[str, list] | None]], ddl: str
 ) -> DataFrame:
@@ -94,7 +104,7 @@ def map_batches(
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return df.mapInArrow(run, ddl)
+    return df.mapInArrow(lambda batches: released(run(batches)), ddl)
 
 
 def with_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], ddl: str) -> DataFrame:
@@ -107,4 +117,4 @@ def with_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]],
             arrays = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], f.type) for f in schema]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *schema.names])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields]))
+    return df.mapInArrow(lambda batches: released(run(batches)), T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields]))

@@ -177,34 +177,36 @@ def scan(
     and no hits; items with a NULL id hit words and are not listed. Every row is scanned for itself, so
     repeated ids stay apart. No shuffle; a broadcast automaton holds `block_words` words and one item at most.
     """
-    n_words, spans, items = (fresh(docs, c) for c in ("n_words", "hit_spans", "hit_items"))
-    context = docs.sparkSession.sparkContext
-    for k, automaton in enumerate(automata(benchmark, item_col, item_text_col, window, block_words)):
-        docs = _pass(docs, context.broadcast(automaton), k, text_col, n_words, spans, items)
-    return docs, n_words, spans, items
+    return _scan(docs, benchmark, text_col, item_col, item_text_col, window, block_words)[:4]
 
 
-def _pass(docs: DataFrame, shared: Broadcast, k: int, text_col: str, n_words: str, spans: str, items: str) -> DataFrame:
-    """Adds what one automaton finds; after the first pass, to what earlier ones found."""
-    place = docs.columns.index(text_col)
-    add = {c: f"{c}{k}" for c in (n_words, spans, items)}
+def _scan(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, block_words: int = BLOCK_WORDS, max_words: int | None = None,
+) -> tuple[DataFrame, str, str, str, str]:
+    """`scan`, and with `max_words` the text without longer spans where there are any, in a column of its
+    own. One pass over the texts for all blocks: every further Python step of a task is a worker more."""
+    n_words, spans, items, new = (fresh(docs, c) for c in ("n_words", "hit_spans", "hit_items", "cut_text"))
+    context, place = docs.sparkSession.sparkContext, docs.columns.index(text_col)
+    shared: list[Broadcast] = [context.broadcast(a) for a in automata(benchmark, item_col, item_text_col, window, block_words)]
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        automaton: SuffixAutomaton = shared.value
         data, at = text_bytes(batch.column(place))
-        raw, out = data.tobytes(), {c: [] for c in add.values()}
+        raw, out = data.tobytes(), {c: [] for c in (n_words, spans, items, new)}
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            words = words_of(raw[a:b])
-            found, names = automaton.scan(words)
-            out[add[n_words]].append(len(words))
-            out[add[spans]].append([x for s in found for x in s])
-            out[add[items]].append(sorted(n for n in names if n is not None))
+            words, found, names = words_of(raw[a:b]), [], set()
+            for automaton in shared:
+                hits, ids = automaton.value.scan(words)
+                found += [x for s in hits for x in s]
+                names |= ids
+            out[n_words].append(len(words))
+            out[spans].append(found)
+            out[items].append(sorted(n for n in names if n is not None))
+            out[new].append(without(raw[a:b].decode(), found, max_words) if found and max_words is not None else None)
         return out
 
-    done = with_columns(docs, run, SCAN.format(words=add[n_words], spans=add[spans], items=add[items]))
-    if not k:
-        return done.withColumnsRenamed({v: c for c, v in add.items()})
-    return done.withColumn(spans, F.concat(spans, add[spans])).withColumn(items, F.array_union(items, add[items])).drop(*add.values())
+    done = with_columns(docs, run, SCAN.format(words=n_words, spans=spans, items=items) + f", `{new}` string")
+    return (done if max_words is not None else done.drop(new)), n_words, spans, items, new
 
 
 def hit_words(spans: Column) -> Column:
@@ -237,17 +239,10 @@ def decontaminate(
     """Documents without hit spans of over `max_words` words; those with a larger part of their words
     hit than `max_coverage` go as a whole. Clean documents and NULL texts stay as they are. Columns stay.
     """
-    done, n_words, spans, items = scan(docs, benchmark, text_col, **options)
-    done = done.withColumn(n_words, (hit_words(F.col(spans)) > max_coverage * F.col(n_words)).cast("long"))
-    done = done.filter(F.col(n_words) == 0)
-    text_at, spans_at, new = done.columns.index(text_col), done.columns.index(spans), fresh(done, "cut_text")
-
-    def cut(batch: pa.RecordBatch) -> dict[str, list]:
-        texts, found = batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist()
-        return {new: [t if not s else without(t, s, max_words) for t, s in zip(texts, found, strict=True)]}
-
-    return with_columns(done, cut, f"`{new}` string").select(*[
-        F.col(f"`{new}`").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+    done, n_words, spans, _, new = _scan(docs, benchmark, text_col, max_words=max_words, **options)
+    text = F.when(F.size(spans) > 0, F.col(f"`{new}`")).otherwise(F.col(f"`{text_col}`"))
+    return done.filter(hit_words(F.col(spans)) <= max_coverage * F.col(n_words)).select(*[
+        text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
     ])
 
 

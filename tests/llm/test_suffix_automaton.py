@@ -93,3 +93,11 @@ def test_decontaminate_cuts_spans(spark, block_words):
         1: "One two three four, . five six seven eight", 3: "all clean", 4: None, 5: "", 6: "a b c d  e f g h i j",
     }
     assert {r.doc_id for r in sa.decontaminate(d, b, max_words=9, max_coverage=1.0).filter("text = 'all clean' or doc_id = 2").collect()} == {2, 3}
+
+
+@pytest.mark.parametrize("block_words", [10**6, 1])
+def test_texts_pass_through_python_once(spark, block_words):
+    d, b = rows(spark, [(1, "short item here and more"), (2, "all clean"), (3, None)], block_words)
+    for out in (sa.decontaminate(d, b, block_words=block_words), sa.report(d, b, block_words=block_words)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
