@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelops.llm import bitplanes, ecoc_language, jaccard_orders, soft_mix, suffix_automaton
-from panelops.llm.common import read
+from panelops.llm.common import read, small_batches
 from panelops.llm.queries import MIX_WEIGHTS, TOKENIZER
 from panelops.staging import scratch_path
 
@@ -15,16 +15,19 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
+    small_batches(spark)
     return ecoc_language.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies."""
+    small_batches(spark)
     return jaccard_orders.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of benchmark items."""
+    small_batches(spark)
     return suffix_automaton.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -35,6 +38,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, and what they hold of each document."""
+    small_batches(spark)
     path = scratch_path(spark, "ids")
     bitplanes.write_ids(docs, path, TOKENIZER)
     return bitplanes.read_documents(spark, path)

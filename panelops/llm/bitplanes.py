@@ -27,7 +27,7 @@ LEVEL = 3
 #: Distinct pieces a worker keeps ids for; beyond it the table starts anew, ids stay the same.
 CACHED_PIECES = 400_000
 #: Bytes of texts a worker encodes at once, unless one text is longer; its arrays take about 60 times that.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 19
 #: Bytes beyond which a piece's ids are not kept.
 LONG_PIECE = 64
 #: Pieces encoded by one call.

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 
 #: Rows of a batch that are in work at once where each row is worked on alone. Bounds memory only.
 PIECE_ROWS = 1000
+#: Bytes of an Arrow batch that a task hands to Python, unless one row is longer. A task has a batch outside the
+#: executor's heap and in its Python worker at once. Bounds memory only.
+BATCH_BYTES = 4 << 20
+BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +76,13 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.name, kind(f.dataType)) for f in T.StructType.fromDDL(ddl).fields])
 
 
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """From now on, the session's Arrow batches have about `size` bytes at most. A bound that the session was
+    given already stays."""
+    if BYTES_PER_BATCH not in spark.conf.getAll:
+        spark.conf.set(BYTES_PER_BATCH, size)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, at most `rows` at once."""
     for batch in batches:
