@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelops.functions import columns as fx
@@ -33,10 +35,17 @@ def src_delimited(spark, sf):
     return delimited.read_delimited(spark, path, sep=";")
 
 
+#: Tasks of a scan of many small splits.
+TASKS_A_CORE = 8
+
+
 @contextmanager
-def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
-    """Files are read in splits of `size`, so that values of a small table too reach over the ends of splits."""
+def small_splits(spark: SparkSession, size: str = "64k", tasks: int | None = None) -> Iterator[None]:
+    """Files are read in splits of `size`, so that values of a small table too reach over the ends of splits. With
+    `tasks`, a scan has about so many at most, each reading several of these splits."""
     wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k", "spark.sql.files.minPartitionNum": "1000"}
+    if tasks:
+        wanted["spark.sql.files.maxPartitionNum"] = str(tasks)
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():
@@ -336,9 +345,16 @@ def file_twins(spark, sf):
     """Texts as one file, twice, and once with its lines in another order: the same size, but other bytes."""
     base = scratch_path(spark, "raw")
     text = t(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "doc_id")
-    for folder, order in (("documents", F.col("doc_id")), ("documents(1)", F.col("doc_id")), ("documents_reversed", -F.col("doc_id"))):
-        text.coalesce(1).sortWithinPartitions(order).select("value").write.text(f"{base}/{folder}")
-    with small_splits(spark):
+
+    def write(folder: str, order: Column) -> None:
+        # Texts of one id in a fixed order: where a sort spills depends on the memory that the other writers leave it.
+        text.coalesce(1).sortWithinPartitions(order, "value").select("value").write.text(f"{base}/{folder}")
+
+    # One task writes a file, whatever its size, so the files are written at the same time.
+    orders = {"documents": F.col("doc_id"), "documents(1)": F.col("doc_id"), "documents_reversed": -F.col("doc_id")}
+    with ThreadPoolExecutor(len(orders)) as writers:
+        list(writers.map(inheritable_thread_target(spark)(write), orders, orders.values()))
+    with small_splits(spark, tasks=TASKS_A_CORE * spark.sparkContext.defaultParallelism):
         found = stage_table(digests.identical_files(spark, base), "twins")
     named = found.select(F.element_at(F.split("path", "/"), -2).alias("name"), "bytes", "digest")
     copies = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n_copies"))

@@ -9,7 +9,9 @@ from contextlib import nullcontext
 
 import pytest
 
-from panelops.plans.query_sources import small_splits
+from panelops import staging
+from panelops.plans.query_sources import TASKS_A_CORE, small_splits
+from panelops.plans.registry import QUERIES
 from panelops.sources import digests
 
 
@@ -57,3 +59,34 @@ def test_a_tree_of_several_levels(spark, tmp_path):
 def test_no_copies_and_one_file(spark, tmp_path):
     (tmp_path / "only").write_bytes(b"x")
     assert found(spark, tmp_path, None) == {}
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    files = contents()
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    with small_splits(spark, "100", tasks=4):
+        got = {os.path.basename(r["path"]): r["digest"] for r in digests.identical_files(spark, str(tmp_path)).collect()}
+        assert digests.block_digests(spark, str(tmp_path), [len(files["a"])]).rdd.getNumPartitions() <= 8
+    assert sorted(got) == ["a", "b", "empty", "empty too", "swapped", "swapped too", "x", "y"]
+    assert got["a"] == got["b"] and got["swapped"] == got["swapped too"] and got["a"] != got["swapped"]
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+
+
+def test_file_twins_runs_few_tasks_over_many_splits(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    # Ids that repeat with other texts, none, and texts of several lines, none and null.
+    texts = [None, "", *("\n".join("x" * rng.randint(0, 150) + str(i) for _ in range(3)) for i in range(4000))]
+    rows = [(rng.choice([None, *range(900)]), text) for text in texts]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/sf/documents.parquet")
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path / "shared"))
+    got = sorted(map(tuple, QUERIES["file_twins"](spark, f"{tmp_path}/sf").collect()))
+    lines = [((0, 0) if k is None else (1, k), text or "") for k, text in rows]
+    whole = "".join(text + "\n" for _, text in sorted(lines)).encode()
+    assert got == [("documents", len(whole), 2), ("documents(1)", len(whole), 2)]
+    written = {p.parent.name: p.read_bytes() for p in tmp_path.glob("shared/panelops/raw-*/*/part-*")}
+    assert written["documents"] == written["documents(1)"] == whole
+    assert len(written["documents_reversed"]) == len(whole) and written["documents_reversed"] != whole
+    leaves = [p for p in tmp_path.glob("shared/panelops/leaves-*/part-*")]
+    assert len(leaves) <= 2 * TASKS_A_CORE * spark.sparkContext.defaultParallelism  # a file per task
+    assert spark.read.parquet(*map(str, leaves)).count() > 900
